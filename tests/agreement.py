@@ -68,8 +68,8 @@ def differences(spark, connection, query, sql, folder) -> list[str]:
             found.append(f"type of {n}: {a[n]} != {b[n]}")
     left, right = _rows(df.columns, got), _rows(names, want)
     if left != right:
-        only = [x for x in left if x not in set(right)][:2]
-        other = [x for x in right if x not in set(left)][:2]
+        only = sorted(set(left) - set(right))[:2]
+        other = sorted(set(right) - set(left))[:2]
         found.append(f"values {sorted(names)}: {only} != {other}")
     return found
 
@@ -81,7 +81,13 @@ def main() -> int:
 
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        "agreement", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        "agreement",
+        "local[8]",
+        {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = open_tables(folder)

@@ -57,19 +57,20 @@ def write(
     sort_by: Sequence[SortField] = (),
     max_records_per_file: int | None = None,
     mode: str = "overwrite",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write ``df`` below ``path`` in one execution.
 
     ``max_records_per_file`` caps each file; pass :data:`ROWS_PER_FILE` for small files.
     Spark leaves a ``_SUCCESS`` marker once all tasks have committed.
     """
-    source, options = FORMATS[check_format(file_format)]
+    source, defaults = FORMATS[check_format(file_format)]
     check_columns(df, partition_by)
     placed = gathered(df, partition_by)
     if sort_by:
         lead = [SortField(n, "asc", "first") for n in partition_by]
         placed = placed.sortWithinPartitions(*(s.column_order() for s in [*lead, *sort_by]))
-    writer = placed.write.mode(mode).format(source).options(**options)
+    writer = placed.write.mode(mode).format(source).options(**{**defaults, **(options or {})})
     writer = writer.option("compression", compression.lower())
     if partition_by:
         writer = writer.partitionBy(*partition_by)

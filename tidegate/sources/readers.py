@@ -24,17 +24,19 @@ FORMATS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-def check_input(spark: SparkSession, path: str) -> None:
+def check_input(spark: SparkSession, path: str | list[str]) -> None:
     """Refuse inputs that cannot be read, before any plan is made."""
-    if path.lower().endswith(".zip"):
-        raise ValueError(f"compression format not yet supported: .zip ({path})")
-    if not hadoop.matches(spark, path):
+    for one in [path] if isinstance(path, str) else path:
+        if one.lower().endswith(".zip"):
+            raise ValueError(f"compression format not yet supported: .zip ({one})")
+    # Spark itself refuses a missing path of a list when it lists the files.
+    if isinstance(path, str) and not hadoop.matches(spark, path):
         raise FileNotFoundError(f"Input file not found: {path}")
 
 
 def read(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     file_format: str = "CSV",
     schema: StructType | str | None = None,
     options: dict[str, str] | None = None,
