@@ -137,8 +137,11 @@ def log_entries(df: DataFrame, *entries: Column) -> DataFrame:
 
 
 def once(log: DataFrame) -> DataFrame:
-    """The log without rows that a rerun appended a second time."""
-    return log.dropDuplicates([*KEY, "event_id", "kind"])
+    """The log without rows that a rerun appended again; the earliest of each stays."""
+    identity = [*KEY, "event_id", "kind"]
+    rest = [c for c in log.columns if c not in identity]
+    first = F.min_by(F.struct(*rest), "occurred_at").alias("_row")
+    return log.groupBy(*identity).agg(first).select(*identity, "_row.*").select(*log.columns)
 
 
 def fold(log: DataFrame, max_retries: int, order: Sequence[str] = ("occurred_at", "event_id")) -> DataFrame:
