@@ -1,0 +1,319 @@
+"""Routing, validation and history, against plain loops over small inputs."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.operators import routing, tracking, validation
+from tidegate.operators.latest import latest_per_key, with_previous
+from tidegate.options import Mapping, Processing, Rules
+from tidegate.sources.control import mappings_frame
+
+MAPPINGS = (
+    Mapping("customers/", "CUSTOMERS"),
+    Mapping("customers/2024/", "NEW", rules=Rules(True, True, True, ("a", "b"))),
+    Mapping("customers/", "LATER"),
+    Mapping("c", "C", processing=Processing(max_file_size=10)),
+)
+PATHS = {
+    "s3://b/customers/2024/01/data.csv": "NEW",
+    "s3://b/customers/2023/x.csv": "CUSTOMERS",
+    "b/customers/2024": "CUSTOMERS",
+    "s3://b/cx/data.csv": "C",
+    "s3://b/unknown/unmapped_file.csv": None,
+    "nothing": None,
+}
+
+
+@pytest.mark.parametrize("by_table", [False, True])
+def test_longest_prefix_first_on_ties(spark, by_table):
+    files = spark.createDataFrame([(p,) for p in PATHS], "file_path STRING")
+    if by_table:
+        routed = routing.route_by_table(files, mappings_frame(spark, MAPPINGS))
+    else:
+        routed = routing.route(files, MAPPINGS)
+    rows = routed.select("file_path", "mapping.target_name", "route_error").collect()
+    assert {r.file_path: r.target_name for r in rows} == PATHS
+    errors = {r.file_path: r.route_error for r in rows if r.route_error}
+    assert errors == {
+        "s3://b/unknown/unmapped_file.csv": "no prefix mapping found for key: unknown/unmapped_file.csv",
+        "nothing": "invalid S3 path format: nothing",
+    }
+
+
+def test_route_carries_the_rules_and_makes_no_join(spark):
+    files = spark.createDataFrame([("s3://b/customers/2024/x.csv",)], "file_path STRING")
+    routed = routing.route(files, MAPPINGS)
+    assert routed.first().mapping.required_fields == ["a", "b"]
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_route_by_table_compares_by_equality(spark):
+    files = spark.createDataFrame([(p,) for p in PATHS], "file_path STRING")
+    routed = routing.route_by_table(files, mappings_frame(spark, MAPPINGS))
+    assert "NestedLoop" not in routed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_too_many_literal_mappings(spark):
+    many = tuple(Mapping(f"p{i}/", "T") for i in range(routing.MAX_LITERAL_MAPPINGS + 1))
+    with pytest.raises(ValueError, match="use route_by_table"):
+        routing.mapping_for(F.lit("x"), many)
+
+
+NOW = dt.datetime(2024, 1, 1)
+GOOD = ("c.csv", 150, "hash", 3, 6, NOW)
+SCHEMA = (
+    "file_name STRING, file_size BIGINT, file_hash STRING, record_count BIGINT, column_count INT, "
+    "created_at TIMESTAMP"
+)
+
+
+def changed(**fields):
+    names = ["file_name", "file_size", "file_hash", "record_count", "column_count", "created_at"]
+    return tuple(fields.get(n, v) for n, v in zip(names, GOOD))
+
+
+def test_control_errors_first_only(spark):
+    cases = [
+        (GOOD, None),
+        (changed(file_name="", file_size=0), "file_name is required in control data"),
+        (changed(file_name=None), "file_name is required in control data"),
+        (changed(file_size=0), "file_size must be positive"),
+        (changed(record_count=-1, column_count=0), "record_count cannot be negative"),
+        (changed(column_count=0), "column_count must be positive"),
+        (changed(file_hash="", created_at=None), "file_hash is required"),
+        (changed(created_at=None), "created_at is required"),
+    ]
+    df = spark.createDataFrame([c for c, _ in cases], SCHEMA)
+    assert [r[0] for r in df.select(validation.control_error()).collect()] == [e for _, e in cases]
+
+
+def test_hash_may_be_absent_when_it_is_not_checked(spark):
+    df = spark.createDataFrame([changed(file_hash=None)], SCHEMA)
+    assert df.select(validation.control_error(hash_required=F.lit(False))).first()[0] is None
+
+
+def check(spark, control, size, etag, rules):
+    df = spark.createDataFrame(
+        [(*control, size, etag, *rules)],
+        SCHEMA + ", actual_size BIGINT, etag STRING, validate_file_size BOOLEAN, "
+        "validate_checksum BOOLEAN, validate_record_count BOOLEAN",
+    )
+    return validation.check_files(df).first()
+
+
+def test_all_errors_are_collected(spark):
+    row = check(spark, GOOD, 210, '"other"', (True, True, True))
+    assert row.validation.validation_errors == [
+        "File size mismatch: expected 150 bytes, got 210 bytes",
+        "Checksum mismatch: expected hash, got other",
+    ]
+    assert not row.is_valid and row.validation.record_count_match
+    assert not row.validation.file_size_match and not row.validation.checksum_match
+
+
+def test_switched_off_checks_pass(spark):
+    row = check(spark, GOOD, 210, '"other"', (False, False, None))
+    assert row.is_valid and row.validation.file_size_match and row.validation.checksum_match
+
+
+def test_missing_file(spark):
+    row = check(spark, GOOD, None, None, (True, True, True))
+    assert row.validation.validation_errors == ["object not found"]
+
+
+@pytest.mark.parametrize(
+    "expected, actual, match, errors",
+    [
+        (50, 50, True, ["old", "late"]),
+        (50, 48, False, ["old", "late", "Record count mismatch: expected 50, got 48"]),
+        (0, 48, True, ["old", "late"]),
+    ],
+)
+def test_reconcile(spark, expected, actual, match, errors):
+    df = spark.sql(
+        "SELECT named_struct('record_count_match', true, 'file_size_match', true, 'checksum_match', false, "
+        f"'expected_records', {expected}L, 'actual_records', 0L, 'validation_errors', array('old')) AS v, "
+        f"{actual}L AS n"
+    )
+    after = validation.reconcile(F.col("v"), F.col("n"), F.array(F.lit("late")))
+    row = df.select(after.alias("a")).first().a
+    assert (row.record_count_match, row.actual_records, row.validation_errors) == (match, actual, errors)
+    assert not row.checksum_match
+
+
+def test_rejects_name_the_first_failed_test(spark):
+    df = spark.createDataFrame([(1, 5.0), (None, 5.0), (2, None), (3, -1.0)], "id INT, amount DOUBLE")
+    marked = validation.with_reason(df, {"id": F.col("id").isNotNull(), "amount": F.col("amount") > 0})
+    good, bad = validation.split_rejects(marked)
+    assert [r.id for r in good.collect()] == [1]
+    assert [(r.id, r.reject_reason) for r in bad.collect()] == [(None, "id"), (2, "amount"), (3, "amount")]
+
+
+# --- history ------------------------------------------------------------------------------
+
+
+def random_log(seed, files, steps):
+    """Log rows in time order, several of them at the same time."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(steps):
+        at = NOW + dt.timedelta(milliseconds=rng.choice((0, 0, 1, 250)) + i * 3 // 2)
+        path = f"f{rng.randrange(files)}"
+        if rng.random() < 0.4:
+            rows.append((path, "j", f"{i:06}", at, "error", None, rng.random() < 0.9))
+        else:
+            state = rng.choice(("VALIDATING", "VALIDATED", "PROCESSING", "PROCESSED", "LOADED", "RETRYING"))
+            rows.append((path, "j", f"{i:06}", at, "transition", state, None))
+    return rows
+
+
+LOG = (
+    "file_path STRING, job_id STRING, event_id STRING, occurred_at TIMESTAMP, kind STRING, "
+    "to_state STRING, retryable BOOLEAN"
+)
+
+
+def replayed(rows, max_retries):
+    """Records made by applying one row after the other."""
+    records = {}
+    for path, job, event, at, kind, state, retryable in sorted(rows, key=lambda r: (r[3], r[2])):
+        record = records.setdefault((path, job), {"state": None, "retries": 0, "version": 0, "times": {}})
+        record["version"] += 1
+        if kind == "transition":
+            record["state"] = state
+            record["times"][state] = at
+        else:
+            if not retryable or record["retries"] >= max_retries:
+                record["state"] = "FAILED"
+            record["retries"] += bool(retryable)
+    return records
+
+
+@pytest.mark.parametrize("seed, max_retries", [(1, 0), (2, 2), (3, 5), (4, 100)])
+def test_fold_is_the_replay(spark, seed, max_retries):
+    rows = random_log(seed, files=7, steps=300)
+    want = replayed(rows, max_retries)
+    got = tracking.fold(spark.createDataFrame(rows, LOG).withColumn("job_run_id", F.lit(None)), max_retries)
+    for r in got.collect():
+        record = want.pop((r.file_path, r.job_id))
+        assert r.orchestration_state == record["state"]
+        assert (r.retry_count, r.version) == (record["retries"], record["version"])
+        assert r.validated_at == record["times"].get("VALIDATED")
+        assert r.loaded_at == record["times"].get("LOADED")
+    assert not want
+
+
+@pytest.mark.parametrize("slices", [1, 2, 5, None])
+def test_history_links_each_step_to_the_one_before(spark, slices):
+    rows = random_log(9, files=3, steps=200)
+    want = {}
+    last = {}
+    for path, job, event, at, kind, state, _ in sorted(rows, key=lambda r: (r[3], r[2])):
+        if kind == "transition":
+            before = last.get(path)
+            gap = (at - before[1]) // dt.timedelta(milliseconds=1) if before else 0
+            want[event] = (before[0] if before else "", state, gap)
+            last[path] = (state, at)
+    got = tracking.history(spark.createDataFrame(rows, LOG), slices=slices).collect()
+    assert {r.event_id: (r.from_state, r.to_state, r.duration_ms) for r in got} == want
+
+
+@pytest.mark.parametrize("slices", [1, 3, 16])
+def test_previous_value_of_hot_and_null_keys(spark, slices):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "hot", "hot", "hot", "a", "b"]), rng.choice([None, *range(40)]), i) for i in range(500)]
+    want, last = {}, {}
+    for key, at, i in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        want[i] = last.get(key)
+        last[key] = i
+    df = spark.createDataFrame(rows, "k STRING, at INT, i INT")
+    got = with_previous(df, ["k"], "at", "i", "before", tie=["i"], slices=slices).collect()
+    assert {r.i: r.before for r in got} == want
+
+
+def test_no_window_holds_much_more_than_a_slice(spark):
+    """One key with nearly all rows is cut into about equal pieces."""
+    from tidegate.operators.latest import _sliced
+
+    df = spark.range(20_000).selectExpr("'hot' AS k", "id * id AS at")
+    sizes = [r["count"] for r in _sliced(df, "at", 10).groupBy("_slice").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
+
+
+def test_latest_reduces_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v", "cast(id AS STRING) AS t")
+    newest = latest_per_key(df, ["k"], "v")
+    assert sorted((r.k, r.v, r.t) for r in newest.collect()) == [(0, 999, "999"), (1, 997, "997"), (2, 998, "998")]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_once_keeps_the_earliest(spark):
+    rows = [
+        ("f", "j", "1", NOW + dt.timedelta(seconds=s), "transition", state, None)
+        for s, state in ((5, "VALIDATED"), (0, "INITIATED"), (9, "FAILED"))
+    ]
+    kept = tracking.once(spark.createDataFrame(rows, LOG)).collect()
+    assert [r.to_state for r in kept] == ["INITIATED"]
+
+
+def test_initiated_records(spark):
+    files = spark.createDataFrame(
+        [
+            ("s3://b/customers/2024/x.csv", None, None, None, None, None),
+            ("s3://b/customers/y.csv", "z.csv", 7, "h", "batch_1", "erp"),
+            ("s3://b/none/y.csv", "", None, None, "", ""),
+        ],
+        "file_path STRING, file_name STRING, file_size BIGINT, file_hash STRING, batch_id STRING, source_system STRING",
+    )
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    first, second, third = tracking.initiate(files, MAPPINGS, "job-1", at, 30).collect()
+    assert (first.file_name, first.s3_prefix, first.target_table) == ("x.csv", "customers/2024/", "NEW")
+    assert (first.version, first.orchestration_state, first.source_system) == (1, "INITIATED", "tidegate")
+    assert first.batch_id.startswith("batch_20240101_") and first.expires_at == 1704067200 + 30 * 86400
+    assert (second.file_name, second.file_size, second.batch_id, second.source_system) == ("z.csv", 7, "batch_1", "erp")
+    assert third.target_table is None and third.route_error.startswith("no prefix mapping")
+
+
+def test_lookup_selection_and_expiry(spark):
+    rows = [("f1", "j1", "FAILED", 3, 10), ("f2", "j1", "PROCESSED", 1, 20), ("f3", "j2", "FAILED", 2, 30)]
+    df = spark.createDataFrame(
+        rows, "file_path STRING, job_id STRING, orchestration_state STRING, processing_initiated_at INT, expires_at BIGINT"
+    )
+    assert tracking.lookup(df, "f2", "j1").first().orchestration_state == "PROCESSED"
+    assert [r.file_path for r in tracking.select_records(df, state="FAILED").collect()] == ["f3", "f1"]
+    newest = tracking.select_records(df, job_id="j1", newest_first=True).collect()
+    assert [r.file_path for r in newest] == ["f1", "f2"]
+    assert [r.file_path for r in tracking.expired(df, F.lit(20)).collect()] == ["f1"]
+
+
+def test_snake_case(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "File_path INT, JobRunID INT, Emr_job_details INT, EMRStatus INT")
+    assert tracking.snake_case(df).columns == ["file_path", "job_run_id", "emr_job_details", "emr_status"]
+
+
+def test_job_outcomes(spark):
+    records = spark.createDataFrame([("f1", "j1", "r1"), ("f2", "j2", None)], "file_path STRING, job_id STRING, job_run_id STRING")
+    events = spark.createDataFrame(
+        [
+            ("e1", NOW, "r1", "RUNNING", None),
+            ("e2", NOW, "r1", "FAILED", "no memory"),
+            ("e2", NOW, "r1", "FAILED", "no memory"),
+            ("e3", NOW, "r9", "SUCCESS", None),
+            ("e4", NOW, None, "SUCCESS", None),
+        ],
+        "event_id STRING, event_time TIMESTAMP, job_run_id STRING, state STRING, state_details STRING",
+    )
+    outcomes = tracking.job_outcomes(events, records)
+    log = tracking.once(tracking.outcome_log(outcomes))
+    got = sorted((r.kind, r.to_state, r.error_message, r.retryable) for r in log.collect())
+    assert got == [
+        ("error", None, "EMR job failed with state: FAILED, details: no memory", True),
+        ("transition", "FAILED", None, None),
+    ]
+    assert sorted(r.event_id for r in tracking.unknown_runs(outcomes).collect()) == ["e3", "e4"]
+    assert tracking.fold(log, 3).first().orchestration_state == "FAILED"

@@ -27,6 +27,12 @@ def _without_scheme(path: Column) -> Column:
     return F.regexp_replace(path, r"^s3://", "")
 
 
+def location(path: Column) -> Column:
+    """A path without its scheme, so that ``s3://b/k`` and ``s3a://b/k``, or ``file:///d/f``
+    and ``/d/f``, are the same place."""
+    return F.regexp_replace(path, r"^(?:[A-Za-z0-9]+:)?/+", "")
+
+
 def is_object_path(path: Column) -> Column:
     """Whether the path has a bucket and a key at all."""
     return F.contains(_without_scheme(path), F.lit("/"))

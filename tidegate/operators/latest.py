@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -46,10 +47,10 @@ def _sliced(df: DataFrame, column: str, slices: int) -> DataFrame:
     ).first()[0]
     inner = sorted(set(bounds or []))
     if not inner:
-        return numbered.withColumn("_slice", F.lit(0.0)).drop("_number")
+        return numbered.withColumn("_slice", F.lit(0)).drop("_number")
     edges = [float("-inf"), *inner, float("inf")]
     cut = Bucketizer(splits=edges, inputCol="_number", outputCol="_slice", handleInvalid="keep")
-    return cut.transform(numbered).drop("_number")
+    return cut.transform(numbered).withColumn("_slice", F.col("_slice").cast("int")).drop("_number")
 
 
 def with_previous(
@@ -78,11 +79,12 @@ def with_previous(
     place = [*keys, "_slice"]
     ends = cut.groupBy(*place).agg(F.max_by(value, F.struct(*sort)).alias("_end"))
     before = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice"))
-    carried = ends.withColumn("_carried", before).select(*place, "_carried")
+    carried = ends.select(*(F.col(c).alias(f"_at_{c}") for c in place), before.alias("_carried"))
     inside = Window.partitionBy(*place).orderBy(*sort)
+    # Null keys are keys too.
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place))
     return (
         cut.withColumn("_inside", F.lag(value).over(inside))
-        .join(carried, place)
-        .withColumn(name, F.coalesce("_inside", "_carried"))
-        .drop("_slice", "_inside", "_carried")
+        .join(carried, same)
+        .select(*df.columns, F.coalesce("_inside", "_carried").alias(name))
     )

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.functions import paths
 from tidegate.functions.jsontext import array_size, is_json
 from tidegate.sources.readers import read
 
@@ -55,10 +56,14 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _with_expected(counts: DataFrame, expected: DataFrame | None) -> DataFrame:
+    """Counts of the ``expected`` paths, 0 for those that no reader saw."""
     if expected is None:
         return counts
-    filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in counts.columns if c.endswith(("lines", "records"))}
-    return expected.select("path").join(counts, "path", "left").withColumns(filled)
+    found = counts.withColumnRenamed("path", "_path")
+    same = paths.location(F.col("path")) == paths.location(F.col("_path"))
+    joined = expected.select("path").join(found, same, "left")
+    zero = F.when(F.col("_path").isNull(), F.lit(0)).otherwise(F.col("records"))
+    return joined.withColumn("records", zero.cast("bigint")).drop("_path")
 
 
 def count_lines(
@@ -141,14 +146,7 @@ def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None
             .withColumn("error", F.when(F.col("records").isNull(), broken))
         )
         counts = by_line.unionByName(whole)
-    if expected is None:
-        return counts
-    empty = F.col("records").isNull() & F.col("error").isNull()
-    return (
-        expected.select("path")
-        .join(counts, "path", "left")
-        .withColumn("records", F.when(empty, F.lit(0)).otherwise(F.col("records")).cast("bigint"))
-    )
+    return _with_expected(counts, expected)
 
 
 def count_records(
