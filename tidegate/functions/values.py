@@ -48,6 +48,19 @@ def expiry(at: Column, days: int) -> Column:
     return F.unix_timestamp(at) + F.lit(days * SECONDS_PER_DAY)
 
 
+def micros(at: Column, zoned: bool) -> Column:
+    """Microseconds since 1970 of a time with zone, or of a time without as if in UTC.
+
+    Spark's own functions read a time without zone in the zone of the session, where an hour
+    may be missing or come twice.
+    """
+    if zoned:
+        return F.unix_micros(at)
+    seconds = F.unix_date(F.to_date(at)) * F.lit(SECONDS_PER_DAY).cast("bigint")
+    seconds = seconds + F.hour(at) * 3600 + F.minute(at) * 60
+    return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+
+
 def rfc3339(at: Column) -> Column:
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssXXX")
 

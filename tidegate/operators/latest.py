@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.values import micros
+
 PERCENTILE_ACCURACY = 10_000
 
 
@@ -24,14 +26,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
+def time_micros(df: DataFrame, column: str) -> Column:
+    """Microseconds of a timestamp column of either kind."""
+    return micros(F.col(column), isinstance(df.schema[column].dataType, T.TimestampType))
+
+
 def _as_number(df: DataFrame, column: str) -> Column:
     """A number that grows with the column, in any session time zone."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        origin = F.lit("1970-01-01").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", origin, F.col(column)).cast("double")
+    if isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return time_micros(df, column).cast("double")
     return F.col(column).cast("double")
 
 

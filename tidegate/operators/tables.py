@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -142,10 +143,14 @@ def create_table(
 
 def add_columns(spark: SparkSession, name: str, columns: Sequence[tuple[str, str, str]]) -> None:
     """Add (name, type, comment) columns to a catalog table; old rows read as null."""
-    parts = [f"`{c}` {kind} COMMENT '{comment}'" for c, kind, comment in columns]
+    parts = [f"`{c}` {kind} COMMENT '{_quoted(comment)}'" for c, kind, comment in columns]
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(parts)})")
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def with_added_columns(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """``df`` with null columns of the given names and types, where it lacks them."""
     new = {c: F.lit(None).cast(kind) for c, kind in columns if c not in df.columns}
@@ -205,19 +210,20 @@ def compact(
     if not partition_by:
         table.coalesce(files_for(small[1], target_bytes)).write.mode("overwrite").parquet(new_path)
         return True
-    slots = sizes.select(
-        *partition_by, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).alias("_slots")
+    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes))
+    earlier = Window.orderBy(*partition_by).rowsBetween(Window.unboundedPreceding, -1)
+    slots = sizes.select(*partition_by, needed.alias("_slots")).withColumn(
+        "_first", F.coalesce(F.sum("_slots").over(earlier), F.lit(0))
     )
-    spread = F.pmod(F.xxhash64(*[c for c in table.columns if c not in partition_by]), F.col("_slots"))
-    files = int(sizes.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)))).first()[0])
-    match = F.lit(True)
-    for name in partition_by:
-        match = match & table[name].eqNullSafe(slots[name])
+    files = int(slots.agg(F.sum("_slots")).first()[0])
+    match = reduce(Column.__and__, (table[c].eqNullSafe(slots[c]) for c in partition_by))
+    # Rows take turns, so that copies of one row do not all meet in one file.
+    turn = F.pmod(F.monotonically_increasing_id(), F.col("_slots"))
     placed = (
         table.join(slots, match, "left")
-        .select(*(table[c] for c in table.columns), spread.alias("_slot"))
-        .repartition(files, *partition_by, "_slot")
-        .drop("_slot")
+        .select(*(table[c] for c in table.columns), (F.col("_first") + turn).cast("int").alias("_file"))
+        .repartitionById(files, "_file")
+        .drop("_file")
     )
     placed.write.mode("overwrite").partitionBy(*partition_by).parquet(new_path)
     return True

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas
 from tidegate.functions import paths, values
-from tidegate.operators.latest import latest_per_key, with_previous
+from tidegate.operators.latest import latest_per_key, time_micros, with_previous
 from tidegate.operators.routing import route
 from tidegate.options import Mapping
 
@@ -193,11 +193,11 @@ def history(
 
     The first has an empty ``from_state`` and 0 ms.
     """
-    steps = log.filter(F.col("kind") == TRANSITION).withColumn(
-        "_before", F.struct("to_state", "occurred_at")
-    )
-    linked = with_previous(steps, KEY, "occurred_at", "_before", "_previous", tie, slices)
-    gap = F.timestamp_diff("MILLISECOND", F.col("_previous.occurred_at"), F.col("occurred_at"))
+    steps = log.filter(F.col("kind") == TRANSITION)
+    numbered = steps.withColumn("_at", time_micros(steps, "occurred_at"))
+    paired = numbered.withColumn("_before", F.struct("to_state", "_at"))
+    linked = with_previous(paired, KEY, "occurred_at", "_before", "_previous", tie, slices)
+    gap = F.expr("(_at - _previous._at) div 1000")
     return linked.select(
         *KEY,
         "event_id",
