@@ -54,7 +54,7 @@ def test_format_from_name(spark, name, expected):
 
 
 def test_path_parts(spark):
-    rows = ["s3://b/d/e/f.csv", "b/f.csv", "s3://only", "s3://b/", "s3://b/d/"]
+    rows = ["s3a://b/d/e/f.csv", "b/f.csv", "s3://only", "s3://b/", "s3://b/d/"]
     key = paths.key(F.col("v"))
     assert column(spark, rows, paths.bucket(F.col("v"))) == ["b", "b", None, "b", "b"]
     assert column(spark, rows, key) == ["d/e/f.csv", "f.csv", None, "", "d/"]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.operators import tables, tracking
-from tidegate.options import parse_config
+from tidegate.options import Mapping, Rules, parse_config
 from tidegate.plans import batch, jobs
 from tidegate.sources import control as control_source
 from tidegate.sources import inventory
@@ -226,6 +226,21 @@ def test_failing_job_is_retried_and_then_fails(spark, landing, tmp_path, monkeyp
     assert {(r.orchestration_state, r.files, r.retries) for r in summary} == {("FAILED", 3, 3), ("PROCESSED", 1, 0)}
 
 
+def test_missing_required_field_is_refused(spark, tmp_path):
+    mapping = Mapping("x/", "CUSTOMERS", rules=Rules(required_fields=("customer_id", "signup_year")))
+    path = tmp_path / "c.csv"
+    path.write_text(CUSTOMERS)
+    with pytest.raises(ValueError, match="CUSTOMERS: required fields missing: signup_year"):
+        batch.process_target(spark, mapping, [str(path)], str(tmp_path / "out"), "j")
+
+
+def test_listing_shows_targets(spark, landing):
+    root, _, config = landing
+    rows = batch.listing(spark, root, config).collect()
+    assert {os.path.basename(r.file_path) for r in rows} == {"a.csv", "b.csv", "o.csv", "x.csv"}
+    assert all(r.size > 0 for r in rows)
+
+
 def test_arrivals_are_decided_as_they_come(spark, landing, tmp_path):
     root, control, config = landing
     log = str(tmp_path / "decided")

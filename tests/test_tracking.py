@@ -293,7 +293,9 @@ def test_lookup_selection_and_expiry(spark):
 
 def test_snake_case(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "File_path INT, JobRunID INT, Emr_job_details INT, EMRStatus INT")
-    assert tracking.snake_case(df).columns == ["file_path", "job_run_id", "emr_job_details", "emr_status"]
+    snake = tracking.snake_case(df)
+    assert snake.columns == ["file_path", "job_run_id", "emr_job_details", "emr_status"]
+    assert tracking.original_case(snake, df.columns).columns == df.columns
 
 
 def test_job_outcomes(spark):

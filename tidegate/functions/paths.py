@@ -24,7 +24,7 @@ FALLBACK_FORMAT = "CSV"
 
 
 def _without_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, r"^s3://", "")
+    return F.regexp_replace(path, r"^s3[an]?://", "")
 
 
 def location(path: Column) -> Column:

@@ -287,6 +287,11 @@ def snake_case(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: _snake(c) for c in df.columns})
 
 
+def original_case(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The reverse of :func:`snake_case`, for the given original names."""
+    return df.withColumnsRenamed({_snake(n): n for n in names})
+
+
 def _snake(name: str) -> str:
     marked = _WORD_EDGE.sub("_", name)
     return _REPEATED.sub("_", marked).lower()

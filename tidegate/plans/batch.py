@@ -11,11 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators import routing, tracking, validation
+from tidegate.operators import quality, routing, tracking, validation
 from tidegate.options import Config, ConvertOptions, Mapping
 from tidegate.plans.jobs import job_named
 from tidegate.sinks import files as sink
-from tidegate.sources import readers
+from tidegate.sources import inventory, readers
 
 PROCESS = "process"
 VALIDATED = "validated"
@@ -109,26 +109,37 @@ def decision_log(decisions: DataFrame, job_id: str) -> DataFrame:
 def process_target(
     spark: SparkSession, mapping: Mapping, paths: list[str], output_root: str, job_id: str
 ) -> str:
-    """Run a mapping's job over its files and return where the result is."""
+    """Run a mapping's job over its files and return where the result is.
+
+    Files that lack a required column, or one to partition by, are refused before any work.
+    """
     name = mapping.processing.file_format.upper()
-    params = mapping.params
-    if name == "CSV":
-        df = readers.read_csv(spark, paths, ConvertOptions.from_params(params))
-    else:
-        df = readers.read(spark, paths, name)
-    out = f"{output_root.rstrip('/')}/processed/{mapping.target}"
+    options = ConvertOptions.from_params(mapping.params)
     change = job_named(mapping.job)
+    df = readers.read_csv(spark, paths, options) if name == "CSV" else readers.read(spark, paths, name)
+    missing = quality.missing_columns(df, mapping.rules.required_fields)
+    if missing:
+        raise ValueError(f"{mapping.target}: required fields missing: {', '.join(missing)}")
+    out = f"{output_root.rstrip('/')}/processed/{mapping.target}"
     sink.write(
-        change(df, mapping.target, job_id, params),
+        change(df, mapping.target, job_id, mapping.params),
         out,
         mapping.processing.output_format,
-        mapping.processing.output_options.get("compression", params.get("compression", "snappy")),
-        partition_by=ConvertOptions.from_params(params).partition_by,
-        max_records_per_file=ConvertOptions.from_params(params).max_records_per_file,
+        mapping.processing.output_options.get("compression", options.compression),
+        partition_by=options.partition_by,
+        max_records_per_file=options.max_records_per_file,
     )
     return out
 
 
+def listing(spark: SparkSession, path: str, config: Config) -> DataFrame:
+    """Files below a path with the target each belongs to."""
+    found = inventory.list_files(spark, path).withColumnRenamed("path", "file_path")
+    return routing.route(found, config.mappings).select(
+        "file_path", "size", "mod_time", F.col("mapping.target_name").alias("target_name"), "route_error"
+    )
+
+
 def run_batch(
     spark: SparkSession,
     files: DataFrame,

@@ -113,7 +113,8 @@ def apply_job_events(
 ) -> StreamingQuery:
     """Log the outcome of finished runs, and set events of unknown runs aside.
 
-    Events are matched with the records as they are when a batch runs. Both writes of a batch
+    An event may be delivered again, in any batch; readers of the log drop repeats with
+    ``tracking.once``, so that no batch has to shuffle for it. Events are matched with the records as they are when a batch runs. Both writes of a batch
     replace what an earlier try of it wrote. The matched batch is kept for its two writes, so
     it is read and joined once; a lost piece of it is computed again.
     """
@@ -121,7 +122,7 @@ def apply_job_events(
     def put(batch: DataFrame, number: int) -> None:
         outcomes = tracking.job_outcomes(batch, records).persist()
         try:
-            log = tracking.once(tracking.outcome_log(outcomes))
+            log = tracking.outcome_log(outcomes)
             log.write.mode("overwrite").parquet(f"{log_path}/batch_id={number}")
             unknown = tracking.unknown_runs(outcomes)
             unknown.write.mode("overwrite").parquet(f"{unknown_path}/batch_id={number}")
