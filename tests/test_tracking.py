@@ -235,13 +235,21 @@ def test_previous_value_of_hot_and_null_keys(spark, slices):
     assert {r.i: r.before for r in got} == want
 
 
-def test_no_window_holds_much_more_than_a_slice(spark):
-    """One key with nearly all rows is cut into about equal pieces."""
-    from tidegate.operators.latest import _sliced
+def test_hot_keys_are_found_and_cut_evenly(spark):
+    from tidegate.operators.latest import _sliced, hot_keys
 
-    df = spark.range(20_000).selectExpr("'hot' AS k", "id * id AS at")
-    sizes = [r["count"] for r in _sliced(df, "at", 10).groupBy("_slice").count().collect()]
-    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id * id AS at")
+    hot = hot_keys(df, ["k"], 10)
+    assert hot == [r[0] for r in df.filter("k = 'hot'").select(F.xxhash64("k")).limit(1).collect()]
+    cut = _sliced(df, ["k"], "at", hot, 10).groupBy("k", "_slice").count().filter("k = 'hot'").collect()
+    assert len(cut) == 10 and max(r["count"] for r in cut) < 2 * 20_000 / 10
+    assert hot_keys(df.filter("k <> 'hot'"), ["k"], 10) == []
+
+
+def test_plain_window_without_hot_keys(spark):
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id AS at")
+    plan = with_previous(df, ["k"], "at", "at", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_latest_reduces_before_the_shuffle(spark):

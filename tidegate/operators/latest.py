@@ -1,4 +1,4 @@
-"""Latest row per key and previous row per key, with no key bound to one task."""
+"""Latest row per key and previous row per key, with no hot key bound to one task."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tidegate.functions.values import micros
 
 PERCENTILE_ACCURACY = 10_000
+SKETCH_ITEMS = 10_000
+SKETCH_ITEMS_PER_PIECE = 16
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
@@ -38,22 +40,38 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _sliced(df: DataFrame, column: str, slices: int) -> DataFrame:
-    """``df`` with ``_slice``: a number that grows with ``column``, equally many rows in each.
+def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int) -> list[int]:
+    """Hashes of the keys that hold more than one part in ``pieces`` of all rows.
 
-    Costs one scan of that column for its percentiles.
+    There are at most ``pieces`` of them. A sketch counts them in one scan of the key columns,
+    without a shuffle. It decides how work is cut up, never what comes out.
     """
-    numbered = df.withColumn("_number", _as_number(df, column))
+    tracked = max(SKETCH_ITEMS, SKETCH_ITEMS_PER_PIECE * pieces)
+    found = (
+        df.select(F.xxhash64(*keys).alias("_hash"))
+        .agg(F.expr(f"approx_top_k(_hash, {pieces}, {tracked})").alias("top"), F.count(F.lit(1)).alias("rows"))
+        .first()
+    )
+    return [t["item"] for t in found["top"] or [] if t["count"] * pieces > found["rows"]]
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: str, hot: list[int], slices: int) -> DataFrame:
+    """``df`` with ``_slice``, 0 for most rows.
+
+    Rows of hot keys are cut by ``order`` into slices of equal size, numbered upwards. That
+    takes one scan for the percentiles of ``order`` over these rows.
+    """
+    is_hot = F.xxhash64(*keys).isin(hot)
+    numbered = df.withColumn("_number", F.when(is_hot, _as_number(df, order)))
     shares = [i / slices for i in range(1, slices)]
-    bounds = numbered.agg(
-        F.percentile_approx("_number", shares, PERCENTILE_ACCURACY)
-    ).first()[0]
-    inner = sorted(set(bounds or []))
-    if not inner:
+    bounds = numbered.agg(F.percentile_approx("_number", shares, PERCENTILE_ACCURACY)).first()[0]
+    edges = [float("-inf"), *sorted(set(bounds or [])), float("inf")]
+    if len(edges) == 2:
         return numbered.withColumn("_slice", F.lit(0)).drop("_number")
-    edges = [float("-inf"), *inner, float("inf")]
-    cut = Bucketizer(splits=edges, inputCol="_number", outputCol="_slice", handleInvalid="keep")
-    return cut.transform(numbered).withColumn("_slice", F.col("_slice").cast("int")).drop("_number")
+    cut = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
+    # A row without order comes before all others, as it does in a sort.
+    slice_ = F.when(is_hot, F.coalesce(F.col("_bucket").cast("int") + 1, F.lit(0))).otherwise(0)
+    return cut.transform(numbered).withColumn("_slice", slice_).drop("_number", "_bucket")
 
 
 def with_previous(
@@ -67,20 +85,27 @@ def with_previous(
 ) -> DataFrame:
     """``df`` with ``name``: ``value`` of the row before within the same key.
 
-    A plain ``lag`` puts all rows of a key into one task. Here the rows are also cut by
-    ``order`` into slices of equal size, so no window holds more than about one slice, however
-    many rows a key has. Only the first row of a key in a slice looks further back: it takes
-    the last value of the key in an earlier slice, from a summary of one row per key and slice.
-    ``slices`` defaults to the shuffle partitions of the session; 1 gives the plain window.
+    A plain ``lag`` puts all rows of a key into one task, which is fine unless a key holds much
+    of the table. Such keys are looked for first. Without any, the plain ``lag`` it is. With
+    some, their rows are cut by ``order`` into slices, so that no window holds more than about
+    one slice. Only the first row of a hot key in a slice looks further back: it takes the last
+    value of the key in an earlier slice, from a summary of one row per hot key and slice.
+
+    ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window.
     """
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = conf if slices is None else slices
     sort = [order, *tie]
-    if count <= 1:
+    hot = hot_keys(df, keys, count) if count > 1 else []
+    if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*sort)))
-    cut = _sliced(df, order, count)
+    cut = _sliced(df, keys, order, hot, count)
     place = [*keys, "_slice"]
-    ends = cut.groupBy(*place).agg(F.max_by(value, F.struct(*sort)).alias("_end"))
+    ends = (
+        cut.filter(F.xxhash64(*keys).isin(hot))
+        .groupBy(*place)
+        .agg(F.max_by(value, F.struct(*sort)).alias("_end"))
+    )
     before = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice"))
     carried = ends.select(*(F.col(c).alias(f"_at_{c}") for c in place), before.alias("_carried"))
     inside = Window.partitionBy(*place).orderBy(*sort)
@@ -88,6 +113,6 @@ def with_previous(
     same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place))
     return (
         cut.withColumn("_inside", F.lag(value).over(inside))
-        .join(carried, same)
+        .join(carried, same, "left")
         .select(*df.columns, F.coalesce("_inside", "_carried").alias(name))
     )
