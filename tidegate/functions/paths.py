@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 COMPRESSED_SUFFIXES = (".gz", ".gzip", ".bz2", ".zip")
 STRIPPED_SUFFIXES = (".gz", ".gzip", ".bz2")
 
+#: Names that object stores go by.
+SCHEMES = ("s3://", "s3a://", "s3n://")
+
 # File suffix to format name.
 SUFFIX_FORMATS = {
     ".csv": "CSV",
@@ -24,7 +27,8 @@ FALLBACK_FORMAT = "CSV"
 
 
 def _without_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, r"^s3[an]?://", "")
+    found = (F.when(F.startswith(path, F.lit(s)), F.substr(path, F.lit(len(s) + 1))) for s in SCHEMES)
+    return F.coalesce(*found, path)
 
 
 def location(path: Column) -> Column:

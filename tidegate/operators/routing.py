@@ -27,25 +27,30 @@ def _first_per_prefix(mappings: Sequence[Mapping]) -> list[Mapping]:
 
 
 def mapping_for(key: Column, mappings: Sequence[Mapping]) -> Column:
-    """Struct of the mapping that a key belongs to, null when none does."""
+    """Struct of the mapping that a key belongs to, null when none does.
+
+    The mappings are one constant; only the place in it is worked out per row.
+    """
     if len(mappings) > MAX_LITERAL_MAPPINGS:
         raise ValueError(f"{len(mappings)} mappings are too many for one expression; use route_by_table")
     fields = [part.rsplit(" ", 1) for part in MAPPING.split(", ")]
 
-    def literal(mapping: Mapping) -> Column:
-        row = mapping_row(mapping, mappings.index(mapping))
-        return F.struct(*(_typed(v, t).alias(n) for v, (n, t) in zip(row, fields)))
+    def literal(position: int, mapping: Mapping) -> Column:
+        values = zip(mapping_row(mapping, position), fields)
+        return F.struct(*(_typed(v, kind).alias(name) for v, (name, kind) in values))
 
-    cases = [
-        F.when(F.startswith(key, F.lit(m.prefix)), literal(m)) for m in _first_per_prefix(mappings)
+    known = F.array(*(literal(i, m) for i, m in enumerate(mappings)))
+    places = [
+        F.when(F.startswith(key, F.lit(m.prefix)), F.lit(mappings.index(m) + 1))
+        for m in _first_per_prefix(mappings)
     ]
-    return F.coalesce(*cases)
+    return F.try_element_at(known, F.coalesce(*places))
 
 
-def _typed(value, type_name: str) -> Column:
+def _typed(value, kind: str) -> Column:
     if isinstance(value, list):
-        return F.array(*(F.lit(v) for v in value)).cast(type_name)
-    return F.lit(value).cast(type_name)
+        return F.array(*(F.lit(v) for v in value)).cast(kind)
+    return F.lit(value).cast(kind)
 
 
 def route_error(path: Column, target: Column) -> Column:

@@ -19,12 +19,8 @@ from tidegate.streaming.envelopes import as_envelopes
 
 
 def stream_table(spark, folder, name):
-    """A given table as a stream."""
-    return (
-        spark.readStream.schema(table(spark, folder, name).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(folder)
-    )
+    """A given table as a stream. A pattern may stand for one file as well as for a folder."""
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def finish(running):

@@ -268,13 +268,18 @@ def value_ranges(spark, folder):
 @query(
     "value_ranges_per_file",
     """
-    SELECT 'orders.parquet' AS file, count(*) AS record_count, min(o_totalprice) AS min_o_totalprice,
+    SELECT count(*) AS record_count, min(o_totalprice) AS min_o_totalprice,
            max(o_totalprice) AS max_o_totalprice FROM orders
     """,
 )
 def value_ranges_per_file(spark, folder):
-    name = F.substring_index(F.col(inventory.FILE_PATH), "/", -1)
-    return statistics.value_ranges(table(spark, folder, "orders"), name, ["o_totalprice"])
+    file = F.col(inventory.FILE_PATH)
+    ranges = statistics.value_ranges(table(spark, folder, "orders"), file, ["o_totalprice"])
+    return ranges.agg(
+        F.sum("record_count").alias("record_count"),
+        F.min("min_o_totalprice").alias("min_o_totalprice"),
+        F.max("max_o_totalprice").alias("max_o_totalprice"),
+    )
 
 
 @query(

@@ -116,20 +116,36 @@ def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None
     A broken array has null records and an error text.
     """
     text = F.btrim("value", F.lit(BLANKS))
-    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    # Cleaned and indexed before the aggregate, since the order of lines is only known here.
+    opens = F.startswith(text, F.lit("["))
+    # What a line adds is worked out here, so that no text is sorted or shuffled after it.
     lines = (
         _lines(spark, path)
-        .select(F.col(FILE_PATH).alias("path"), at.alias("at"), text.alias("text"))
-        .filter(F.col("text") != "")
+        .filter(text != "")
+        .select(
+            F.col(FILE_PATH).alias("path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("at"),
+            opens.alias("opens"),
+            is_json(text).alias("valid"),
+            F.when(opens, array_size(text)).alias("elements"),
+        )
     )
-    seen = lines.groupBy("path").agg(
-        F.min_by(F.left("text", F.lit(1)), "at").alias("first"),
+    splits = lines.groupBy("path", "start").agg(
+        F.min("at").alias("first"),
+        F.min(F.when(F.col("opens"), F.col("at"))).alias("first_open"),
         F.count(F.lit(1)).alias("filled"),
-        F.count_if(is_json(F.col("text"))).alias("valid"),
-        F.max(F.when(F.startswith("text", F.lit("[")), array_size(F.col("text")))).alias("elements"),
+        F.count_if("valid").alias("valid"),
+        F.max("elements").alias("elements"),
+    )
+    # A file is an array when the first filled line of its first split opens one.
+    opened = F.coalesce(F.col("first") == F.col("first_open"), F.lit(False))
+    seen = splits.groupBy("path").agg(
+        F.min_by(opened, "start").alias("in_array"),
+        F.sum("filled").alias("filled"),
+        F.sum("valid").alias("valid"),
+        F.max("elements").alias("elements"),
     )
-    in_array = F.col("first") == "["
+    in_array = F.col("in_array")
     broken = F.lit("failed to parse JSON array")
     by_line = seen.filter(~in_array | (F.col("filled") == 1)).select(
         "path",
