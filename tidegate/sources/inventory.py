@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import paths
 from tidegate.functions.jsontext import array_size, is_json
+from tidegate.session import work_folder
 from tidegate.sources.readers import read
 
 # Characters that count as blank around a JSON line.
@@ -115,15 +116,20 @@ def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None
     one file per value; their paths are part of the file list the driver holds anyway.
     A broken array has null records and an error text.
     """
-    text = F.btrim("value", F.lit(BLANKS))
+    text = F.col("text")
     opens = F.startswith(text, F.lit("["))
     # What a line adds is worked out here, so that no text is sorted or shuffled after it.
     lines = (
         _lines(spark, path)
-        .filter(text != "")
         .select(
             F.col(FILE_PATH).alias("path"),
             F.col("_metadata.file_block_start").alias("start"),
+            F.btrim("value", F.lit(BLANKS)).alias("text"),
+        )
+        .filter(text != "")
+        .select(
+            "path",
+            "start",
             F.monotonically_increasing_id().alias("at"),
             opens.alias("opens"),
             is_json(text).alias("valid"),
@@ -139,12 +145,16 @@ def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None
     )
     # A file is an array when the first filled line of its first split opens one.
     opened = F.coalesce(F.col("first") == F.col("first_open"), F.lit(False))
-    seen = splits.groupBy("path").agg(
+    per_file = splits.groupBy("path").agg(
         F.min_by(opened, "start").alias("in_array"),
         F.sum("filled").alias("filled"),
         F.sum("valid").alias("valid"),
         F.max("elements").alias("elements"),
     )
+    # One row per file, used twice below; written, so that the files are read once.
+    kept = work_folder(spark, "json-counts")
+    per_file.write.parquet(kept)
+    seen = spark.read.parquet(kept)
     in_array = F.col("in_array")
     broken = F.lit("failed to parse JSON array")
     by_line = seen.filter(~in_array | (F.col("filled") == 1)).select(
