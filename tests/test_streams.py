@@ -111,13 +111,13 @@ def landing(spark, tmp_path):
                 "file_name": path.name,
                 "file_size": len(body) + (name == "customers/b.csv"),
                 "file_hash": hashlib.md5(body.encode()).hexdigest(),
-                "record_count": body.count("\n") - 1,
+                "record_count": body.count("\n") - 1 + (name == "orders/o.csv"),
                 "column_count": 4,
                 "created_at": "2024-01-01T00:00:00Z",
             }
         )
     put_json(str(tmp_path / "control"), "1.json", rows)
-    prefix = str(root).lstrip("/").split("/", 1)[1]
+    prefix = str(root).lstrip("/")  # what follows "file:/" in the paths of a listing
     config = parse_config(
         json.dumps(
             {
@@ -126,13 +126,18 @@ def landing(spark, tmp_path):
                     {
                         "s3_prefix": f"{prefix}/customers/",
                         "target_name": "CUSTOMERS",
-                        "validation_rules": {"validate_file_size": True, "validate_checksum": True},
+                        "validation_rules": {
+                            "validate_file_size": True,
+                            "validate_checksum": True,
+                            "validate_record_count": True,
+                        },
                     },
                     {
                         "s3_prefix": f"{prefix}/orders/",
                         "target_name": "ORDERS",
                         "entry_point": "convert",
                         "script_params": {"partition-by": "order_date"},
+                        "validation_rules": {"validate_record_count": True},
                     },
                 ],
             }
@@ -142,31 +147,17 @@ def landing(spark, tmp_path):
 
 
 def listed(spark, root):
-    """Files with their MD5 in the place of an entity tag; local paths as bucket and key."""
+    """Files with their MD5 in the place of an entity tag."""
     found = inventory.digests(spark, root)
-    return found.select(_object_path("path").alias("file_path"), "size", F.col("md5").alias("etag"))
+    return found.select(F.col("path").alias("file_path"), "size", F.col("md5").alias("etag"))
 
 
-def _object_path(column):
-    return F.regexp_replace(column, "^file:/+", "s3://")
-
-
-def control_of(spark, path):
-    return control_source.read_control(spark, path).withColumn("file_path", _object_path("file_path"))
-
-
-def run(spark, landing, tmp_path, monkeypatch, options=batch.BatchOptions()):
+def run(spark, landing, tmp_path, options=batch.BatchOptions()):
     root, control, config = landing
-    read = batch.process_target
-    monkeypatch.setattr(
-        batch,
-        "process_target",
-        lambda s, m, paths, *rest: read(s, m, [p.replace("s3://", "/") for p in paths], *rest),
-    )
     records = batch.run_batch(
         spark,
         listed(spark, root),
-        control_of(spark, control),
+        control_source.read_control(spark, control),
         config,
         str(tmp_path / "out"),
         str(tmp_path / "log"),
@@ -176,8 +167,8 @@ def run(spark, landing, tmp_path, monkeypatch, options=batch.BatchOptions()):
     return {r.file_path.split("/in/")[1]: r for r in records.collect()}, records
 
 
-def test_batch_processes_good_files_and_rejects_the_rest(spark, landing, tmp_path, monkeypatch):
-    records, _ = run(spark, landing, tmp_path, monkeypatch)
+def test_batch_processes_good_files_and_rejects_the_rest(spark, landing, tmp_path):
+    records, _ = run(spark, landing, tmp_path)
     assert {n: r.orchestration_state for n, r in records.items()} == {
         "customers/a.csv": "PROCESSED",
         "customers/b.csv": "FAILED",
@@ -192,18 +183,22 @@ def test_batch_processes_good_files_and_rejects_the_rest(spark, landing, tmp_pat
     messages = {r.file_path.split("/in/")[1]: r.error_message for r in log.filter("kind = 'error'").collect()}
     assert messages["customers/b.csv"].startswith("File size mismatch: expected")
     assert messages["other/x.csv"].startswith("no prefix mapping found for key: ")
+    counted = spark.read.parquet(str(tmp_path / "log" / "counted-job-1"))
+    counts = {r.file_path.split("/in/")[1]: r for r in counted.collect()}
+    assert set(counts) == {"customers/a.csv", "orders/o.csv"}
+    assert counts["customers/a.csv"].record_count_match and counts["customers/a.csv"].actual_records == 3
+    assert counts["orders/o.csv"].validation_errors == ["Record count mismatch: expected 3, got 2"]
 
 
-def test_batch_without_checks_takes_all_mapped_files(spark, landing, tmp_path, monkeypatch):
-    records, _ = run(spark, landing, tmp_path, monkeypatch, batch.BatchOptions(skip_validation=True))
+def test_batch_without_checks_takes_all_mapped_files(spark, landing, tmp_path):
+    records, _ = run(spark, landing, tmp_path, batch.BatchOptions(skip_validation=True))
     assert records["customers/b.csv"].orchestration_state == "PROCESSED"
     assert records["other/x.csv"].orchestration_state == "FAILED"
 
 
-def test_batch_run_twice_changes_nothing(spark, landing, tmp_path, monkeypatch):
-    first, _ = run(spark, landing, tmp_path, monkeypatch)
-    monkeypatch.undo()
-    second, _ = run(spark, landing, tmp_path, monkeypatch)
+def test_batch_run_twice_changes_nothing(spark, landing, tmp_path):
+    first, _ = run(spark, landing, tmp_path)
+    second, _ = run(spark, landing, tmp_path)
     assert first == second
 
 
@@ -216,9 +211,9 @@ def test_failing_job_is_retried_and_then_fails(spark, landing, tmp_path, monkeyp
     options = batch.BatchOptions(continue_on_error=go_on)
     if not go_on:
         with pytest.raises(RuntimeError, match="no luck"):
-            run(spark, landing, tmp_path, monkeypatch, options)
+            run(spark, landing, tmp_path, options)
         return
-    records, frame = run(spark, landing, tmp_path, monkeypatch, options)
+    records, frame = run(spark, landing, tmp_path, options)
     failed = records["customers/a.csv"]
     assert (failed.orchestration_state, failed.retry_count) == ("FAILED", 3)
     assert records["orders/o.csv"].orchestration_state == "PROCESSED"
@@ -234,6 +229,23 @@ def test_missing_required_field_is_refused(spark, tmp_path):
         batch.process_target(spark, mapping, [str(path)], str(tmp_path / "out"), "j")
 
 
+def test_arrivals_are_processed_as_they_come(spark, landing, tmp_path):
+    root, control, config = landing
+    arrivals.on_arrival(
+        arrivals.stream_control(spark, control),
+        lambda: listed(spark, root),
+        config,
+        str(tmp_path / "out"),
+        str(tmp_path / "log"),
+        str(tmp_path / "at"),
+    ).awaitTermination()
+    log = tracking.once(spark.read.parquet(str(tmp_path / "log" / "log")))
+    states = {r.file_path.split("/in/")[1]: r.orchestration_state for r in tracking.fold(log, 3).collect()}
+    assert states["customers/a.csv"] == states["orders/o.csv"] == "PROCESSED"
+    assert states["customers/b.csv"] == states["other/x.csv"] == "FAILED"
+    assert spark.read.parquet(str(tmp_path / "out" / "batch=0" / "processed" / "CUSTOMERS")).count() == 2
+
+
 def test_listing_shows_targets(spark, landing):
     root, _, config = landing
     rows = batch.listing(spark, root, config).collect()
@@ -244,9 +256,8 @@ def test_listing_shows_targets(spark, landing):
 def test_arrivals_are_decided_as_they_come(spark, landing, tmp_path):
     root, control, config = landing
     log = str(tmp_path / "decided")
-    stream = arrivals.stream_control(spark, control).withColumn("file_path", _object_path("file_path"))
     arrivals.on_arrival(
-        stream,
+        arrivals.stream_control(spark, control),
         lambda: listed(spark, root),
         config,
         str(tmp_path / "out"),

@@ -125,6 +125,12 @@ def test_missing_file(spark):
     assert row.validation.validation_errors == ["object not found"]
 
 
+def test_digest_is_of_the_promised_kind(spark):
+    rows = [("x" * n, "m", "s1", "s256") for n in (32, 40, 64, 3)]
+    df = spark.createDataFrame(rows, "file_hash STRING, md5 STRING, sha1 STRING, sha256 STRING")
+    assert [r.etag for r in validation.with_digest(df).collect()] == ["m", "s1", "s256", "m"]
+
+
 @pytest.mark.parametrize(
     "expected, actual, match, errors",
     [

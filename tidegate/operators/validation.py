@@ -111,6 +111,17 @@ def match_control(control: DataFrame, files: DataFrame, on: str = "file_path") -
     )
 
 
+def with_digest(df: DataFrame) -> DataFrame:
+    """``etag`` replaced by the content digest of the kind that ``file_hash`` is.
+
+    For files that were digested (``inventory.digests``); the kind shows in the length.
+    """
+    size = F.length("file_hash")
+    kinds = {32: "md5", 40: "sha1", 64: "sha256"}
+    digest = F.coalesce(*(F.when(size == n, F.col(c)) for n, c in kinds.items()), F.col("md5"))
+    return df.withColumn("etag", digest).drop(*kinds.values())
+
+
 def reconcile(
     validation: Column, actual: Column, more_errors: Column | None = None
 ) -> Column:
@@ -126,12 +137,9 @@ def reconcile(
             "Record count mismatch: expected %d, got %d", validation["expected_records"], actual
         ),
     )
-    extra = F.coalesce(more_errors, F.array().cast("array<string>")) if more_errors is not None else F.array()
-    errors = F.concat(
-        validation["validation_errors"],
-        extra.cast("array<string>"),
-        F.array_compact(F.array(mismatch)),
-    )
+    none = F.array().cast("array<string>")
+    extra = none if more_errors is None else F.coalesce(more_errors, none)
+    errors = F.concat(validation["validation_errors"], extra, F.array_compact(F.array(mismatch)))
     return F.struct(
         F.when(promised, same).otherwise(validation["record_count_match"]).alias("record_count_match"),
         validation["file_size_match"].alias("file_size_match"),

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.functions.paths import location
 from tidegate.operators import quality, routing, tracking, validation
 from tidegate.options import Config, ConvertOptions, Mapping
 from tidegate.plans.jobs import job_named
@@ -48,12 +49,18 @@ def decide(
     if control is None:
         joined = present.withColumn("_controlled", F.lit(False))
     else:
-        joined = present.join(control.withColumn("_controlled", F.lit(True)), "file_path", "full_outer")
+        # Listings and senders may name one place by different schemes.
+        found = present.withColumn("_place", location(F.col("file_path")))
+        promised = control.withColumn("_place", location(F.col("file_path")))
+        promised = promised.withColumn("_controlled", F.lit(True)).withColumnRenamed("file_path", "_promised")
+        joined = found.join(promised, "_place", "full_outer").withColumn(
+            "file_path", F.coalesce("file_path", "_promised")
+        )
     routed = routing.route(joined, config.mappings)
     too_large = routing.size_error(F.col("actual_size"), F.col("mapping.max_file_size"))
     if control is None or options.skip_validation:
         failed = F.array().cast("array<string>")
-        checked = routed
+        checked = routed if control is not None else routed.withColumn("record_count", F.lit(None))
     else:
         checked = validation.check_files(routed.select("*", *rules))
         failed = F.when(F.col("_controlled"), F.col("validation.validation_errors")).otherwise(
@@ -69,6 +76,7 @@ def decide(
         "actual_size",
         F.col("mapping.target_name").alias("target_name"),
         F.col("mapping.position").alias("position"),
+        F.col("record_count").cast("bigint").alias("expected_records"),
         reasons.alias("errors"),
         F.when(F.size(reasons) == 0, F.lit(accepted)).otherwise(F.lit(REJECT)).alias("action"),
     )
@@ -132,6 +140,36 @@ def process_target(
     return out
 
 
+def reconcile_files(
+    spark: SparkSession, mapping: Mapping, chosen: DataFrame, paths: list[str]
+) -> DataFrame:
+    """Records that were promised and that are there, per file of a target.
+
+    CSV records are counted as the job reads them, so quoted line breaks do not count.
+    """
+    name = mapping.processing.file_format.upper()
+    if name in ("CSV", "TSV"):
+        dialect = readers.csv_settings(ConvertOptions.from_params(mapping.params)) if name == "CSV" else {}
+        counted = inventory.count_rows(spark, paths, name, options={**dialect, "inferSchema": "false"})
+    else:
+        counted = inventory.count_records(spark, paths, name)
+    before = F.struct(
+        F.lit(True).alias("record_count_match"),
+        F.lit(True).alias("file_size_match"),
+        F.lit(True).alias("checksum_match"),
+        F.col("expected_records"),
+        F.lit(0).cast("bigint").alias("actual_records"),
+        F.col("errors").alias("validation_errors"),
+    )
+    same = location(F.col("file_path")) == location(F.col("path"))
+    return (
+        chosen.join(counted, same, "left")
+        .withColumn("before", before)
+        .withColumn("after", validation.reconcile(F.col("before"), F.coalesce("records", F.lit(0))))
+        .select("file_path", "target_name", "after.*")
+    )
+
+
 def listing(spark: SparkSession, path: str, config: Config) -> DataFrame:
     """Files below a path with the target each belongs to."""
     found = inventory.list_files(spark, path).withColumnRenamed("path", "file_path")
@@ -150,7 +188,10 @@ def run_batch(
     job_id: str,
     options: BatchOptions = BatchOptions(),
 ) -> DataFrame:
-    """Decide, process and log a batch of files; returns its records, folded from the log.
+    """Decide, process, count and log a batch of files; returns its records, folded from the log.
+
+    Below ``log_path`` are the ``log``, the decisions of the job and, for mappings that check
+    record counts, the counted records per file.
 
     A target that fails is tried up to ``config.max_retries`` times more. Then its files fail,
     and the batch goes on with the next target or stops, by option.
@@ -177,6 +218,9 @@ def run_batch(
                 _log_failure(chosen, job_id, attempt, str(caught), entries)
         if failure is None:
             _log_success(chosen, job_id, entries)
+            if mapping.rules.validate_record_count:
+                counts = reconcile_files(spark, mapping, chosen, paths)
+                counts.write.mode("overwrite").parquet(f"{log_path}/counted-{job_id}/position={position}")
         elif not options.continue_on_error:
             raise failure
     return tracking.fold(tracking.once(spark.read.parquet(entries)), config.max_retries)

@@ -52,7 +52,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
 
 
@@ -68,7 +68,7 @@ def _with_expected(counts: DataFrame, expected: DataFrame | None) -> DataFrame:
 
 
 def count_lines(
-    spark: SparkSession, path: str, header: bool, expected: DataFrame | None = None
+    spark: SparkSession, path: str | list[str], header: bool, expected: DataFrame | None = None
 ) -> DataFrame:
     """Physical lines per file, without the header line when there is one.
 
@@ -85,7 +85,7 @@ def count_lines(
 
 def count_rows(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     file_format: str,
     schema: str | None = None,
     options: dict[str, str] | None = None,
@@ -109,7 +109,7 @@ def valid_json_lines(line: Column) -> Column:
     return F.count_if((text != "") & is_json(text))
 
 
-def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
+def count_json(spark: SparkSession, path: str | list[str], expected: DataFrame | None = None) -> DataFrame:
     """Records per JSON file: array elements when the file starts with ``[``, else valid lines.
 
     Files are read line by line. Only arrays that span several lines are read again whole,
@@ -176,7 +176,7 @@ def count_json(spark: SparkSession, path: str, expected: DataFrame | None = None
 
 
 def count_records(
-    spark: SparkSession, path: str, file_format: str, expected: DataFrame | None = None
+    spark: SparkSession, path: str | list[str], file_format: str, expected: DataFrame | None = None
 ) -> DataFrame:
     """path and records per file, by the counting rule of the format."""
     name = file_format.upper()

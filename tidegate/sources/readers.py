@@ -60,9 +60,22 @@ def read(
     return reader.options(**(options or {})).load(path)
 
 
+def csv_settings(dialect: ConvertOptions) -> dict[str, str]:
+    """Reader options of a CSV dialect."""
+    return {
+        "header": str(dialect.header).lower(),
+        "sep": dialect.delimiter,
+        "quote": dialect.quote,
+        "escape": dialect.escape,
+        "multiLine": str(dialect.multi_line).lower(),
+        "dateFormat": CSV_DATE,
+        "timestampFormat": CSV_TIMESTAMP,
+    }
+
+
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     dialect: ConvertOptions = ConvertOptions(),
     schema: StructType | str | None = None,
     options: dict[str, str] | None = None,
@@ -72,16 +85,7 @@ def read_csv(
     Quoted line breaks are honoured by default, which makes Spark read each file in one task.
     Turn ``dialect.multi_line`` off for large files known to have none, so that they split.
     """
-    settings = {
-        "header": str(dialect.header).lower(),
-        "sep": dialect.delimiter,
-        "quote": dialect.quote,
-        "escape": dialect.escape,
-        "multiLine": str(dialect.multi_line).lower(),
-        "dateFormat": CSV_DATE,
-        "timestampFormat": CSV_TIMESTAMP,
-    }
-    return read(spark, path, "CSV", schema, {**settings, **(options or {})})
+    return read(spark, path, "CSV", schema, {**csv_settings(dialect), **(options or {})})
 
 
 def read_registered(spark: SparkSession, source: str, path: str, **options: str) -> DataFrame:

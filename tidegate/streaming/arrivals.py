@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate import schemas
+from tidegate.functions.paths import location
 from tidegate.options import Config
 from tidegate.plans.batch import BatchOptions, decide, run_batch
 
@@ -41,7 +43,9 @@ def on_arrival(
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        announced = files().join(batch.select("file_path").distinct(), "file_path", "left_semi")
+        places = batch.select(location(F.col("file_path")).alias("_place"))
+        listed = files()
+        announced = listed.join(places, location(listed["file_path"]) == places["_place"], "left_semi")
         if options.validate_only:
             decisions = decide(announced, batch, config, options)
             decisions.write.mode("overwrite").parquet(f"{log_path}/batch_id={number}")
