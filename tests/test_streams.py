@@ -110,7 +110,7 @@ def landing(spark, tmp_path):
                 "file_path": f"file://{path}",
                 "file_name": path.name,
                 "file_size": len(body) + (name == "customers/b.csv"),
-                "file_hash": hashlib.md5(body.encode()).hexdigest(),
+                "file_hash": (hashlib.md5 if name < "d" else hashlib.sha256)(body.encode()).hexdigest(),
                 "record_count": body.count("\n") - 1 + (name == "orders/o.csv"),
                 "column_count": 4,
                 "created_at": "2024-01-01T00:00:00Z",
@@ -137,7 +137,7 @@ def landing(spark, tmp_path):
                         "target_name": "ORDERS",
                         "entry_point": "convert",
                         "script_params": {"partition-by": "order_date"},
-                        "validation_rules": {"validate_record_count": True},
+                        "validation_rules": {"validate_record_count": True, "validate_checksum": True},
                     },
                 ],
             }
@@ -147,9 +147,8 @@ def landing(spark, tmp_path):
 
 
 def listed(spark, root):
-    """Files with their MD5 in the place of an entity tag."""
-    found = inventory.digests(spark, root)
-    return found.select(F.col("path").alias("file_path"), "size", F.col("md5").alias("etag"))
+    """Files with their digests."""
+    return inventory.digests(spark, root).withColumnRenamed("path", "file_path")
 
 
 def run(spark, landing, tmp_path, options=batch.BatchOptions()):

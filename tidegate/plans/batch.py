@@ -22,6 +22,8 @@ PROCESS = "process"
 VALIDATED = "validated"
 REJECT = "reject"
 
+DIGESTS = ("md5", "sha1", "sha256")
+
 
 @dataclass(frozen=True)
 class BatchOptions:
@@ -38,14 +40,16 @@ def decide(
 ) -> DataFrame:
     """One row per file with its target, ``errors`` and ``action``.
 
-    ``files`` has file_path, size and etag. A file without control record is not checked; a
-    control record without file is rejected. Both stay in the result.
+    ``files`` has file_path and size, and for checksums an etag or the columns of
+    ``inventory.digests``. A file without control record is not checked; a control record
+    without file is rejected. Both stay in the result.
     """
     rules = [
         F.col(f"mapping.{n}").alias(n)
         for n in ("validate_record_count", "validate_file_size", "validate_checksum")
     ]
-    present = files.select("file_path", F.col("size").alias("actual_size"), "etag")
+    hashes = [c for c in ("etag", *DIGESTS) if c in files.columns]
+    present = files.select("file_path", F.col("size").alias("actual_size"), *hashes)
     if control is None:
         joined = present.withColumn("_controlled", F.lit(False))
     else:
@@ -56,6 +60,10 @@ def decide(
         joined = found.join(promised, "_place", "full_outer").withColumn(
             "file_path", F.coalesce("file_path", "_promised")
         )
+        if set(DIGESTS) <= set(hashes):
+            joined = validation.with_digest(joined)
+        elif "etag" not in hashes:
+            joined = joined.withColumn("etag", F.lit(None).cast("string"))
     routed = routing.route(joined, config.mappings)
     too_large = routing.size_error(F.col("actual_size"), F.col("mapping.max_file_size"))
     if control is None or options.skip_validation:

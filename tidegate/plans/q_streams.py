@@ -6,14 +6,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tidegate.functions import paths
 from tidegate.operators import tables, tracking
 from tidegate.options import Config, Mapping, Rules
 from tidegate.plans import inputs
-from tidegate.plans.batch import BatchOptions, decide, decision_log, report
+from tidegate.plans.batch import BatchOptions, decide, decision_log, report, run_batch
 from tidegate.plans.q_tracking import CONTROL, OUTCOME_LOG_SQL, OUTCOMES, STORED, run_records
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
+from tidegate.sinks import files as sink
 from tidegate.sources import control as control_source
+from tidegate.sources import inventory
 from tidegate.streaming import arrivals, streams
 from tidegate.streaming.envelopes import as_envelopes
 
@@ -188,3 +191,55 @@ def batch_summary_report(spark, folder):
     files = inputs.columns(spark, folder, "documents", STORED).join(control, "file_path", "left_semi")
     decisions = decide(files, control, SOURCES, BatchOptions(validate_only=True))
     return report(tracking.fold(decision_log(decisions, "job-7"), 3))
+
+
+@query(
+    "batch_course",
+    f"""
+    SELECT 'CUSTOMERS' AS target_name, count(*) AS counted_records,
+           count(*) FILTER (customer_id IS NOT NULL AND email IS NOT NULL) AS written_records
+    FROM {inputs.select('customer', inputs.CUSTOMERS)}
+    UNION ALL SELECT 'ORDERS', count(*), count(*) FROM {inputs.select('orders', inputs.ORDERS)}
+    """,
+)
+def batch_course(spark, folder):
+    landed = work_folder(spark, "landed")
+    for name, domain, expressions in (
+        ("customer", "customers", inputs.CUSTOMERS),
+        ("orders", "orders", inputs.ORDERS),
+        ("part", "elsewhere", inputs.PRODUCTS),
+    ):
+        sink.write(inputs.columns(spark, folder, name, expressions), f"{landed}/{domain}", "CSV", "gzip")
+    files = inventory.list_files(spark, landed).select(
+        F.col("path").alias("file_path"), "size", F.lit(None).cast("string").alias("etag")
+    )
+    prefix = f"{_key(spark, files, landed.rsplit('/', 1)[1])}/"
+    checked = Rules(validate_record_count=True)
+    config = Config(
+        (
+            Mapping(f"{prefix}customers/", "CUSTOMERS", rules=checked),
+            Mapping(f"{prefix}orders/", "ORDERS", "convert", rules=checked),
+        )
+    )
+    out, log = work_folder(spark, "out"), work_folder(spark, "log")
+    run_batch(spark, files, None, config, out, log, "job-5")
+    counted = (
+        spark.read.parquet(f"{log}/counted-job-5")
+        .groupBy("target_name")
+        .agg(F.sum("actual_records").alias("counted_records"))
+    )
+    target = F.regexp_extract(inventory.FILE_PATH, "/processed/([^/]*)/", 1)
+    written = (
+        spark.read.option("recursiveFileLookup", "true")
+        .schema("_job_id STRING")
+        .parquet(f"{out}/processed")
+        .groupBy(target.alias("target_name"))
+        .agg(F.count(F.lit(1)).alias("written_records"))
+    )
+    return counted.join(written, "target_name")
+
+
+def _key(spark, files, folder_name):
+    """Key of a folder, as it is written in the paths of a listing."""
+    any_file = files.select(paths.key(F.col("file_path"))).first()[0]
+    return any_file.split(folder_name)[0] + folder_name
