@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate import schemas
 from tidegate.operators import routing, tracking, validation
 from tidegate.operators.latest import latest_per_key, with_previous
 from tidegate.options import Mapping, Processing, Rules
@@ -305,6 +306,27 @@ def test_lookup_selection_and_expiry(spark):
     assert [r.file_path for r in tracking.expired(df, F.lit(20)).collect()] == ["f1"]
 
 
+def test_assembled_records(spark):
+    files = spark.createDataFrame(
+        [("s3://b/customers/y.csv", None, None, None, None, None)],
+        "file_path STRING, file_name STRING, file_size BIGINT, file_hash STRING, batch_id STRING, source_system STRING",
+    )
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    initial = tracking.initiate(files, MAPPINGS, "j", at, 30)
+    log = tracking.log_entries(
+        initial.select(*tracking.KEY),
+        tracking.transition("INITIATED", F.lit("1"), at),
+        tracking.transition("PROCESSING", F.lit("2"), at, F.lit("run-1")),
+    )
+    assert log.schema.fieldNames() == [f.strip().split(" ")[0] for f in schemas.TRACKING_LOG.replace("<STRING,STRING>", "").split(",")]
+    checks = "named_struct('record_count_match', true, 'file_size_match', true, 'checksum_match', false, 'expected_records', 3L, 'actual_records', 0L, 'validation_errors', array('e'))"
+    validated = initial.select(*tracking.KEY, F.expr(checks).alias("validation_results"))
+    row = tracking.assemble(initial, tracking.fold(log, 3), validated).first()
+    assert (row.orchestration_state, row.version, row.target_table) == ("PROCESSING", 2, "CUSTOMERS")
+    assert row.emr_job_details.job_run_id == "run-1" and row.emr_job_details.status == "PROCESSING"
+    assert row.validation_results.validation_errors == ["e"] and row.load_results is None
+
+
 def test_snake_case(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "File_path INT, JobRunID INT, Emr_job_details INT, EMRStatus INT")
     snake = tracking.snake_case(df)

@@ -18,9 +18,8 @@ from tidegate.operators.latest import latest_per_key
 from tidegate.sinks import files as sink
 from tidegate.sources import hadoop
 
-# File sizes that compaction aims for.
+# File size that compaction aims for, and how many small files it takes.
 TARGET_FILE_BYTES = 128 * 1024**2
-MAX_FILE_BYTES = 512 * 1024**2
 MIN_INPUT_FILES = 2
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schemas
@@ -208,6 +208,44 @@ def history(
     )
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A written log without repeats; the schema is given, so no file is opened to infer it."""
+    schema = schemas.struct(schemas.TRACKING_LOG)
+    return once(spark.read.schema(schema).parquet(path).select(*schema.names))
+
+
+def assemble(
+    initial: DataFrame,
+    folded: DataFrame,
+    validated: DataFrame | None = None,
+    loads: DataFrame | None = None,
+) -> DataFrame:
+    """Full records: how each file began (:func:`initiate`), what became of it (:func:`fold`),
+    and its ``validation_results`` and ``load_results`` where frames with the key and such a
+    struct are given. Its history is not packed into the record; it stays as rows of the log."""
+    began = initial.drop(*(c for c in folded.columns if c not in KEY))
+    details = F.struct(
+        F.lit(None).cast("string").alias("application_id"),
+        F.col("job_run_id"),
+        F.col("processing_started").alias("start_time"),
+        F.col("processing_completed").alias("end_time"),
+        F.col("orchestration_state").alias("status"),
+        F.lit(None).cast("bigint").alias("processed_records"),
+    )
+    out = began.join(folded, list(KEY), "left").withColumn(
+        "emr_job_details", details.cast(schemas.struct(schemas.JOB_DETAILS))
+    )
+    for name, kind, frame in (
+        ("validation_results", schemas.VALIDATION, validated),
+        ("load_results", schemas.LOAD_RESULTS, loads),
+    ):
+        if frame is None:
+            out = out.withColumn(name, F.lit(None).cast(schemas.struct(kind)))
+        else:
+            out = out.join(frame.select(*KEY, F.col(name).cast(schemas.struct(kind))), list(KEY), "left")
+    return out.drop("job_run_id")
+
+
 def newest_versions(records: DataFrame) -> DataFrame:
     """Record with the highest version of each (file_path, job_id)."""
     return latest_per_key(records, KEY, "version")

@@ -231,7 +231,7 @@ def run_batch(
                 counts.write.mode("overwrite").parquet(f"{log_path}/counted-{job_id}/position={position}")
         elif not options.continue_on_error:
             raise failure
-    return tracking.fold(tracking.once(spark.read.parquet(entries)), config.max_retries)
+    return tracking.fold(tracking.read_log(spark, entries), config.max_retries)
 
 
 def _named(step: str, job_id: str):

@@ -75,7 +75,10 @@ def compressed_csv_scan(spark, folder):
     return _typed_orders(readers.read(spark, path, "CSV"))
 
 
-@query("json_scan", "SELECT event_id, date_trunc('milliseconds', ts) AS ts, user_id, event_type, value, props FROM events")
+@query(
+    "json_scan",
+    "SELECT event_id, date_trunc('milliseconds', ts) AS ts, user_id, event_type, value, props FROM events",
+)
 def json_scan(spark, folder):
     path = work_folder(spark, "json")
     sink.write(table(spark, folder, "events"), path, "JSON", "none")

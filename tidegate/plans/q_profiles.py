@@ -221,8 +221,10 @@ def quality_stats(spark, folder):
     "empty_rows_removed",
     f"""
     SELECT count(*) AS input_records,
-           count(*) FILTER (balance IS NOT NULL OR coalesce(name, '') <> '' OR coalesce(region, '') <> '') AS output_records,
-           count(*) FILTER (balance IS NULL AND coalesce(name, '') = '' AND coalesce(region, '') = '') AS data_quality_issues
+           count(*) FILTER (balance IS NOT NULL OR coalesce(name, '') <> '' OR coalesce(region, '') <> '')
+               AS output_records,
+           count(*) FILTER (balance IS NULL AND coalesce(name, '') = '' AND coalesce(region, '') = '')
+               AS data_quality_issues
     FROM {inputs.select('customer', inputs.BLANK_CUSTOMERS)}
     """,
 )

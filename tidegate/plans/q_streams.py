@@ -84,7 +84,7 @@ def stream_job_events(spark, folder):
             work_folder(spark, "at"),
         )
     )
-    return tracking.once(spark.read.parquet(log)).select(
+    return tracking.read_log(spark, log).select(
         *tracking.KEY, "event_id", "kind", "to_state", "error_message", "retryable", "job_run_id"
     )
 
@@ -169,7 +169,8 @@ def stream_arrivals(spark, folder):
     "batch_decisions",
     f"""
     SELECT * FROM ({ARRIVALS_SQL})
-    UNION ALL SELECT file_path, CASE WHEN starts_with(file_path, 's3://in/src1') THEN 'ONES' ELSE 'OTHER' END, '', 'validated'
+    UNION ALL SELECT file_path, CASE WHEN starts_with(file_path, 's3://in/src1') THEN 'ONES' ELSE 'OTHER' END, '',
+           'validated'
     FROM {inputs.select('documents', STORED)} WHERE file_path LIKE '%.part'
     """,
 )
@@ -182,7 +183,8 @@ def batch_decisions(spark, folder):
 @query(
     "batch_summary_report",
     f"""
-    SELECT 'job-7' AS job_id, CASE action WHEN 'reject' THEN 'FAILED' ELSE 'VALIDATED' END AS orchestration_state,
+    SELECT 'job-7' AS job_id,
+           CASE action WHEN 'reject' THEN 'FAILED' ELSE 'VALIDATED' END AS orchestration_state,
            count(*) AS files, CAST(0 AS BIGINT) AS retries FROM ({ARRIVALS_SQL}) GROUP BY ALL
     """,
 )

@@ -191,7 +191,11 @@ def snapshot_history(spark, folder):
     return tables.snapshots(log)
 
 
-@query("compacted_table", "SELECT count(*) AS rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, true AS fewer_files FROM lineitem")
+@query(
+    "compacted_table",
+    "SELECT count(*) AS rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, "
+    "true AS fewer_files FROM lineitem",
+)
 def compacted_table(spark, folder):
     path, new = work_folder(spark, "scattered"), work_folder(spark, "compact")
     table(spark, folder, "lineitem").repartition(24).write.parquet(path)

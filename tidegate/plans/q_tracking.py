@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import paths, text, values
 from tidegate.operators import routing, tracking, validation
-from tidegate.operators.latest import latest_per_key
 from tidegate.options import Mapping, Processing, Rules
 from tidegate.plans import inputs
 from tidegate.plans.registry import query, table

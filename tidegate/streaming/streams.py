@@ -108,15 +108,20 @@ def newest_windows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def apply_job_events(
-    events: DataFrame, records: DataFrame, log_path: str, unknown_path: str, checkpoint: str,
+    events: DataFrame,
+    records: DataFrame,
+    log_path: str,
+    unknown_path: str,
+    checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
     """Log the outcome of finished runs, and set events of unknown runs aside.
 
     An event may be delivered again, in any batch; readers of the log drop repeats with
-    ``tracking.once``, so that no batch has to shuffle for it. Events are matched with the records as they are when a batch runs. Both writes of a batch
-    replace what an earlier try of it wrote. The matched batch is kept for its two writes, so
-    it is read and joined once; a lost piece of it is computed again.
+    ``tracking.once``, so that no batch has to shuffle for it. Events are matched with the
+    records as they are when a batch runs. Both writes of a batch replace what an earlier try
+    of it wrote. The matched batch is kept for its two writes, so it is read and joined once;
+    a lost piece of it is computed again.
     """
 
     def put(batch: DataFrame, number: int) -> None:
