@@ -128,6 +128,22 @@ def test_basic_job_leaves_data_and_marker(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "o" / "data")).count() == 2
 
 
+def test_job_over_a_file_without_rows(spark, tmp_path):
+    source = tmp_path / "c.csv"
+    source.write_text("order_id,amount\n")
+    stats = jobs.run_standard(spark, str(source), str(tmp_path / "o"), "ORDERS", "j")
+    assert (stats.input_records, stats.output_records) == (0, 0)
+    empty = spark.createDataFrame([], "a INT")
+    stats = jobs.run_counted(empty, lambda d: d, lambda d: sink.write(d, str(tmp_path / "e")))
+    assert (stats.input_records, stats.output_records) == (0, 0)
+
+
+@pytest.mark.parametrize("name", ["JSON", "CSV"])
+def test_text_outputs_take_the_default_codec(spark, tmp_path, name):
+    sink.write(spark.range(100), str(tmp_path / "o"), name)
+    assert spark.read.text(str(tmp_path / "o")).count() >= 100
+
+
 def test_stats_frame(spark):
     row = jobs.JobStats(10, 8, 2.0).frame(spark).first()
     assert (row.data_quality_issues, row.records_per_second) == (2, 4.0)

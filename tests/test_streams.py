@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,6 +221,16 @@ def test_failing_job_is_retried_and_then_fails(spark, landing, tmp_path, monkeyp
     assert {(r.orchestration_state, r.files, r.retries) for r in summary} == {("FAILED", 3, 3), ("PROCESSED", 1, 0)}
 
 
+def test_wrong_settings_are_not_retried(spark, landing, tmp_path):
+    root, control, config = landing
+    first, second = config.mappings
+    wrong = replace(first, processing=replace(first.processing, output_format="ICEBERG"))
+    records, _ = run(spark, (root, control, replace(config, mappings=(wrong, second))), tmp_path)
+    failed = records["customers/a.csv"]
+    assert (failed.orchestration_state, failed.retry_count, failed.errors) == ("FAILED", 0, 1)
+    assert records["orders/o.csv"].orchestration_state == "PROCESSED"
+
+
 def test_missing_required_field_is_refused(spark, tmp_path):
     mapping = Mapping("x/", "CUSTOMERS", rules=Rules(required_fields=("customer_id", "signup_year")))
     path = tmp_path / "c.csv"

@@ -58,10 +58,13 @@ def test_route_by_table_compares_by_equality(spark):
     assert "NestedLoop" not in routed._jdf.queryExecution().executedPlan().toString()
 
 
-def test_too_many_literal_mappings(spark):
-    many = tuple(Mapping(f"p{i}/", "T") for i in range(routing.MAX_LITERAL_MAPPINGS + 1))
-    with pytest.raises(ValueError, match="use route_by_table"):
-        routing.mapping_for(F.lit("x"), many)
+def test_very_many_mappings(spark):
+    many = tuple(Mapping(f"p{i}/", f"T{i}") for i in range(routing.MAX_LITERAL_MAPPINGS * 5))
+    files = spark.createDataFrame([("s3://b/p0/x",), ("s3://b/p999/x",), ("s3://b/p1000/x",)], "file_path STRING")
+    rows = routing.route(files, many).select("file_path", "mapping.target_name").collect()
+    assert {r.file_path: r.target_name for r in rows} == {
+        "s3://b/p0/x": "T0", "s3://b/p999/x": "T999", "s3://b/p1000/x": None,
+    }
 
 
 NOW = dt.datetime(2024, 1, 1)

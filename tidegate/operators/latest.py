@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidegate.functions.values import micros
 
 PERCENTILE_ACCURACY = 10_000
+MAX_SLICES = 10_000
 SKETCH_ITEMS = 10_000
 SKETCH_ITEMS_PER_PIECE = 16
 
@@ -94,7 +95,7 @@ def with_previous(
     ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window.
     """
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = conf if slices is None else slices
+    count = min(conf if slices is None else slices, MAX_SLICES)
     sort = [order, *tie]
     hot = hot_keys(df, keys, count) if count > 1 else []
     if not hot:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import paths
 from tidegate.options import Mapping
-from tidegate.sources.control import MAPPING, mapping_row
+from tidegate.sources.control import MAPPING, mapping_row, mappings_frame
 
-#: Above this many mappings, use :func:`route_by_table` instead of literals in the plan.
+#: Above this many mappings, :func:`route` joins a table of them.
 MAX_LITERAL_MAPPINGS = 200
 
 BAD_PATH = "invalid S3 path format: "
@@ -31,8 +31,6 @@ def mapping_for(key: Column, mappings: Sequence[Mapping]) -> Column:
 
     The mappings are one constant; only the place in it is worked out per row.
     """
-    if len(mappings) > MAX_LITERAL_MAPPINGS:
-        raise ValueError(f"{len(mappings)} mappings are too many for one expression; use route_by_table")
     fields = [part.rsplit(" ", 1) for part in MAPPING.split(", ")]
 
     def literal(position: int, mapping: Mapping) -> Column:
@@ -63,8 +61,10 @@ def route_error(path: Column, target: Column) -> Column:
 def route(files: DataFrame, mappings: Sequence[Mapping], path: str = "file_path") -> DataFrame:
     """``files`` with a ``mapping`` struct and a ``route_error``, no join and no shuffle.
 
-    Files without a mapping stay, with the reason.
+    Files without a mapping stay, with the reason. Very many mappings go the way of a table.
     """
+    if len(mappings) > MAX_LITERAL_MAPPINGS:
+        return route_by_table(files, mappings_frame(files.sparkSession, mappings), path)
     found = mapping_for(paths.key(F.col(path)), mappings)
     return files.withColumn("mapping", found).withColumn(
         "route_error", route_error(F.col(path), F.col("mapping.target_name"))

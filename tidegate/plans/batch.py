@@ -201,8 +201,8 @@ def run_batch(
     Below ``log_path`` are the ``log``, the decisions of the job and, for mappings that check
     record counts, the counted records per file.
 
-    A target that fails is tried up to ``config.max_retries`` times more. Then its files fail,
-    and the batch goes on with the next target or stops, by option.
+    A target that fails is tried up to ``config.max_retries`` times more, unless its settings
+    are wrong. Then its files fail, and the batch goes on with the next target or stops, by option.
     """
     decided_path = f"{log_path}/decided-{job_id}"
     decide(files, control, config, options).write.mode("overwrite").parquet(decided_path)
@@ -221,9 +221,14 @@ def run_batch(
                 process_target(spark, mapping, paths, output_root, job_id)
                 failure = None
                 break
+            except ValueError as caught:
+                # A mistake in the configuration or the files stays one however often it is tried.
+                failure = caught
+                _log_failure(chosen, job_id, attempt, str(caught), False, entries)
+                break
             except Exception as caught:  # noqa: BLE001
                 failure = caught
-                _log_failure(chosen, job_id, attempt, str(caught), entries)
+                _log_failure(chosen, job_id, attempt, str(caught), True, entries)
         if failure is None:
             _log_success(chosen, job_id, entries)
             if mapping.rules.validate_record_count:
@@ -238,7 +243,9 @@ def _named(step: str, job_id: str):
     return F.concat_ws("|", F.lit(job_id), "file_path", F.lit(step))
 
 
-def _log_failure(chosen: DataFrame, job_id: str, attempt: int, message: str, entries: str) -> None:
+def _log_failure(
+    chosen: DataFrame, job_id: str, attempt: int, message: str, retryable: bool, entries: str
+) -> None:
     rows = chosen.withColumn("job_id", F.lit(job_id))
     failed = tracking.error(
         _named(f"5-failed-{attempt}", job_id),
@@ -246,7 +253,7 @@ def _log_failure(chosen: DataFrame, job_id: str, attempt: int, message: str, ent
         "processing",
         "JOB_FAILED",
         F.lit(message),
-        True,
+        retryable,
     )
     tracking.log_entries(rows, failed).write.mode("append").parquet(entries)
 

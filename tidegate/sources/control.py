@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +46,7 @@ def mapping_row(mapping: Mapping, position: int) -> tuple:
     )
 
 
-def mappings_frame(spark: SparkSession, mappings: tuple[Mapping, ...]) -> DataFrame:
+def mappings_frame(spark: SparkSession, mappings: Sequence[Mapping]) -> DataFrame:
     """Mappings of a configuration file as rows."""
     rows = [mapping_row(m, i) for i, m in enumerate(mappings)]
     return spark.createDataFrame(rows, MAPPING)
