@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tidegate.functions.partitioning import PartitionField, SortField, with_partitions
 from tidegate.operators.latest import latest_per_key
 from tidegate.sinks import files as sink
-from tidegate.sources import hadoop
+from tidegate.sources.inventory import file_rows
 
 # File size that compaction aims for, and how many small files it takes.
 TARGET_FILE_BYTES = 128 * 1024**2
@@ -230,8 +230,7 @@ def compact(
 
 def _sizes(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
     """Files and bytes per partition value, from the file listing alone."""
-    listed = spark.read.format("binaryFile").load(path)
-    return listed.groupBy(*partition_by).agg(
+    return file_rows(spark, path).groupBy(*partition_by).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("bytes"),
         F.count_if(F.col("length") < TARGET_FILE_BYTES).alias("small_files"),
@@ -245,7 +244,3 @@ def current_rows(base: DataFrame, changes: DataFrame, keys: Sequence[str], versi
     """
     newest = latest_per_key(changes, keys, version).select(*base.columns)
     return merge(base, newest, keys, check_source=False)
-
-
-def total_bytes(spark: SparkSession, path: str) -> int:
-    return hadoop.total_bytes(spark, path)

@@ -17,12 +17,6 @@ def matches(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes below a folder, from the file system's own summary."""
-    place, fs = _path(spark, path)
-    return fs.getContentSummary(place).getLength()
-
-
 def put_marker(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file, replacing one of the same name."""
     place, fs = _path(spark, path)

@@ -22,17 +22,22 @@ BLANKS = " \t\r\n\v\f"
 FILE_PATH = "_metadata.file_path"
 
 
+def file_rows(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """One row per file, for uses that do not touch ``content``.
+
+    Spark makes tasks by the bytes of the files, which are not read here, so a large table
+    would get very many empty ones. They are joined without a shuffle.
+    """
+    rows = spark.read.format("binaryFile").options(**options).load(path)
+    return rows.coalesce(spark.sparkContext.defaultParallelism)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """path, size and modification time of each file. No file content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col(FILE_PATH).alias("path"),
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("mod_time"),
-        )
+    return file_rows(spark, path, recursiveFileLookup="true").select(
+        F.col(FILE_PATH).alias("path"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("mod_time"),
     )
 
 
