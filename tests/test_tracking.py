@@ -256,6 +256,22 @@ def test_hot_keys_are_found_and_cut_evenly(spark):
     assert hot_keys(df.filter("k <> 'hot'"), ["k"], 10) == []
 
 
+@pytest.mark.parametrize("kind", ["STRING", "DATE", "DOUBLE", "DECIMAL(20,2)", "BIGINT"])
+def test_previous_by_orders_of_all_kinds(spark, kind):
+    value = "date_add(DATE'2024-01-01', cast(id AS INT))" if kind == "DATE" else f"cast(id * 7919 % 1009 AS {kind})"
+    df = spark.range(1009).selectExpr("'hot' AS k", "id", f"{value} AS at")
+    plain = with_previous(df, ["k"], "at", "id", "before", slices=1).collect()
+    cut = with_previous(df, ["k"], "at", "id", "before", slices=8).collect()
+    assert {r.id: r.before for r in cut} == {r.id: r.before for r in plain}
+
+
+def test_not_a_number_comes_last(spark):
+    values = [float("nan"), 1.0, None, float("-inf"), 2.0, float("inf"), 3.0, float("nan")]
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k STRING, i INT, at DOUBLE")
+    got = {r.i: r.before for r in with_previous(df, ["k"], "at", "i", "before", ["i"], slices=4).collect()}
+    assert got == {2: None, 3: 2, 1: 3, 4: 1, 6: 4, 5: 6, 0: 5, 7: 0}
+
+
 def test_plain_window_without_hot_keys(spark):
     df = spark.range(1000).selectExpr("id % 100 AS k", "id AS at")
     plan = with_previous(df, ["k"], "at", "at", "b")._jdf.queryExecution().executedPlan().toString()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -34,11 +35,14 @@ def time_micros(df: DataFrame, column: str) -> Column:
     return micros(F.col(column), isinstance(df.schema[column].dataType, T.TimestampType))
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    """A number that grows with the column, in any session time zone."""
-    if isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+def _as_number(df: DataFrame, column: str) -> Column | None:
+    """A number that grows with the column, in any session time zone; none for other types."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return time_micros(df, column).cast("double")
-    return F.col(column).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    return F.col(column).cast("double") if isinstance(kind, T.NumericType) else None
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int) -> list[int]:
@@ -66,7 +70,8 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: str, hot: list[int], slic
     numbered = df.withColumn("_number", F.when(is_hot, _as_number(df, order)))
     shares = [i / slices for i in range(1, slices)]
     bounds = numbered.agg(F.percentile_approx("_number", shares, PERCENTILE_ACCURACY)).first()[0]
-    edges = [float("-inf"), *sorted(set(bounds or [])), float("inf")]
+    inner = sorted({b for b in bounds or [] if math.isfinite(b)})
+    edges = [float("-inf"), *inner, float("inf")]
     if len(edges) == 2:
         return numbered.withColumn("_slice", F.lit(0)).drop("_number")
     cut = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
@@ -92,12 +97,14 @@ def with_previous(
     one slice. Only the first row of a hot key in a slice looks further back: it takes the last
     value of the key in an earlier slice, from a summary of one row per hot key and slice.
 
-    ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window.
+    ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window,
+    which also serves an ``order`` that is neither a number nor a time.
     """
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = min(conf if slices is None else slices, MAX_SLICES)
     sort = [order, *tie]
-    hot = hot_keys(df, keys, count) if count > 1 else []
+    cuttable = count > 1 and _as_number(df, order) is not None
+    hot = hot_keys(df, keys, count) if cuttable else []
     if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*sort)))
     cut = _sliced(df, keys, order, hot, count)
