@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import statistics, tables, tracking
 from tidegate.operators.latest import latest_per_key
 from tidegate.plans import catalog, inputs, jobs
+from tidegate.sinks import files as sink
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,3 +73,50 @@ def test_latest_takes_only_the_columns_asked_for(spark):
     newest = latest_per_key(spark.read.parquet(f"{FOLDER}/events.parquet"), ["user_id"], "event_id")
     text = plan(newest.select("user_id", "value"))
     assert "partial_max_by" in text
+
+
+def test_hot_target_key_is_split(spark):
+    """With both sides too large to broadcast, adaptive execution splits the hot key of the target."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        target = spark.range(0, 400_000, 1, 8).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 7L ELSE id END AS k", "sha2(cast(id AS STRING), 256) AS v"
+        )
+        source = spark.range(0, 400_000, 20, 4).selectExpr("id + 7 AS k", "'new' AS v")
+        merged = tables.merge(target, source, ["k"])
+        assert "skew=true" in _final_plan(merged)
+        hits = target.join(source, "k", "left_semi").count()
+        assert merged.filter("v = 'new'").count() == hits + source.join(target, "k", "left_anti").count()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_hot_partition_value_is_written_by_many_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        rows = spark.range(0, 400_000, 1, 8).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('p', id % 7) END AS p", "sha2(cast(id AS STRING), 256) AS v"
+        )
+        sink.write(rows, str(tmp_path / "o"), partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(str(tmp_path / "o"))
+    assert written.count() == 400_000
+    files = written.filter("p = 'hot'").select("_metadata.file_path").distinct().count()
+    assert files > 2
+
+
+def _final_plan(df):
+    """The plan as adaptive execution left it."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    return execution.executedPlan().toString()
