@@ -39,3 +39,33 @@ def held_out(key: Column) -> Column:
 
 def is_held_out(key: int) -> bool:
     return zlib.crc32(str(key).encode()) % 5 == 0
+
+
+def training_sample(
+    documents: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int, chars: int
+) -> list[tuple[str, int]]:
+    """Texts and labels to learn from, in a fixed order; never of held-out rows.
+
+    At most ``rows`` rows, those with the smallest hashes of their keys, and no text beyond
+    ``chars`` characters, so that the driver can hold them. Rows without a key, text or label are
+    left out. Only the key, the text and the label are read.
+    """
+    usable = F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key))
+    chosen = labels.where(usable).select(F.col(key).alias("__key"), F.col(label).alias("__label"))
+    chosen = chosen.groupBy("__key").agg(F.max("__label").alias("__label"))
+    chosen = chosen.orderBy(F.xxhash64("__key"), "__key").limit(rows)
+    texts = documents.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    texts = texts.where(F.length("__text") <= chars)
+    found = texts.join(F.broadcast(chosen), "__key")  # at most ``rows`` rows
+    out = found.select("__key", "__text", F.col("__label").cast("int").alias("__label")).collect()
+    return [(r["__text"], r["__label"]) for r in sorted(out)]
+
+
+def decided(scored: DataFrame, key: str, least: float) -> DataFrame:
+    """``key, held_out, score, predicted``."""
+    return scored.select(
+        key,
+        held_out(F.col(key)).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )

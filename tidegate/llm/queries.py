@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, simhash, token_files, topk, url_filter, warc
+from tidegate.llm import (
+    bpe,
+    common,
+    decontaminate,
+    quality,
+    simhash,
+    token_files,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from tidegate.llm.common import table
 from tidegate.session import work_folder
 
@@ -118,3 +129,32 @@ def bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     queries = vectors.where("vec_id % 50 = 0")
     found = topk.top_k(vectors, "vec_id", "embedding", queries, k=5, scale=256)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op3_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_leaks(
+        table(spark, folder, "documents"),
+        "doc_id",
+        "text",
+        table(spark, folder, "benchmark"),
+        "item_id",
+        "text",
+    )
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("op4_toxicity_string_kernel")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(documents, labels, "doc_id", "text", "toxic")
+    scored = toxicity.with_scores(documents.select("doc_id", "text"), "text", model)
+    return common.decided(scored, "doc_id", 0.5)
+
+
+@query("op7_quality_random_indexing")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(documents, labels, "doc_id", "text", "quality")
+    scored = quality.with_scores(documents.select("doc_id", "text"), "text", model)
+    return common.decided(scored, "doc_id", 0.3)
