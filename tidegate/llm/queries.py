@@ -16,6 +16,7 @@ from tidegate.llm import (
     bpe,
     common,
     decontaminate,
+    html_text,
     quality,
     simhash,
     token_files,
@@ -158,3 +159,9 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.fit(documents, labels, "doc_id", "text", "quality")
     scored = quality.with_scores(documents.select("doc_id", "text"), "text", model)
     return common.decided(scored, "doc_id", 0.3)
+
+
+@query("op9_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages, "html", "text", "n_chars").drop("html")
