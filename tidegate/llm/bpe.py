@@ -233,7 +233,7 @@ def encode_texts(df: DataFrame, text: str, path: str, ids: str = "ids") -> DataF
     if ids in df.columns:
         raise ValueError(f"the table has a column {ids} already")
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared, long = share_file(spark, path), _is_long(text)
     short = _map_ids(df.where(~long), text, shared, ids)
     return short.union(_long_ids(df.where(long), text, shared, ids))
@@ -313,7 +313,7 @@ def decode_ids(df: DataFrame, ids: str, path: str, text: str = "decoded") -> Dat
     if text in df.columns:
         raise ValueError(f"the table has a column {text} already")
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared, place = share_file(spark, path), df.columns.index(ids)
     schema = StructType([*df.schema.fields]).add(text, StringType())
 
@@ -341,7 +341,7 @@ def round_trip(df: DataFrame, key: str, text: str, path: str, keep: tuple[str, .
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     names = [key, *keep]
     source = df.select(*[F.col(n) for n in names], F.col(text).alias("__text"))
     long = _is_long("__text")

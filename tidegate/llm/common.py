@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import zlib
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +20,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, for texts; a lower setting stays."""
+_shipped: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch (a lower setting stays), and send workers this package.
+
+    The package goes through Spark's own distribution of Python files, once per application.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId not in _shipped and package.is_dir():
+        place = tempfile.mkdtemp(prefix="package-")  # on the driver, from where Spark copies it
+        archive = f"{place}/{package.name}"
+        context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -280,7 +280,7 @@ def find_leaks(
     hold nothing, and items without words, without a key or with a null text are in no document.
     A document shorter than an item is one window. Of windows that are alike the first counts.
     """
-    common.small_batches(documents.sparkSession)
+    common.prepare_workers(documents.sparkSession)
     schema = StructType(
         [
             documents.schema[key],
@@ -319,7 +319,7 @@ def without_leaks(
     documents: DataFrame, text: str, benchmark: DataFrame, item_key: str, item_text: str
 ) -> DataFrame:
     """The documents in which :func:`find_leaks` finds no item, unchanged and without a shuffle."""
-    common.small_batches(documents.sparkSession)
+    common.prepare_workers(documents.sparkSession)
     place = documents.columns.index(text)
     for shared in _item_sets(benchmark, item_key, item_text):
 

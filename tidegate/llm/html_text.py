@@ -575,7 +575,7 @@ def with_main_text(df: DataFrame, source: str, text: str = "main_text", size: st
         if name in df.columns:
             raise ValueError(f"the table has a column {name} already")
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared, place = spark.sparkContext.broadcast(train()), df.columns.index(source)
     schema = StructType([*df.schema.fields]).add(text, StringType()).add(size, LongType())
 

@@ -204,7 +204,7 @@ def with_scores(df: DataFrame, text: str, model: Model, score: str = "score") ->
     if score in df.columns:
         raise ValueError(f"the table has a column {score} already")
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared, place = spark.sparkContext.broadcast(model), df.columns.index(text)
     schema = StructType([*df.schema.fields]).add(score, DoubleType())
 

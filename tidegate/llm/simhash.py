@@ -70,7 +70,7 @@ def with_fingerprints(
     df: DataFrame, key: str, text: str, size: int = 3, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """``key``, ``keep`` and ``fp``, the fingerprint over shingles of ``size`` words."""
-    common.small_batches(df.sparkSession)
+    common.prepare_workers(df.sparkSession)
     names = [key, *keep]
     schema = StructType([*[df.schema[n] for n in names]]).add("fp", LongType())
 
@@ -245,7 +245,7 @@ def near_copies(
     texts are copies of each other. Rows without a key are left out; rows with one key are one
     document, of which the text that is first in order counts.
     """
-    common.small_batches(df.sparkSession)
+    common.prepare_workers(df.sparkSession)
     kind = df.schema[key]
     source = df.where(F.col(key).isNotNull()).select(key, F.col(text).alias("__text"))
 

@@ -73,7 +73,7 @@ def write_tokens(
     ordered before they are encoded, so that a text is encoded once and files are even.
     """
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared = share_file(spark, tokenizer)
     ordered = df.select(F.col(key), F.col(text).alias("__text"))
     ordered = ordered.repartitionByRange(key).sortWithinPartitions(key)
@@ -147,5 +147,5 @@ def token_digests(read: DataFrame, tokens: str = "tokens", out: str = "ids_crc32
                 [*columns, pa.array(sums, pa.int64())], names=schema.fieldNames()
             )
 
-    common.small_batches(read.sparkSession)
+    common.prepare_workers(read.sparkSession)
     return read.mapInArrow(run, schema)

@@ -240,6 +240,7 @@ def top_k(
     largest one. Each block of rows meets each block of queries once; neither side is broadcast
     or gathered, and each meeting gives at most k rows for a query.
     """
+    common.prepare_workers(df.sparkSession)
     rows = quantised(df, key, vector, scale)
     count = rows.count()
     blocks = max(1, -(-count // BLOCK_ROWS))

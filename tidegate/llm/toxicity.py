@@ -11,7 +11,8 @@ letter put in, and words of clean sentences are clean, of which the machine gets
 finds hardest.
 
 The machine is a weighted sum of landmark kernels, and a kernel is a sum over sequences, so a word
-is scored by adding the weights of its own sequences, without any landmark.
+is scored by adding the weights of its own sequences, without any landmark. A text is judged by
+its most toxic words and their share, with weights learned from the same texts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import nlargest
 from itertools import combinations
 from math import lgamma
 
@@ -34,8 +36,10 @@ from tidegate.llm import common
 TRAINING_ROWS, TRAINING_CHARS = 4_000, 50_000
 ORDER, SPAN, GAP = 4, 6, 0.75
 LANDMARKS, COMMON_WORDS, HARD_WORDS = 72, 24, 60
-#: Times as often in toxic as in clean training texts that a landmark stands.
-PURITY = 20
+#: What a clean training text with a landmark costs, against what a toxic one is worth.
+PURITY = 6
+#: Words of a text that decide.
+WORST = 5
 #: How likely any of them may be there by chance.
 CHANCE = 1e-3
 #: Letters of a word scored at once; a longer word has the score of its best piece.
@@ -148,12 +152,11 @@ def sequences(matrix: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
 
 @dataclass
 class Model:
-    """Weights of letter sequences, and how the best word's score becomes a probability."""
+    """Weights of letter sequences, and of what :meth:`told` makes of a text's words."""
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros(SYMBOLS**ORDER, dtype=np.float32))
     bias: float = 0.0
-    slope: float = 0.0
-    offset: float = 0.0
+    text_weights: np.ndarray = field(default_factory=lambda: np.zeros(WORST + 4))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words), -np.inf)
@@ -164,8 +167,9 @@ class Model:
             np.maximum.at(out, places, total / length(matrix.shape[1]) + self.bias)
         return np.where(np.isneginf(out), self.bias, out)
 
-    def best(self, texts: list[str], memory: dict[str, float]) -> np.ndarray:
-        """The score of each text's most toxic word; the bias where it has none."""
+    def told(self, texts: list[str], memory: dict[str, float]) -> np.ndarray:
+        """Per text: the scores of its WORST most toxic words, how many and how frequent the
+        toxic ones are, its length, and 1. A word counts as often as it stands there."""
         found = [words_of(t) for t in texts]
         new = list(set().union(*found).difference(memory)) if found else []
         if new:
@@ -175,10 +179,24 @@ class Model:
             bare = ["".join(filter(str.isalnum, w)) for w in new]  # signs may be put in anywhere
             scores = np.maximum(self.word_scores(new), self.word_scores(bare))
             memory.update(zip(new, scores.tolist(), strict=True))
-        return np.array([max(map(memory.__getitem__, w), default=self.bias) for w in found])
+        out = np.empty((len(texts), WORST + 4))
+        for row, text, words in zip(out, texts, found, strict=True):
+            scores = [memory[w] for w in words]
+            toxic = {w for w, s in zip(words, scores, strict=True) if s > 0}
+            count = 0
+            if toxic:
+                again = Counter(w for w in text.lower().split() if w in toxic)
+                scores += [memory[w] for w, times in again.items() for _ in range(min(times, WORST) - 1)]
+                count = max(len(toxic), sum(again.values()))
+            worst = nlargest(WORST, scores)
+            worst += [self.bias] * (WORST - len(worst))
+            row[:WORST] = np.clip(worst, -1.5, 1.5)
+            length = max(len(words), 1)
+            row[WORST:] = np.log1p(count), min(5.0, 100 * count / length), np.log1p(length) / 10, 1
+        return out
 
-    def probabilities(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -40, 40)))
+    def probabilities(self, told: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(told @ self.text_weights, -40, 40)))
 
 
 def choose_landmarks(
@@ -215,8 +233,9 @@ def choose_landmarks(
     def score(part: str) -> float:
         texts, more = texts_of(part), other[part]
         ways = lgamma(texts + more + 1) - lgamma(texts + 1) - lgamma(more + 1)
-        pure = texts * len(clean) >= PURITY * more * len(toxic)
-        return texts / len(toxic) if pure and ways + texts * np.log(share) < chance else 0.0
+        if not texts or ways + texts * np.log(share) >= chance:
+            return 0.0
+        return texts / len(toxic) - PURITY * more / len(clean)
 
     scores = {p: s for p in wanted if (s := score(p)) > 0}
     chosen: list[str] = []
@@ -304,7 +323,8 @@ def train(rows: list[tuple[str, int]]) -> Model:
     toxic = [b for b, label in zip(bags, labels, strict=True) if label]
     clean = [b for b, label in zip(bags, labels, strict=True) if not label]
     share = float(labels.mean()) if len(rows) else 0.5
-    flat = Model(offset=float(np.log((share + 1e-6) / (1 - share + 1e-6))))
+    flat = Model()
+    flat.text_weights[-1] = np.log((share + 1e-6) / (1 - share + 1e-6))
     if not toxic or not clean:
         return flat
     telling, frequent = choose_landmarks(toxic, clean)
@@ -333,8 +353,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
         each = (0.3 * good, 0.2 * good, np.full(len(bad), 0.5 / len(bad)))
         machine, bias = _machine(space.features(found + split + bad), y, np.concatenate(each))
         model = Model(weights=space.weights(machine), bias=bias)
-    best = model.best([t for t, _ in rows], {})
-    model.slope, model.offset = _logistic(best, labels)
+    model.text_weights = _logistic(model.told([t for t, _ in rows], {}), labels)
     return model
 
 
@@ -344,17 +363,16 @@ def _with_letter(word: str, random: np.random.Generator) -> str:
     return word[:at] + str(random.choice(list(".-_*xaeio"))) + word[at:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton's method with a little damping."""
-    a = np.array([1.0, 0.0])
-    x1 = np.column_stack((x, np.ones(len(x))))
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression, by Newton's method with a little damping."""
+    a = np.zeros(x.shape[1])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ a, -30, 30)))
-        slope = x1.T @ (p - y) + 1e-2 * a
-        bend = (x1 * (p * (1 - p))[:, None]).T @ x1 + 1e-2 * np.eye(2)
+        p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
+        slope = x.T @ (p - y) + 0.1 * a
+        bend = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(a))
         step = np.linalg.solve(bend, slope)
         a = a - step * min(1.0, 5.0 / max(1e-9, float(np.abs(step).max())))
-    return float(a[0]), float(a[1])
+    return a
 
 
 def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Model:
@@ -368,13 +386,13 @@ def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str
 def with_scores(df: DataFrame, text: str, model: Model, score: str = "score") -> DataFrame:
     """Add the probability that a text is toxic, from its whole text alone; all rows stay.
 
-    Null texts and texts without a word of ORDER letters are scored by the bias alone. A column
+    Null texts count as empty; a text without words is scored by its length and the bias alone. A column
     of that name is an error.
     """
     if score in df.columns:
         raise ValueError(f"the table has a column {score} already")
     spark = df.sparkSession
-    common.small_batches(spark)
+    common.prepare_workers(spark)
     shared, place = spark.sparkContext.broadcast(model), df.columns.index(text)
     schema = StructType([*df.schema.fields]).add(score, DoubleType())
 
@@ -382,7 +400,7 @@ def with_scores(df: DataFrame, text: str, model: Model, score: str = "score") ->
         model, memory = shared.value, {}
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
-            found = model.probabilities(model.best(texts, memory))
+            found = model.probabilities(model.told(texts, memory))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found.astype(np.float64))], names=schema.fieldNames()
             )

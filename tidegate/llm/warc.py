@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm import common
+
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
@@ -161,6 +163,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     ``refers_to`` is the key of the record that a revisit refers to. An archive is one task's.
     """
+    common.prepare_workers(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
