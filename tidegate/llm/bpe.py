@@ -9,8 +9,9 @@ window grows, in the end to all of both.
 Why this is exact: a run of tokens is the encoding of its text if and only if each two
 neighbouring tokens are the encoding of theirs. Every neighbouring pair of the result stands in
 one of the three encodings. Word borders agree as the pattern reads from left to right and its
-words are runs of one kind of character; a window never begins with an apostrophe inside a run,
-the one place where a shorter context could be read as another word.
+words are runs of one kind of character. Where a shorter context could be read as other words a
+window neither begins nor ends: at an apostrophe, which may begin a short word of its own, and after
+white space, whose last character may belong to the word that follows.
 
 Very long texts are cut by Spark into pieces for different tasks; only the joining of one text's
 pieces, short work around the borders, is one task's.
@@ -104,6 +105,10 @@ def halves(start: int, end: int, data: bytes, leaf_bytes: int) -> list[tuple[int
     return halves(start, middle, data, leaf_bytes) + halves(middle, end, data, leaf_bytes)
 
 
+def _spaced(end: bytes) -> bool:
+    return end.decode("utf-8", "ignore")[-1:].isspace()
+
+
 def joined(
     data: bytes,
     left: tuple[int, int, np.ndarray],
@@ -124,7 +129,7 @@ def joined(
             begin -= int(lengths[a[i]])
         j = min(len(b), count)
         stop = border + int(lengths[b[:j]].sum())
-        while j < len(b) and data[stop] & 0xC0 == 0x80:
+        while j < len(b) and (data[stop] & 0xC0 == 0x80 or _spaced(data[max(0, stop - 3) : stop])):
             stop += int(lengths[b[j]])
             j += 1
         window = encode([data[begin:stop].decode("utf-8")])[0]

@@ -184,8 +184,8 @@ class Items:
             words, bounds = self.alphabet.word_hashes([t or "" for t in texts[at:end]])
             for text, places in self._anchors(words, bounds).items():
                 own = words[bounds[text] : bounds[text + 1]]
-                shingles = shingle_hashes(own, SHINGLE)
                 for size, starts in places.items():
+                    shingles = shingle_hashes(own, min(SHINGLE, size))
                     self._compare(shingles, size, sorted(starts), out[at + text])
             at = end
         return out
