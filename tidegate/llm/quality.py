@@ -2,9 +2,10 @@
 
 Tokens are known words, or the shape of other tokens (letters by case, digits, signs as they are).
 Each kind of token has a sparse random index vector; its word vector adds those of the tokens that
-stood near it in the training texts. A document is the mean of its tokens' vectors, with marks for
-tokens that repeat the one before or any earlier one. A network of two layers, in numpy, gives a
-log-odds that a temperature, fitted on texts set apart, turns into a probability.
+stood near it in the training texts. A document is the mean of its tokens' vectors, with a mark in
+place of a token that repeats the one before, and one more for a token that came earlier. A
+network of two layers, in numpy, gives a log-odds that a temperature, fitted on texts set apart,
+turns into a probability.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql.types import DoubleType, StructType
 from tidegate.llm import common
 
 #: Labelled rows learned from at most, and characters of the longest text among them.
-TRAINING_ROWS, TRAINING_CHARS = 2_500, 50_000
+TRAINING_ROWS, TRAINING_CHARS = 2_000, 30_000
 WORDS, SHAPES = 3_000, 2_000
 DIMENSIONS, ONES = 64, 8
-HIDDEN, EPOCHS, RATE, DECAY = 24, 300, 0.02, 1e-3
+HIDDEN, EPOCHS, RATE, DECAY = 24, 150, 0.02, 1e-2
 #: Tokens remembered by a worker at most.
 MEMORY_TOKENS = 400_000
 SAME, EARLIER, OTHER = "<same>", "<earlier>", "<other>"
@@ -91,13 +92,12 @@ class Model:
                 if known is None:
                     found[i] = memory[tokens[i]] = self.kind(tokens[i])
         kinds = np.array(found, dtype=np.int64)
+        kinds[1:][list(map(str.__eq__, tokens, tokens[1:]))] = self.kinds[SAME]
         if len(kinds) > 2_000:
             total = np.bincount(kinds, minlength=len(self.vectors)) @ self.vectors
         else:
             total = self.vectors[kinds].sum(axis=0)
-        same = sum(map(str.__eq__, tokens, tokens[1:]))
         earlier = len(tokens) - len(set(tokens))
-        total = total + same * self.vectors[self.kinds[SAME]]
         total = total + earlier * self.vectors[self.kinds[EARLIER]]
         out[:DIMENSIONS] = total / len(tokens)
         out[DIMENSIONS] = np.log1p(len(tokens)) / 10
