@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, StructType
 from tidegate.llm import common
 
 #: Labelled rows learned from at most, and characters of the longest text among them.
-TRAINING_ROWS, TRAINING_CHARS = 4_000, 50_000
+TRAINING_ROWS, TRAINING_CHARS = 2_500, 30_000
 ORDER, SPAN, GAP = 4, 6, 0.75
 LANDMARKS, COMMON_WORDS, HARD_WORDS = 72, 24, 60
 #: What a clean training text with a landmark costs, against what a toxic one is worth.
@@ -199,43 +199,46 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(told @ self.text_weights, -40, 40)))
 
 
+def parts_of(word: str) -> set[str]:
+    word = BEGIN + word + END
+    return {word[i : i + n] for n in (4, 5, 6, 7) for i in range(len(word) - n + 1)}
+
+
 def choose_landmarks(
-    toxic: list[set[str]], clean: list[set[str]]
+    names: list[str], toxic: list[np.ndarray], clean: list[np.ndarray]
 ) -> tuple[list[str], list[str]]:
     """Parts of words that many toxic texts hold and hardly a clean one, each for other words;
-    and words that are common in clean texts."""
-
-    def parts(word: str) -> set[str]:
-        word = BEGIN + word + END
-        return {word[i : i + n] for n in (4, 5, 6, 7) for i in range(len(word) - n + 1)}
-
-    words: dict[str, set[int]] = defaultdict(set)
-    for at, text in enumerate(toxic):
-        for word in text:
-            words[word].add(at)
-    common_words = Counter(w for text in clean for w in text)
-    words = {w: s for w, s in words.items() if common_words[w] * len(toxic) < len(s) * len(clean)}
-    holders: dict[str, set[str]] = defaultdict(set)
-    for word in words:
-        for part in parts(word):
-            holders[part].add(word)
+    and words that are common in clean texts. Texts are the places of their words in ``names``."""
+    often, in_clean = (
+        np.bincount(np.concatenate(bags), minlength=len(names)) for bags in (toxic, clean)
+    )
+    telling = often * len(clean) > in_clean * len(toxic)
+    counts: Counter[str] = Counter()
+    for text in toxic:
+        counts.update(set().union(*(parts_of(names[w]) for w in text if telling[w])))
     share = len(toxic) / (len(toxic) + len(clean))
-    chance = np.log(CHANCE / max(1, len(holders)))  # some part of so many may be found by chance
+    chance = np.log(CHANCE / max(1, len(counts)))  # some part of so many may be found by chance
     limit = int(np.ceil(chance / np.log(share)))
-
-    def texts_of(part: str) -> int:
-        return len(set().union(*(words[w] for w in holders[part]))) if holders[part] else 0
-
-    wanted = {p for p in holders if texts_of(p) >= limit}
-    held = {w: found for w in common_words if (found := parts(w) & wanted)}
+    wanted = {p for p, n in counts.items() if n >= limit}
+    del counts
+    held = {w: found for w in np.flatnonzero(often + in_clean) if (found := parts_of(names[w]) & wanted)}
     other = Counter(p for text in clean for p in set().union(*(held.get(w, ()) for w in text)))
+    holders: dict[str, set[int]] = defaultdict(set)
+    texts: dict[int, set[int]] = defaultdict(set)
+    for at, text in enumerate(toxic):
+        for w in text:
+            if telling[w] and w in held:
+                texts[w].add(at)
+                for part in held[w]:
+                    holders[part].add(w)
 
     def score(part: str) -> float:
-        texts, more = texts_of(part), other[part]
-        ways = lgamma(texts + more + 1) - lgamma(texts + 1) - lgamma(more + 1)
-        if not texts or ways + texts * np.log(share) >= chance:
+        found = len(set().union(*(texts[w] for w in holders[part]))) if holders[part] else 0
+        more = other[part]
+        ways = lgamma(found + more + 1) - lgamma(found + 1) - lgamma(more + 1)
+        if not found or ways + found * np.log(share) >= chance:
             return 0.0
-        return texts / len(toxic) - PURITY * more / len(clean)
+        return found / len(toxic) - PURITY * more / len(clean)
 
     scores = {p: s for p in wanted if (s := score(p)) > 0}
     chosen: list[str] = []
@@ -243,17 +246,18 @@ def choose_landmarks(
         part = max(scores, key=lambda p: (scores[p], len(p), p))
         chosen.append(part)
         touched = set()
-        for word in list(holders[part]):
-            for p in parts(word):
-                holders[p].discard(word)
+        for w in list(holders[part]):
+            for p in held[w]:
+                holders[p].discard(w)
                 touched.add(p)
         for p in touched & scores.keys():
             if (s := score(p)) > 0:
                 scores[p] = s
             else:
                 del scores[p]
-    frequent = [w for w, _ in sorted(common_words.items(), key=lambda x: (-x[1], x[0])) if len(w) > 3]
-    return chosen, [BEGIN + w + END for w in frequent[:COMMON_WORDS]]
+    order = sorted(np.flatnonzero(in_clean), key=lambda w: (-in_clean[w], names[w]))
+    frequent = [names[w] for w in order if len(names[w]) > 3][:COMMON_WORDS]
+    return chosen, [BEGIN + w + END for w in frequent]
 
 
 class Nystrom:
@@ -267,7 +271,7 @@ class Nystrom:
                 rows += [(p, n, weight) for p, n in zip(places.tolist(), number.tolist()) if n]
         for _, n, _ in rows:
             self.number.setdefault(n, len(self.number))
-        self.column = np.full(SYMBOLS**ORDER, -1, dtype=np.int64)
+        self.column = np.full(SYMBOLS**ORDER, -1, dtype=np.int32)
         for n, at in self.number.items():
             self.column[n] = at
         self.parts = np.zeros((len(landmarks), max(1, len(self.number))))
@@ -280,6 +284,10 @@ class Nystrom:
         self.whiten = vectors * root @ vectors.T
 
     def features(self, words: list[str]) -> np.ndarray:
+        found = [self._some(words[i : i + 1_000]) for i in range(0, len(words), 1_000)]
+        return np.concatenate(found or [np.zeros((0, len(self.parts)))])
+
+    def _some(self, words: list[str]) -> np.ndarray:
         held = np.zeros((len(words), self.parts.shape[1]))
         for places, matrix in pieces(words):
             scale = 1 / length(matrix.shape[1])
@@ -315,33 +323,41 @@ def _machine(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarra
 
 def train(rows: list[tuple[str, int]]) -> Model:
     """Fit on texts and labels; with one label only, scores are its share for all texts."""
-    sentences = [[words_of(s) for s in _sentences(t) if s.strip()] for t, _ in rows]
-    bags = [
-        {w.strip(".,;:!?\"'()[]") for s in found for w in s} - {""} for found in sentences
-    ]
     labels = np.array([label for _, label in rows])
-    toxic = [b for b, label in zip(bags, labels, strict=True) if label]
-    clean = [b for b, label in zip(bags, labels, strict=True) if not label]
     share = float(labels.mean()) if len(rows) else 0.5
     flat = Model()
     flat.text_weights[-1] = np.log((share + 1e-6) / (1 - share + 1e-6))
+    number: dict[str, int] = {}
+    bags: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    for text, label in rows:
+        words = {
+            w.strip(".,;:!?\"'()[]") for s in _sentences(text) for w in (words_of(s) if s.strip() else ())
+        }
+        found = sorted(number.setdefault(w, len(number)) for w in words - {""})
+        bags[int(label > 0)].append(np.array(found, dtype=np.int32))
+    clean, toxic = bags
     if not toxic or not clean:
         return flat
-    telling, frequent = choose_landmarks(toxic, clean)
+    names = list(number)
+    telling, frequent = choose_landmarks(names, toxic, clean)
     if not telling:
         return flat
     random = np.random.default_rng(3)
     witnesses = Counter(
-        w for b in toxic for w in b if any(part in BEGIN + w + END for part in telling)
+        w
+        for bag in toxic
+        for w in (names[i] for i in bag)
+        if any(part in BEGIN + w + END for part in telling)
     )
     found = sorted(witnesses)
     good = np.sqrt([witnesses[w] for w in found])
     good /= good.sum()
     split = [_with_letter(w, random) for w in found]
-    pool = sorted(set().union(*clean))
+    pool = sorted(names[i] for i in np.unique(np.concatenate(clean)))
     pool = [pool[i] for i in random.permutation(len(pool))[:40_000]]
     whole = [max((w for w in found if part in BEGIN + w + END), key=witnesses.get) for part in telling]
     landmarks = telling + frequent + [BEGIN + w + END for w in whole]
+    del number, names, bags, clean, toxic
     model, hard = flat, set(pool[:4_000])
     for turn in range(ROUNDS):  # each with the clean words that the last machine found most toxic
         order = np.argsort(-model.word_scores(pool), kind="stable").tolist() if turn else []
@@ -353,7 +369,9 @@ def train(rows: list[tuple[str, int]]) -> Model:
         each = (0.3 * good, 0.2 * good, np.full(len(bad), 0.5 / len(bad)))
         machine, bias = _machine(space.features(found + split + bad), y, np.concatenate(each))
         model = Model(weights=space.weights(machine), bias=bias)
-    model.text_weights = _logistic(model.told([t for t, _ in rows], {}), labels)
+    texts = [t for t, _ in rows]
+    told = [model.told(texts[i : i + 256], {}) for i in range(0, len(texts), 256)]
+    model.text_weights = _logistic(np.concatenate(told), labels)
     return model
 
 
