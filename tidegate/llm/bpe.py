@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import common
-from tidegate.llm.words import byte_words, open_tokenizer
+from tidegate.llm.words import byte_words, open_tokenizer, token_bytes
 
 #: Bytes up to which a piece is encoded alone.
 LEAF_BYTES = 4096
@@ -41,13 +41,6 @@ APOSTROPHE = 0x27
 Encode = Callable[[list[str]], list[np.ndarray]]
 
 
-def byte_values() -> dict[str, int]:
-    """The printable character that stands for each byte in byte-level files, to that byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 class Table:
     """One byte string for each id, to be looked up for many ids at once."""
 
@@ -71,15 +64,9 @@ class Codec:
     def __init__(self, content: str):
         tokenizer = open_tokenizer(content)
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-        values, size = byte_values(), tokenizer.get_vocab_size(with_added_tokens=True)
-        strings = [b""] * size
-        for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
-            if token in self.special or any(c not in values for c in token):
-                strings[i] = token.encode()
-            else:
-                strings[i] = bytes(values[c] for c in token)
+        strings = token_bytes(tokenizer)
         self.bytes = Table(strings)
-        self.decimals = Table([b"%d," % i for i in range(size)])
+        self.decimals = Table([b"%d," % i for i in range(len(strings))])
         self.leaves: Encode = byte_words(tokenizer).encode
 
     def encode(self, texts: list[str], leaf_bytes: int = LEAF_BYTES) -> list[np.ndarray]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from unicodedata import normalize
 
 import numpy as np
 
@@ -12,8 +13,10 @@ import numpy as np
 SPACES = "\t-\r \x85\xa0  -     　"
 #: Characters that ``str.split`` takes for white space and the patterns do not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-#: Words remembered by a worker at most (about 100 MB); then it starts anew.
-MEMORY_WORDS = 400_000
+#: Words remembered by a worker at most (about 200 MB); then it starts anew.
+MEMORY_WORDS = 800_000
+#: New words that the tokenizer gets in one text.
+TOGETHER = 64
 _segments = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+").findall
 
 
@@ -27,18 +30,43 @@ def open_tokenizer(content: str):
     return tokenizer
 
 
+#: Printable characters that stand for bytes in byte-level files, and for which.
+PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+WORD_END = "</w>"
+
+
+def byte_values() -> dict[str, int]:
+    """The byte for which each character of a byte-level file stands."""
+    other = [b for b in range(256) if b not in set(PLAIN_BYTES)]
+    return {chr(b): b for b in PLAIN_BYTES} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def token_bytes(tokenizer) -> list[bytes]:
+    """The bytes of each id."""
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    values = byte_values()
+    strings = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+        plain = token.removesuffix(WORD_END)
+        if token in special or any(c not in values for c in plain):
+            strings[i] = token.encode()
+        else:
+            strings[i] = bytes(values[c] for c in plain)
+    return strings
+
+
 class Words:
     """Encodes texts as the tokenizer does, looking each distinct word up once.
 
     ``split`` cuts a text into words whose ids, put together, are the ids of the text, or gives
-    None for a text that has to be encoded whole. New words go to the tokenizer in one text each
-    batch, joined by ``glue``, whose one token ``mark`` never comes from a word.
+    None for a text that has to be encoded whole. New words go to the tokenizer many at a time,
+    joined by ``glue``, and are told apart by their bytes; ``size`` counts those of a word, or
+    gives None for one that has to be encoded alone.
     """
 
-    def __init__(self, tokenizer, split, glue: str, alone=None):
-        self.tokenizer, self.split, self.glue, self.alone = tokenizer, split, glue, alone
-        self.mark = tokenizer.encode(glue, add_special_tokens=False).ids
-        assert len(self.mark) == 1
+    def __init__(self, tokenizer, split, glue: str, size):
+        self.tokenizer, self.split, self.glue, self.size = tokenizer, split, glue, size
+        self.lengths = np.array([len(b) for b in token_bytes(tokenizer)], dtype=np.int64)
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -48,26 +76,29 @@ class Words:
     def learn(self, words: Iterable[str]) -> None:
         if len(self.known) > MEMORY_WORDS:
             self.known.clear()
-        solid = []
+        solid, sizes = [], []
         for word in words:
-            if self.alone is not None and self.alone(word):
+            count = self.size(word)
+            if count is None:
                 self.known[word] = self.whole(word)
             else:
                 solid.append(word)
-        for at in range(0, len(solid), 4096):
-            part = solid[at : at + 4096]
-            encoded = self.tokenizer.encode_batch_fast(
-                [self.glue.join(part)], add_special_tokens=False
-            )
-            ids = np.array(encoded[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark[0]) * 4
-            if len(cuts) != len(part) - 1:
+                sizes.append(count)
+        steps = range(0, len(solid), TOGETHER)
+        joined = [self.glue.join(solid[at : at + TOGETHER]) for at in steps]
+        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        for at, encoding in zip(steps, encoded, strict=True):
+            part = solid[at : at + TOGETHER]
+            ids = np.array(encoding.ids, dtype="<u4")
+            ends = np.cumsum(self.lengths[ids])
+            wanted = np.cumsum(sizes[at : at + TOGETHER])
+            places = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+            if not len(ends) or ends[-1] != wanted[-1] or (ends[places] != wanted).any():
                 self.known.update((word, self.whole(word)) for word in part)
                 continue
-            data = ids.tobytes()
-            starts, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]
+            data, cuts = ids.tobytes(), ((places + 1) * 4).tolist()
             self.known.update(
-                (word, data[i:j]) for word, i, j in zip(part, starts, ends, strict=True)
+                (word, data[i:j]) for word, i, j in zip(part, [0, *cuts], cuts, strict=False)
             )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -88,12 +119,10 @@ class Words:
                 out.append(b"".join(found))
         if new:
             self.learn(new)
-            get = self.known.get
             for at, words, found in late:
-                ids = [
-                    f if f is not None else get(w) for w, f in zip(words, found, strict=True)
-                ]
-                out[at] = b"".join(ids)
+                out[at] = b"".join(
+                    get(w) if ids is None else ids for w, ids in zip(words, found, strict=True)
+                )
         return [np.frombuffer(ids, dtype="<u4") for ids in out]
 
 
@@ -106,15 +135,23 @@ def byte_words(tokenizer) -> Words:
             return None
         return _segments(text)
 
-    return Words(tokenizer, split, "\n", alone=lambda word: word.isspace() or word[-1] in SEPARATORS)
+    def size(word: str) -> int | None:
+        if word[0] != " " or word.isspace() or word[1] in SEPARATORS or word[-1] in SEPARATORS:
+            return None
+        return len(word) if word.isascii() else len(word.encode())
+
+    return Words(tokenizer, split, "", size)
 
 
 def spaced_words(tokenizer) -> Words:
-    """For files that drop white space."""
+    """For files that drop white space and make letters small."""
 
     def split(text: str):
-        if any(c in text for c in SEPARATORS) or "\x01" in text:
-            return None
-        return text.split()
+        return None if any(c in text for c in SEPARATORS) else text.split()
+
+    def size(word: str) -> int | None:
+        if "<|" in word:
+            return None  # a special string may be in it
+        return len(word) if word.isascii() else len(normalize("NFC", word).lower().encode())
 
-    return Words(tokenizer, split, " \x01 ")
+    return Words(tokenizer, split, " ", size)
