@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as registered
 from agreement import differences, open_tables
+from tidegate.plans import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,8 @@ def tables():
 
 def test_each_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(registered.oracle_sql()) <= set(registered.queries())
+    assert set(QUERIES) <= set(registered.queries())
 
 
 def test_entry_has_rows(spark):

@@ -8,11 +8,11 @@ import pytest
 from tidegate.options import ConvertOptions, parse_config
 from tidegate.sources import control, inventory, readers
 
-CUSTOMERS = (
-    "customer_id,name,email,phone,city,state\n"
-    "1,Ann Field,ann@example.com,555-0101,Oslo,OS\n"
-    "2,Bo Hill,bo@example.com,555-0102,Bergen,BE\n"
-    "3,Cy Dale,cy@example.com,555-0103,Tromso,TR"  # no line break at the end
+STATIONS = (
+    "station_id,label,river,metres\n"
+    "11,Upper weir,Mosel,4.25\n"
+    "12,Old mill,Saar,1.5\n"
+    "15,Harbour,Rhein,7.75"  # no line break at the end
 )
 
 
@@ -23,29 +23,29 @@ def put(folder, name, data):
 
 
 def test_csv_types_are_inferred(spark, tmp_path):
-    df = readers.read(spark, put(tmp_path, "c.csv", CUSTOMERS), "csv")
-    assert df.dtypes[0] == ("customer_id", "int")
+    df = readers.read(spark, put(tmp_path, "c.csv", STATIONS), "csv")
+    assert df.dtypes[0] == ("station_id", "int")
     assert df.count() == 3
 
 
 def test_csv_dates_and_quoted_commas(spark, tmp_path):
-    text = 'id,price,made,about\n1,79.99,"2024-01-15","a, b ""c"""\n2,24.50,"2024-01-10","d"\n'
+    text = 'id,level,seen,remark\n7,3.125,"2019-11-30","low, then ""high"""\n8,0.5,"2020-02-29","dry"\n'
     df = readers.read_csv(spark, put(tmp_path, "p.csv", text))
     assert [t for _, t in df.dtypes] == ["int", "double", "date", "string"]
-    assert df.first().about == 'a, b "c"'
+    assert df.first().remark == 'low, then "high"'
 
 
 def test_given_schema_wins_over_inference(spark, tmp_path):
-    path = put(tmp_path, "c.csv", CUSTOMERS)
-    df = readers.read(spark, path, "CSV", "customer_id BIGINT, name STRING, email STRING")
-    assert df.dtypes[0] == ("customer_id", "bigint")
+    path = put(tmp_path, "c.csv", STATIONS)
+    df = readers.read(spark, path, "CSV", "station_id BIGINT, label STRING, river STRING")
+    assert df.dtypes[0] == ("station_id", "bigint")
 
 
 @pytest.mark.parametrize(
     "suffix, pack", [(".gz", gzip.compress), (".gzip", gzip.compress), (".bz2", bz2.compress)]
 )
 def test_compressed_csv(spark, tmp_path, suffix, pack):
-    path = put(tmp_path, "c.csv" + suffix, pack(CUSTOMERS.encode()))
+    path = put(tmp_path, "c.csv" + suffix, pack(STATIONS.encode()))
     assert readers.read(spark, path, "CSV").count() == 3
 
 
@@ -87,7 +87,7 @@ def by_name(df, *columns):
 
 
 def test_line_counts(spark, tmp_path):
-    put(tmp_path, "a.csv", CUSTOMERS)
+    put(tmp_path, "a.csv", STATIONS)
     put(tmp_path, "b.csv", "h\n\n1\r\n\n")
     put(tmp_path, "c.csv", "h")
     got = by_name(inventory.count_records(spark, str(tmp_path), "CSV"), "records")
@@ -98,7 +98,7 @@ def test_line_counts(spark, tmp_path):
 
 
 def test_empty_file_counts_zero_when_expected(spark, tmp_path):
-    put(tmp_path, "a.csv", CUSTOMERS)
+    put(tmp_path, "a.csv", STATIONS)
     put(tmp_path, "empty.csv", "")
     uris = [(f"file://{tmp_path}/{n}",) for n in ("a.csv", "empty.csv")]
     expected = spark.createDataFrame(uris, "path STRING")
@@ -134,14 +134,15 @@ def test_json_counts(spark, tmp_path):
         "bad.json": broken,
         "two.json": broken,
         "none.json": (0, None),
+        "blank.json": (0, None),
     }
 
 
 def test_listing_and_digests(spark, tmp_path):
     (tmp_path / "sub").mkdir()
-    put(tmp_path, "a.csv", CUSTOMERS)
+    put(tmp_path, "a.csv", STATIONS)
     put(tmp_path / "sub", "b.bin", b"abc")
-    size = len(CUSTOMERS)
+    size = len(STATIONS)
     assert by_name(inventory.list_files(spark, str(tmp_path)), "size") == {"a.csv": (size,), "b.bin": (3,)}
     got = by_name(inventory.digests(spark, str(tmp_path)), "md5", "sha1", "sha256")["b.bin"]
     assert got == tuple(getattr(hashlib, n)(b"abc").hexdigest() for n in ("md5", "sha1", "sha256"))
@@ -192,3 +193,28 @@ def test_configuration_defaults(spark, tmp_path):
 def test_configuration_needs_a_mapping():
     with pytest.raises(ValueError, match="at least one prefix mapping"):
         parse_config('{"prefix_mappings": []}')
+
+
+def test_files_without_records_count_zero(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(0).write.parquet(folder)
+    spark.range(3).coalesce(1).write.mode("append").parquet(folder)
+    counts = inventory.count_records(spark, folder, "PARQUET").collect()
+    assert sorted(r.records for r in counts) == [0, 3]
+    put(tmp_path, "h.csv", "a,b\n")
+    got = by_name(inventory.count_rows(spark, str(tmp_path / "h.csv"), "CSV", "a INT, b INT"), "records")
+    assert got == {"h.csv": (0,)}
+
+
+def test_digests_only_of_files_that_can_and_shall_be_read(spark, tmp_path):
+    put(tmp_path, "a.csv", b"x" * 10)
+    put(tmp_path, "b.csv", b"y" * 200)
+    got = by_name(inventory.digests(spark, str(tmp_path), most_bytes=100), "md5", "unread", "size")
+    assert got == {
+        "a.csv": (hashlib.md5(b"x" * 10).hexdigest(), None, 10),
+        "b.csv": (None, "file too large to digest", 200),
+    }
+    prefix = f"{str(tmp_path).lstrip('/')}/b"
+    got = by_name(inventory.digests(spark, str(tmp_path), [prefix]), "md5", "unread")
+    assert got["a.csv"] == (None, "digest not asked for")
+    assert got["b.csv"] == (hashlib.md5(b"y" * 200).hexdigest(), None)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.operators import tables, tracking
-from tidegate.options import Mapping, Rules, parse_config
+from tidegate.options import Config, Mapping, Processing, Rules, parse_config
 from tidegate.plans import batch, jobs
 from tidegate.sources import control as control_source
 from tidegate.sources import inventory
@@ -25,6 +25,12 @@ def put_json(folder, name, rows):
         out.writelines(json.dumps(r) + "\n" for r in rows)
 
 
+def put(folder, name, text):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
 def event(i, minute, kind="click"):
     return {"event_id": i, "ts": f"2024-01-01T00:{minute:02}:00Z", "event_type": kind}
 
@@ -190,6 +196,75 @@ def test_batch_processes_good_files_and_rejects_the_rest(spark, landing, tmp_pat
     assert counts["orders/o.csv"].validation_errors == ["Record count mismatch: expected 3, got 2"]
 
 
+def test_prefixes_and_batches_add_up_in_a_target(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        put(tmp_path, f"in/{name}/x.csv", f"station_id,label\n1,{name}\n2,{name}\n")
+    prefix = str(tmp_path / "in").lstrip("/")
+    config = Config(tuple(Mapping(f"{prefix}/{n}/", "STATIONS") for n in ("a", "b", "c")))
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+
+    def go(job, *names):
+        files = [inventory.list_files(spark, str(tmp_path / "in" / n)) for n in names]
+        rows = files[0] if len(files) == 1 else files[0].union(files[1])
+        rows = rows.withColumnRenamed("path", "file_path")
+        records = batch.run_batch(spark, rows, None, config, out, log, job).collect()
+        assert {r.job_id for r in records} == {job}
+        return len(records)
+
+    def labels():
+        return sorted(r.label for r in spark.read.parquet(f"{out}/processed/STATIONS").collect())
+
+    assert go("one", "a", "b") == 2 and labels() == ["a", "a", "b", "b"]
+    assert go("two: c/d", "c") == 1 and labels() == ["a", "a", "b", "b", "c", "c"]
+    assert go("two: c/d", "c") == 1 and labels() == ["a", "a", "b", "b", "c", "c"]
+
+
+def test_repeated_control_records_and_listings_are_one(spark, landing, tmp_path):
+    root, control, config = landing
+    records = control_source.read_control(spark, control)
+    files = listed(spark, root)
+    batch.run_batch(
+        spark, files.union(files), records.union(records), config, str(tmp_path / "out"), str(tmp_path / "log"), "j"
+    )
+    assert spark.read.parquet(str(tmp_path / "out" / "processed" / "CUSTOMERS")).count() == 2
+    counted = {r.file_path.split("/in/")[1]: r for r in spark.read.parquet(str(tmp_path / "log" / "counted-j")).collect()}
+    assert counted["customers/a.csv"].actual_records == 3
+
+
+def test_many_files_are_taken_in_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "FILES_PER_RUN", 2)
+    for i in range(5):
+        put(tmp_path, f"in/{i}.csv", f"station_id,label\n{i},x\n")
+    prefix = str(tmp_path / "in").lstrip("/")
+    rules = Rules(validate_record_count=True)
+    config = Config((Mapping(f"{prefix}/", "S", rules=rules, params={"schema": "station_id BIGINT, label STRING"}),))
+    files = inventory.list_files(spark, str(tmp_path / "in")).withColumnRenamed("path", "file_path")
+    records = batch.run_batch(spark, files, None, config, str(tmp_path / "out"), str(tmp_path / "log"), "j")
+    assert {r.orchestration_state for r in records.collect()} == {"PROCESSED"}
+    written = spark.read.parquet(str(tmp_path / "out" / "processed" / "S"))
+    assert sorted((r.station_id, r.ingest_run) for r in written.collect()) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)]
+    assert dict(written.dtypes)["station_id"] == "bigint"
+    counted = spark.read.parquet(str(tmp_path / "log" / "counted-j"))
+    assert sorted(r.actual_records for r in counted.collect()) == [1] * 5
+
+
+def test_failure_while_counting_is_logged(spark, landing, tmp_path, monkeypatch):
+    def broken(*args):
+        raise RuntimeError("cannot count")
+
+    monkeypatch.setattr(batch, "reconcile_files", broken)
+    records, _ = run(spark, landing, tmp_path)
+    assert records["customers/a.csv"].orchestration_state == "FAILED"
+
+
+def test_compression_of_a_mapping(spark, tmp_path):
+    put(tmp_path, "c.csv", "station_id,label\n1,x\n")
+    for given, name in (("GZIP", "gz"), ("", "snappy")):
+        mapping = Mapping("x/", "S", processing=Processing(compression_type=given))
+        out = batch.process_target(spark, mapping, [str(tmp_path / "c.csv")], str(tmp_path / "out"), f"j{name}")
+        assert any(name in f for f in os.listdir(out) if f.endswith(".parquet"))
+
+
 def test_batch_without_checks_takes_all_mapped_files(spark, landing, tmp_path):
     records, _ = run(spark, landing, tmp_path, batch.BatchOptions(skip_validation=True))
     assert records["customers/b.csv"].orchestration_state == "PROCESSED"
@@ -239,6 +314,24 @@ def test_missing_required_field_is_refused(spark, tmp_path):
         batch.process_target(spark, mapping, [str(path)], str(tmp_path / "out"), "j")
 
 
+def test_late_events_count_unless_a_limit_is_given(spark, tmp_path):
+    schema = "ts TIMESTAMP, event_type STRING"
+    for i, hour in enumerate((9, 5, 1)):
+        rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, hour), "a")] * 2, schema)
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def counts(late, name):
+        events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        path = str(tmp_path / name)
+        query = streams.put_hourly_counts(events, path, str(tmp_path / f"{name}-at"), late)
+        query.awaitTermination()
+        return sum(r.events for r in streams.newest_windows(spark, path).collect()), streams.late_rows(query)
+
+    assert counts(None, "all") == (6, 0)
+    kept, dropped = counts("10 minutes", "some")
+    assert kept < 6 and dropped > 0
+
+
 def test_arrivals_are_processed_as_they_come(spark, landing, tmp_path):
     root, control, config = landing
     arrivals.on_arrival(

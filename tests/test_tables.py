@@ -166,3 +166,33 @@ def test_file_ranges_prune(spark):
     row = statistics.scan_efficiency(ranges, F.lit("t"), test).first()
     assert (row.files_scanned, row.files_total) == (2, 3)
     assert [r.file for r in ranges.filter(statistics.may_contain("v", low=F.lit(6))).collect()] == ["f2"]
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+def test_only_small_files_are_rewritten(spark, tmp_path, partitions):
+    path, new = str(tmp_path / "a"), str(tmp_path / "b")
+
+    def put(low, high, files):
+        rows = spark.range(low, high, 1, files).selectExpr("id", "sha2(cast(id AS STRING), 256) AS t", "id % 2 AS p")
+        rows.coalesce(files).write.mode("append").partitionBy(*partitions).parquet(path)
+
+    put(0, 20_000, 1)
+    large = {f: os.path.getmtime(f) for f in files(path)}
+    limit = min(os.path.getsize(f) for f in large)
+    put(20_000, 20_400, 8)
+    assert tables.compact_small(spark, path, new, partitions, target_bytes=limit)
+    read = tables.read_compacted(spark, path, new, limit)
+    assert sorted(r.id for r in read.select("id").collect()) == list(range(20_400))
+    assert len(files(new)) == max(1, 2 * len(partitions))
+    assert spark.read.parquet(new).count() == 400
+    assert {f: os.path.getmtime(f) for f in large} == large
+    assert not tables.compact_small(spark, new, str(tmp_path / "c"), partitions, target_bytes=1)
+
+
+def test_compaction_heeds_a_larger_target(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.range(0, 1000, 1, 4).write.parquet(path)
+    size = max(os.path.getsize(f) for f in files(path))
+    assert not tables.compact(spark, path, str(tmp_path / "b"), target_bytes=size // 100)
+    assert tables.compact(spark, path, str(tmp_path / "c"), target_bytes=size * 100)
+    assert len(files(str(tmp_path / "c"))) == 1

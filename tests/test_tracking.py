@@ -59,9 +59,10 @@ def test_route_by_table_compares_by_equality(spark):
 
 
 def test_very_many_mappings(spark):
-    many = tuple(Mapping(f"p{i}/", f"T{i}") for i in range(routing.MAX_LITERAL_MAPPINGS * 5))
+    many = tuple(Mapping(f"p{i}/", f"T{i}") for i in range(1000))
     files = spark.createDataFrame([("s3://b/p0/x",), ("s3://b/p999/x",), ("s3://b/p1000/x",)], "file_path STRING")
-    rows = routing.route(files, many).select("file_path", "mapping.target_name").collect()
+    routed = routing.route_by_table(files, mappings_frame(spark, many))
+    rows = routed.select("file_path", "mapping.target_name").collect()
     assert {r.file_path: r.target_name for r in rows} == {
         "s3://b/p0/x": "T0", "s3://b/p999/x": "T999", "s3://b/p1000/x": None,
     }
@@ -245,6 +246,24 @@ def test_previous_value_of_hot_and_null_keys(spark, slices):
     assert {r.i: r.before for r in got} == want
 
 
+@pytest.mark.parametrize("nulls", [0, 1, 2])
+@pytest.mark.parametrize("slices", [1, 2, 7])
+def test_previous_value_that_is_null(spark, slices, nulls):
+    """Nulls at all, even or odd places of a hot key, across the cuts."""
+    rows = [("hot", i, None if nulls == 0 or i % 2 == nulls - 1 else i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k STRING, at INT, v INT")
+    got = with_previous(df, ["k"], "at", "v", "before", slices=slices).collect()
+    assert {r.at: r.before for r in got} == {i: rows[i - 1][2] if i else None for i in range(60)}
+
+
+def test_hot_key_with_one_order_value(spark):
+    df = spark.range(200).selectExpr("'hot' AS k", "1 AS at", "id AS tie", "if(id % 3 = 0, null, id) AS v")
+    got = with_previous(df, ["k"], "at", "v", "before", ["tie"], slices=5).collect()
+    assert {r.tie: r.before for r in got} == {
+        i: None if i == 0 or (i - 1) % 3 == 0 else i - 1 for i in range(200)
+    }
+
+
 def test_hot_keys_are_found_and_cut_evenly(spark):
     from tidegate.operators.latest import _sliced, hot_keys
 

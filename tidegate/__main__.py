@@ -124,10 +124,13 @@ def _run_file_job(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 def _run_batch(spark: SparkSession, args: argparse.Namespace) -> dict:
     config = control.load_config(spark, args.config)
-    # Digests read every byte, so they are taken only where a mapping checks them.
-    checked = args.control_path and any(m.rules.validate_checksum for m in config.mappings)
-    listed = inventory.digests if checked else inventory.list_files
-    files = listed(spark, args.input_path).withColumnRenamed("path", "file_path")
+    # Digests read every byte, so they are taken only of files whose mapping checks them.
+    checked = [m.prefix for m in config.mappings if m.rules.validate_checksum]
+    if args.control_path and checked:
+        files = inventory.digests(spark, args.input_path, checked)
+    else:
+        files = inventory.list_files(spark, args.input_path)
+    files = files.withColumnRenamed("path", "file_path")
     records = batch.run_batch(
         spark,
         files,

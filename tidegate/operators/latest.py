@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.values import micros
 
+# How finely work may be cut up. None of these bounds the rows that are handled.
 PERCENTILE_ACCURACY = 10_000
 MAX_SLICES = 10_000
 SKETCH_ITEMS = 10_000
@@ -112,15 +113,17 @@ def with_previous(
     ends = (
         cut.filter(F.xxhash64(*keys).isin(hot))
         .groupBy(*place)
-        .agg(F.max_by(value, F.struct(*sort)).alias("_end"))
+        .agg(F.max_by(F.struct(F.col(value).alias("value")), F.struct(*sort)).alias("_end"))
     )
     before = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice"))
-    carried = ends.select(*(F.col(c).alias(f"_at_{c}") for c in place), before.alias("_carried"))
+    carried = ends.select(*(F.col(c).alias(f"_at_{c}") for c in place), before["value"].alias("_carried"))
     inside = Window.partitionBy(*place).orderBy(*sort)
     # Null keys are keys too.
     same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place))
+    # A value before may be null, so the place of the row decides, not what was found.
+    opens = F.col("_row") == 1
     return (
-        cut.withColumn("_inside", F.lag(value).over(inside))
+        cut.withColumns({"_inside": F.lag(value).over(inside), "_row": F.row_number().over(inside)})
         .join(carried, same, "left")
-        .select(*df.columns, F.coalesce("_inside", "_carried").alias(name))
+        .select(*df.columns, F.when(opens, F.col("_carried")).otherwise(F.col("_inside")).alias(name))
     )

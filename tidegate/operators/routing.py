@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import paths
 from tidegate.options import Mapping
-from tidegate.sources.control import MAPPING, mapping_row, mappings_frame
-
-#: Above this many mappings, :func:`route` joins a table of them.
-MAX_LITERAL_MAPPINGS = 200
+from tidegate.sources.control import MAPPING, mapping_row
 
 BAD_PATH = "invalid S3 path format: "
 NO_MAPPING = "no prefix mapping found for key: "
@@ -61,10 +58,9 @@ def route_error(path: Column, target: Column) -> Column:
 def route(files: DataFrame, mappings: Sequence[Mapping], path: str = "file_path") -> DataFrame:
     """``files`` with a ``mapping`` struct and a ``route_error``, no join and no shuffle.
 
-    Files without a mapping stay, with the reason. Very many mappings go the way of a table.
+    Files without a mapping stay, with the reason. The mappings are part of the plan; for many
+    hundreds of them, :func:`route_by_table` is the better choice.
     """
-    if len(mappings) > MAX_LITERAL_MAPPINGS:
-        return route_by_table(files, mappings_frame(files.sparkSession, mappings), path)
     found = mapping_for(paths.key(F.col(path)), mappings)
     return files.withColumn("mapping", found).withColumn(
         "route_error", route_error(F.col(path), F.col("mapping.target_name"))

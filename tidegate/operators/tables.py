@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -202,38 +202,85 @@ def compact(
     a value with a third of the table is written by many tasks.
     """
     table = spark.read.parquet(path)
-    sizes = _sizes(spark, path, partition_by)
+    sizes = _sizes(spark, path, partition_by, target_bytes)
     small = sizes.agg(F.sum("small_files"), F.sum("bytes"), F.sum("files")).first()
     if (small[0] or 0) < min_files:
         return False
     if not partition_by:
         table.coalesce(files_for(small[1], target_bytes)).write.mode("overwrite").parquet(new_path)
         return True
-    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes))
-    earlier = Window.orderBy(*partition_by).rowsBetween(Window.unboundedPreceding, -1)
-    slots = sizes.select(*partition_by, needed.alias("_slots")).withColumn(
-        "_first", F.coalesce(F.sum("_slots").over(earlier), F.lit(0))
-    )
-    files = int(slots.agg(F.sum("_slots")).first()[0])
+    _dealt(table, sizes, partition_by, target_bytes).write.mode("overwrite").partitionBy(
+        *partition_by
+    ).parquet(new_path)
+    return True
+
+
+def _dealt(table: DataFrame, sizes: DataFrame, partition_by: Sequence[str], target_bytes: int) -> DataFrame:
+    """Rows dealt to tasks, as many for each partition value as its ``bytes`` need."""
+    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
+    slots = sizes.select(*partition_by, needed.alias("_slots"))
+    files = int(slots.agg(F.sum("_slots")).first()[0] or 1)
     match = reduce(Column.__and__, (table[c].eqNullSafe(slots[c]) for c in partition_by))
-    # Rows take turns, so that copies of one row do not all meet in one file.
-    turn = F.pmod(F.monotonically_increasing_id(), F.col("_slots"))
-    placed = (
+    # Rows take turns, so that copies of one row do not all meet in one file. The tasks of one
+    # value follow each other from a place that its hash gives, so they are all different.
+    turn = F.pmod(F.monotonically_increasing_id(), F.coalesce("_slots", F.lit(1)))
+    first = F.xxhash64(*(table[c] for c in partition_by))
+    place = F.pmod(F.pmod(first, F.lit(files)) + turn, F.lit(files)).cast("int")
+    return (
         table.join(slots, match, "left")
-        .select(*(table[c] for c in table.columns), (F.col("_first") + turn).cast("int").alias("_file"))
-        .repartitionById(files, "_file")
-        .drop("_file")
+        .select(*(table[c] for c in table.columns), place.alias("_task"))
+        .repartitionById(files, "_task")
+        .drop("_task")
     )
-    placed.write.mode("overwrite").partitionBy(*partition_by).parquet(new_path)
+
+
+def compact_small(
+    spark: SparkSession,
+    path: str,
+    new_path: str,
+    partition_by: Sequence[str] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
+    min_files: int = MIN_INPUT_FILES,
+) -> bool:
+    """Rewrite only the files below ``target_bytes``, into ``new_path``; tells whether it did.
+
+    Larger files are not read and stay where they are: :func:`read_compacted` reads them together
+    with the new ones. Partition values with fewer than ``min_files`` small files are rewritten
+    only along with others, which costs no more than those files.
+    """
+    sizes = _sizes(spark, path, partition_by, target_bytes)
+    few = sizes.agg(F.sum("small_files"), F.sum("small_bytes")).first()
+    if (few[0] or 0) < min_files:
+        return False
+    small = spark.read.parquet(path).filter(F.col("_metadata.file_size") < target_bytes)
+    if not partition_by:
+        small.coalesce(files_for(few[1], target_bytes)).write.mode("overwrite").parquet(new_path)
+        return True
+    wanted = sizes.filter("small_files > 0").select(*partition_by, F.col("small_bytes").alias("bytes"))
+    _dealt(small, wanted, partition_by, target_bytes).write.mode("overwrite").partitionBy(
+        *partition_by
+    ).parquet(new_path)
     return True
 
 
-def _sizes(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
+def read_compacted(
+    spark: SparkSession, path: str, new_path: str, target_bytes: int = TARGET_FILE_BYTES
+) -> DataFrame:
+    """A table after :func:`compact_small`: its large files, and those that took the small ones' place."""
+    large = spark.read.parquet(path).filter(F.col("_metadata.file_size") >= target_bytes)
+    return large.unionByName(spark.read.schema(large.schema).parquet(new_path))
+
+
+def _sizes(
+    spark: SparkSession, path: str, partition_by: Sequence[str], target_bytes: int
+) -> DataFrame:
     """Files and bytes per partition value, from the file listing alone."""
+    small = F.col("length") < target_bytes
     return file_rows(spark, path).groupBy(*partition_by).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("bytes"),
-        F.count_if(F.col("length") < TARGET_FILE_BYTES).alias("small_files"),
+        F.count_if(small).alias("small_files"),
+        F.sum(F.when(small, F.col("length")).otherwise(0)).alias("small_bytes"),
     )
 
 

@@ -1,18 +1,21 @@
 """Files through the whole course: route, check, process per target, and log each step.
 
 What to do with each file is decided for all files in one DataFrame. Processing then runs one
-Spark job per target, over all accepted files of that target. Failures become log rows.
+Spark job per mapping, over all its accepted files. Failures become log rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.paths import location
 from tidegate.operators import quality, routing, tracking, validation
+from tidegate.operators.latest import latest_per_key
 from tidegate.options import Config, ConvertOptions, Mapping
 from tidegate.plans.jobs import job_named
 from tidegate.sinks import files as sink
@@ -24,6 +27,12 @@ REJECT = "reject"
 
 DIGESTS = ("md5", "sha1", "sha256")
 
+#: What makes a control record newer than another one for its file.
+NEWEST = ("created_at", "batch_id", "record_count", "file_size", "file_hash")
+
+#: Files that one read of a mapping's files takes, so that their paths never fill the driver.
+FILES_PER_RUN = 10_000
+
 
 @dataclass(frozen=True)
 class BatchOptions:
@@ -42,7 +51,8 @@ def decide(
 
     ``files`` has file_path and size, and for checksums an etag or the columns of
     ``inventory.digests``. A file without control record is not checked; a control record
-    without file is rejected. Both stay in the result.
+    without file is rejected. Both stay in the result. Messages are delivered at least once, so
+    of several control records for a file the newest counts, and a file listed twice is one.
     """
     rules = [
         F.col(f"mapping.{n}").alias(n)
@@ -50,12 +60,13 @@ def decide(
     ]
     hashes = [c for c in ("etag", *DIGESTS) if c in files.columns]
     present = files.select("file_path", F.col("size").alias("actual_size"), *hashes)
+    # Listings and senders may name one place by different schemes, and more than once.
+    found = present.withColumn("_place", location(F.col("file_path"))).dropDuplicates(["_place"])
     if control is None:
-        joined = present.withColumn("_controlled", F.lit(False))
+        joined = found.drop("_place").withColumn("_controlled", F.lit(False))
     else:
-        # Listings and senders may name one place by different schemes.
-        found = present.withColumn("_place", location(F.col("file_path")))
         promised = control.withColumn("_place", location(F.col("file_path")))
+        promised = latest_per_key(promised, ["_place"], *[c for c in NEWEST if c in control.columns])
         promised = promised.withColumn("_controlled", F.lit(True)).withColumnRenamed("file_path", "_promised")
         joined = found.join(promised, "_place", "full_outer").withColumn(
             "file_path", F.coalesce("file_path", "_promised")
@@ -122,32 +133,68 @@ def decision_log(decisions: DataFrame, job_id: str) -> DataFrame:
     )
 
 
+def output_path(output_root: str, mapping: Mapping, job_id: str, position: int, run: int) -> str:
+    """Where a job puts what one run over files of one mapping made.
+
+    Below the folder of the target, so that mappings and jobs that share a target add up, while
+    a job that runs again replaces only what it wrote itself. The parts are columns for a reader.
+    """
+    name = quote(job_id, safe="")
+    place = f"ingest_job={name}/ingest_position={position}/ingest_run={run}"
+    return f"{output_root.rstrip('/')}/processed/{mapping.target}/{place}"
+
+
 def process_target(
-    spark: SparkSession, mapping: Mapping, paths: list[str], output_root: str, job_id: str
+    spark: SparkSession,
+    mapping: Mapping,
+    paths: list[str],
+    output_root: str,
+    job_id: str,
+    position: int = 0,
+    run: int = 0,
 ) -> str:
     """Run a mapping's job over its files and return where the result is.
 
-    Files that lack a required column, or one to partition by, are refused before any work.
+    Files that lack a required column, or one to partition by, are refused before any work. A
+    ``schema`` among the mapping's parameters saves the pass that infers one, and keeps the types
+    of a target the same from batch to batch.
     """
     name = mapping.processing.file_format.upper()
     options = ConvertOptions.from_params(mapping.params)
+    schema = mapping.params.get("schema")
     change = job_named(mapping.job)
-    df = readers.read_csv(spark, paths, options) if name == "CSV" else readers.read(spark, paths, name)
+    if name == "CSV":
+        df = readers.read_csv(spark, paths, options, schema)
+    else:
+        df = readers.read(spark, paths, name, schema)
     missing = quality.missing_columns(df, mapping.rules.required_fields)
     if missing:
         raise ValueError(f"{mapping.target}: required fields missing: {', '.join(missing)}")
-    out = f"{output_root.rstrip('/')}/processed/{mapping.target}"
+    out = output_path(output_root, mapping, job_id, position, run)
+    compression = mapping.processing.compression_type.lower() or options.compression
     sink.write(
         change(df, mapping.target, job_id, mapping.params),
         out,
         mapping.processing.output_format,
-        mapping.processing.output_options.get("compression", options.compression),
+        mapping.processing.output_options.get("compression", compression),
         partition_by=options.partition_by,
         max_records_per_file=options.max_records_per_file,
     )
     return out
 
 
+def in_runs(chosen: DataFrame, size: int) -> Iterator[list[str]]:
+    """Paths in a fixed order, ``size`` at a time; the driver holds no more than one partition."""
+    paths: list[str] = []
+    for row in chosen.select("file_path").orderBy("file_path").toLocalIterator():
+        paths.append(row.file_path)
+        if len(paths) == size:
+            yield paths
+            paths = []
+    if paths:
+        yield paths
+
+
 def reconcile_files(
     spark: SparkSession, mapping: Mapping, chosen: DataFrame, paths: list[str]
 ) -> DataFrame:
@@ -196,13 +243,14 @@ def run_batch(
     job_id: str,
     options: BatchOptions = BatchOptions(),
 ) -> DataFrame:
-    """Decide, process, count and log a batch of files; returns its records, folded from the log.
+    """Decide, process, count and log a batch of files; returns the records of this job alone.
 
     Below ``log_path`` are the ``log``, the decisions of the job and, for mappings that check
     record counts, the counted records per file.
 
-    A target that fails is tried up to ``config.max_retries`` times more, unless its settings
-    are wrong. Then its files fail, and the batch goes on with the next target or stops, by option.
+    A mapping that fails, in processing or in counting, is tried up to ``config.max_retries``
+    times more, unless its settings are wrong. Then its files fail, and the batch goes on with the
+    next mapping or stops, by option. A new try and a new run of a job replace what it wrote.
     """
     decided_path = f"{log_path}/decided-{job_id}"
     decide(files, control, config, options).write.mode("overwrite").parquet(decided_path)
@@ -211,14 +259,18 @@ def run_batch(
     decision_log(decisions, job_id).write.mode("append").parquet(entries)
     for position, mapping in enumerate(config.mappings):
         chosen = decisions.filter((F.col("action") == PROCESS) & (F.col("position") == position))
-        # Paths of one target: a part of the listing that Spark's driver makes to read them.
-        paths = [r.file_path for r in chosen.select("file_path").collect()]
-        if not paths:
+        if chosen.isEmpty():
             continue
         failure = None
         for attempt in range(config.max_retries + 1):
             try:
-                process_target(spark, mapping, paths, output_root, job_id)
+                for run, paths in enumerate(in_runs(chosen, FILES_PER_RUN)):
+                    process_target(spark, mapping, paths, output_root, job_id, position, run)
+                    if mapping.rules.validate_record_count:
+                        counted = reconcile_files(spark, mapping, _only(chosen, paths), paths)
+                        counted.write.mode("overwrite").parquet(
+                            f"{log_path}/counted-{job_id}/position={position}/run={run}"
+                        )
                 failure = None
                 break
             except ValueError as caught:
@@ -231,12 +283,15 @@ def run_batch(
                 _log_failure(chosen, job_id, attempt, str(caught), True, entries)
         if failure is None:
             _log_success(chosen, job_id, entries)
-            if mapping.rules.validate_record_count:
-                counts = reconcile_files(spark, mapping, chosen, paths)
-                counts.write.mode("overwrite").parquet(f"{log_path}/counted-{job_id}/position={position}")
         elif not options.continue_on_error:
             raise failure
-    return tracking.fold(tracking.read_log(spark, entries), config.max_retries)
+    own = tracking.read_log(spark, entries).filter(F.col("job_id") == job_id)
+    return tracking.fold(own, config.max_retries)
+
+
+def _only(chosen: DataFrame, paths: list[str]) -> DataFrame:
+    """The part of a mapping's files that one run takes; they follow each other in order."""
+    return chosen.filter(F.col("file_path").between(paths[0], paths[-1]))
 
 
 def _named(step: str, job_id: str):

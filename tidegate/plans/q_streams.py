@@ -241,6 +241,89 @@ def batch_course(spark, folder):
     return counted.join(written, "target_name")
 
 
+SHARED_SQL = f"""
+    SELECT customer_id, email, CAST(part AS INTEGER) AS part FROM (
+        SELECT *, customer_id % 2 AS part FROM {inputs.select('customer', inputs.CUSTOMERS)}
+    ) WHERE customer_id IS NOT NULL AND email IS NOT NULL
+"""
+
+
+def _shared_target(spark, folder, runs):
+    """Customers of even and odd numbers below two prefixes that feed one target; each of ``runs``
+    names the jobs, and the prefixes that it finds files below."""
+    landed = work_folder(spark, "landed")
+    customers = inputs.columns(spark, folder, "customer", inputs.CUSTOMERS)
+    for part, name in enumerate(("even", "odd")):
+        rows = customers.filter(F.col("customer_id") % 2 == part)
+        sink.write(rows, f"{landed}/{name}", "CSV", "gzip")
+    out, log = work_folder(spark, "out"), work_folder(spark, "log")
+    for job, names in runs:
+        listed = [inventory.list_files(spark, f"{landed}/{n}") for n in names]
+        files = listed[0] if len(listed) == 1 else listed[0].union(listed[1])
+        files = files.select(F.col("path").alias("file_path"), "size", F.lit(None).cast("string").alias("etag"))
+        key = f"{_key(spark, files, landed.rsplit('/', 1)[1])}/"
+        config = Config(tuple(Mapping(f"{key}{n}/", "CUSTOMERS") for n in ("even", "odd")))
+        run_batch(spark, files, None, config, out, log, job)
+    written = spark.read.parquet(f"{out}/processed/CUSTOMERS")
+    return written.select(
+        F.col("CUSTOMER_ID").cast("bigint").alias("customer_id"),
+        F.col("EMAIL_ADDRESS").alias("email"),
+        F.col("ingest_position").cast("int").alias("part"),
+    )
+
+
+@query("batch_shared_target", SHARED_SQL)
+def batch_shared_target(spark, folder):
+    return _shared_target(spark, folder, [("job-1", ("even", "odd"))])
+
+
+@query("batch_two_runs", SHARED_SQL)
+def batch_two_runs(spark, folder):
+    return _shared_target(
+        spark, folder, [("job-1", ("even",)), ("job-2", ("odd",)), ("job-2", ("odd",))]
+    )
+
+
+@query(
+    "batch_repeated_control",
+    f"""
+    SELECT file_path, target_name, errors, action FROM ({ARRIVALS_SQL})
+    UNION ALL SELECT file_path, CASE WHEN starts_with(file_path, 's3://in/src1') THEN 'ONES' ELSE 'OTHER' END, '',
+           'validated'
+    FROM {inputs.select('documents', STORED)} WHERE file_path LIKE '%.part'
+    """,
+)
+def batch_repeated_control(spark, folder):
+    """As batch_decisions, with each control record delivered three times and each file listed twice."""
+    control = inputs.columns(spark, folder, "documents", CONTROL)
+    files = inputs.columns(spark, folder, "documents", STORED)
+    decided = decide(
+        files.union(files), control.union(control).union(control), SOURCES, BatchOptions(validate_only=True)
+    )
+    return _shown(decided)
+
+
+@query(
+    "stream_hourly_late_events",
+    "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY ALL",
+)
+def stream_hourly_late_events(spark, folder):
+    """Events in files of falling time, one file a batch: older ones come later and still count."""
+    events, landed = table(spark, folder, "events"), work_folder(spark, "falling")
+    bounds = events.agg(F.percentile_approx("event_id", [0.75, 0.5, 0.25])).first()[0]
+    high = None
+    for low in [*sorted(bounds, reverse=True), None]:
+        part = events.filter(F.lit(True) if low is None else F.col("event_id") > low)
+        part = part if high is None else part.filter(F.col("event_id") <= high)
+        part.coalesce(1).write.mode("append").parquet(landed)
+        high = low
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    path = work_folder(spark, "hours")
+    finish(streams.put_hourly_counts(stream, path, work_folder(spark, "at")))
+    newest = streams.newest_windows(spark, path)
+    return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 def _key(spark, files, folder_name):
     """Key of a folder, as it is written in the paths of a listing."""
     any_file = files.select(paths.key(F.col("file_path"))).first()[0]

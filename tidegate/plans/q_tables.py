@@ -208,6 +208,22 @@ def compacted_table(spark, folder):
     )
 
 
+@query("compacted_small_only", "SELECT *, true AS large_files_stay FROM lineitem")
+def compacted_small_only(spark, folder):
+    """A table of one large file and many small ones: all its rows, and where they are read from."""
+    path, new = work_folder(spark, "mixed"), work_folder(spark, "joined")
+    lines = table(spark, folder, "lineitem")
+    lines.filter("l_orderkey % 4 > 0").coalesce(1).write.parquet(path)
+    lines.filter("l_orderkey % 4 = 0").repartition(12).write.mode("append").parquet(path)
+    limit = inventory.list_files(spark, path).agg(F.max("size")).first()[0]
+    made = tables.compact_small(spark, path, new, target_bytes=limit)
+    read = tables.read_compacted(spark, path, new, limit)
+    found = read.select(F.input_file_name().contains(path).alias("old"), F.input_file_name().alias("file"))
+    files = found.distinct().groupBy("old").count().collect()
+    stay = made and {r.old: r["count"] for r in files} == {True: 1, False: 1}
+    return read.withColumn("large_files_stay", F.lit(stay))
+
+
 @query(
     "compacted_partitions",
     "SELECT l_returnflag, count(*) AS rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions import paths, text, values
+from tidegate.operators.latest import with_previous
 from tidegate.operators import routing, tracking, validation
 from tidegate.options import Mapping, Processing, Rules
 from tidegate.plans import inputs
@@ -418,6 +419,27 @@ def status_of_job(spark, folder):
     return tracking.select_records(records, job_id="job-2", newest_first=True).select(*tracking.KEY, "version")
 
 
+@query(
+    "previous_values",
+    """
+    WITH e AS (SELECT event_id, user_id, event_id % 2 = 0 AS hot, ts,
+                      CASE WHEN event_id % 3 > 0 THEN value END AS value FROM events)
+    SELECT event_id, lag(value) OVER (PARTITION BY CASE WHEN hot THEN -1 ELSE user_id END
+                                      ORDER BY ts, event_id) AS previous FROM e
+    """,
+)
+def previous_values(spark, folder):
+    """The value before, which may be null, per user; half of all events are one user's."""
+    events = table(spark, folder, "events").select(
+        "event_id",
+        F.expr("CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END").alias("user"),
+        "ts",
+        F.expr("CASE WHEN event_id % 3 > 0 THEN value END").alias("value"),
+    )
+    found = with_previous(events, ["user"], "ts", "value", "previous", ["event_id"], slices=8)
+    return found.select("event_id", "previous")
+
+
 @query(
     "batch_summary",
     f"""

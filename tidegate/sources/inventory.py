@@ -1,12 +1,13 @@
 """What lies below a path: files, their sizes and digests, and how many records they hold.
 
-File sources never list files of length zero. Where those matter, pass ``expected``, the
-paths that should exist; missing ones come out with a count of 0.
+Counters give a row for every listed file, 0 for one without records. File sources never list
+files of length zero; where those matter, pass ``expected``, the paths that should exist.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,11 @@ BLANKS = " \t\r\n\v\f"
 
 FILE_PATH = "_metadata.file_path"
 
+#: Bytes of the largest file that can be one value.
+MOST_BYTES = 2**31 - 1024
 
-def file_rows(spark: SparkSession, path: str, **options: str) -> DataFrame:
+
+def file_rows(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """One row per file, for uses that do not touch ``content``.
 
     Spark makes tasks by the bytes of the files, which are not read here, so a large table
@@ -32,8 +36,9 @@ def file_rows(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return rows.coalesce(spark.sparkContext.defaultParallelism)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, size and modification time of each file. No file content is read."""
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, size and modification time of each file. No file content is read; Spark's driver
+    lists the files, as it does for every table."""
     return file_rows(spark, path, recursiveFileLookup="true").select(
         F.col(FILE_PATH).alias("path"),
         F.col("length").alias("size"),
@@ -41,30 +46,50 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def digests(spark: SparkSession, path: str) -> DataFrame:
-    """MD5, SHA-1 and SHA-256 of each file's bytes. One file is one value, so up to 2 GB."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col(FILE_PATH).alias("path"),
-            F.col("length").alias("size"),
-            F.md5("content").alias("md5"),
-            F.sha1("content").alias("sha1"),
-            F.sha2("content", 256).alias("sha256"),
-        )
+def digests(
+    spark: SparkSession, path: str, prefixes: Sequence[str] | None = None, most_bytes: int = MOST_BYTES
+) -> DataFrame:
+    """MD5, SHA-1 and SHA-256 of each file's bytes, and why there are none.
+
+    Only files whose keys start with one of ``prefixes`` are read, if those are given. A file is
+    one value, so one beyond ``most_bytes`` has no digests but an ``unread`` reason, as have the
+    files that were not asked for; neither is opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    key = paths.key(F.col(FILE_PATH))
+    asked = F.lit(True) if prefixes is None else F.lit(False)
+    for prefix in prefixes or ():
+        asked = asked | F.startswith(key, F.lit(prefix))
+    small = F.col("length") <= most_bytes
+    read_ = files.filter(asked & small).select(
+        F.col(FILE_PATH).alias("path"),
+        F.col("length").alias("size"),
+        F.md5("content").alias("md5"),
+        F.sha1("content").alias("sha1"),
+        F.sha2("content", 256).alias("sha256"),
+        F.lit(None).cast("string").alias("unread"),
     )
+    why = F.when(asked, F.lit("file too large to digest")).otherwise(F.lit("digest not asked for"))
+    none = F.lit(None).cast("string")
+    rest = file_rows(spark, path, recursiveFileLookup="true").filter(~(asked & small)).select(
+        F.col(FILE_PATH).alias("path"),
+        F.col("length").alias("size"),
+        *(none.alias(n) for n in ("md5", "sha1", "sha256")),
+        why.alias("unread"),
+    )
+    return read_.union(rest)
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
 
 
-def _with_expected(counts: DataFrame, expected: DataFrame | None) -> DataFrame:
-    """Counts of the ``expected`` paths, 0 for those that no reader saw."""
+def _with_expected(
+    counts: DataFrame, expected: DataFrame | None, path: str | list[str]
+) -> DataFrame:
+    """Counts of the ``expected`` paths (default: of all listed files), 0 where no record was seen."""
     if expected is None:
-        return counts
+        expected = list_files(counts.sparkSession, path)
     found = counts.withColumnRenamed("path", "_path")
     same = paths.location(F.col("path")) == paths.location(F.col("_path"))
     joined = expected.select("path").join(found, same, "left")
@@ -85,7 +110,7 @@ def count_lines(
         .groupBy(F.col(FILE_PATH).alias("path"))
         .agg(F.greatest(lines, F.lit(0)).cast("bigint").alias("records"))
     )
-    return _with_expected(counts, expected)
+    return _with_expected(counts, expected, path)
 
 
 def count_rows(
@@ -105,7 +130,7 @@ def count_rows(
         .groupBy(F.col(FILE_PATH).alias("path"))
         .agg(F.count(F.lit(1)).alias("records"))
     )
-    return _with_expected(counts, expected)
+    return _with_expected(counts, expected, path)
 
 
 def valid_json_lines(line: Column) -> Column:
@@ -117,9 +142,9 @@ def valid_json_lines(line: Column) -> Column:
 def count_json(spark: SparkSession, path: str | list[str], expected: DataFrame | None = None) -> DataFrame:
     """Records per JSON file: array elements when the file starts with ``[``, else valid lines.
 
-    Files are read line by line. Only arrays that span several lines are read again whole,
-    one file per value; their paths are part of the file list the driver holds anyway.
-    A broken array has null records and an error text.
+    Files are read line by line. If arrays span several lines, files are read again whole, one
+    per value, and those arrays are picked by a join. A broken array has null records and an
+    error text.
     """
     text = F.col("text")
     opens = F.startswith(text, F.lit("["))
@@ -167,17 +192,20 @@ def count_json(spark: SparkSession, path: str | list[str], expected: DataFrame |
         F.when(in_array, F.col("elements")).otherwise(F.col("valid")).cast("bigint").alias("records"),
         F.when(in_array & F.col("elements").isNull(), broken).alias("error"),
     )
-    spanning = [r.path for r in seen.filter(in_array & (F.col("filled") > 1)).select("path").collect()]
+    spanning = seen.filter(in_array & (F.col("filled") > 1)).select("path")
     counts = by_line
-    if spanning:
+    if not spanning.isEmpty():
         size = array_size(F.btrim("value", F.lit(BLANKS)))
         whole = (
-            spark.read.text(spanning, wholetext=True)
-            .select(F.col(FILE_PATH).alias("path"), size.cast("bigint").alias("records"))
+            spark.read.option("recursiveFileLookup", "true")
+            .text(path, wholetext=True)
+            .select(F.col(FILE_PATH).alias("path"), "value")
+            .join(spanning, "path", "left_semi")
+            .select("path", size.cast("bigint").alias("records"))
             .withColumn("error", F.when(F.col("records").isNull(), broken))
         )
         counts = by_line.unionByName(whole)
-    return _with_expected(counts, expected)
+    return _with_expected(counts, expected, path)
 
 
 def count_records(

@@ -83,17 +83,29 @@ def put_batches(
     )
 
 
-def hourly_counts(events: DataFrame, late: str = "10 minutes", hours: int = 1) -> DataFrame:
-    """Events per window of whole hours and type; rows later than ``late`` may be dropped.
+def hourly_counts(events: DataFrame, late: str | None = None, hours: int = 1) -> DataFrame:
+    """Events per window of whole hours and type.
 
-    The watermark is what lets Spark forget old windows. It needs a time with zone.
+    Nothing is dropped unless ``late`` is given: then Spark forgets windows that are older than
+    the newest event by that much, and leaves out events that come later still (their number is
+    ``numRowsDroppedByWatermark`` in the progress of the query). Without it every window stays in
+    the state. The time is one with zone.
     """
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    return statistics.hourly(timed, hours=hours)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return statistics.hourly(timed.withWatermark("ts", late) if late else timed, hours=hours)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query has left out because they came too late."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
 
 
 def put_hourly_counts(
-    events: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", every: str | None = None
+    events: DataFrame, path: str, checkpoint: str, late: str | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Write updated windows of each batch; :func:`newest_windows` reads the final counts.
 
