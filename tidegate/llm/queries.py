@@ -103,7 +103,7 @@ TOP_K_SQL = """
 WITH ok AS (
   SELECT vec_id, embedding FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 parts AS (
   SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i,
