@@ -136,6 +136,14 @@ def test_load_counts_and_paths(spark, tmp_path):
     assert (result.target_name, result.loaded_records, result.rejected_records) == ("T", 7, 3)
     assert spark.read.parquet(result.loaded_path).count() == 7
     assert {r.reject_reason for r in spark.read.parquet(result.rejected_path).collect()} == {"large"}
+    again = tables.load(df, "T", str(tmp_path / "l"), "x")
+    assert again.load_id == "x" and again.load_duration_ms > 0
+    tables.load(df, "T", str(tmp_path / "l"), "x")
+    assert spark.read.parquet(str(tmp_path / "l")).count() == 20
+    row = spark.range(1).select(again.struct().alias("r")).first().r
+    assert (row.load_id, row.loaded_records, row.rejected_records) == ("x", 7, 3)
+    none = tables.load(df.filter("id < 0"), "T", str(tmp_path / "n"), "y")
+    assert (none.loaded_records, none.rejected_records) == (0, 0)
 
 
 def test_current_rows_takes_the_newest_change(spark):

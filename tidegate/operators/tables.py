@@ -5,14 +5,18 @@ No operation changes files that it reads. Results go to a new path, and the call
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidegate import schemas
 from tidegate.functions.partitioning import PartitionField, SortField, with_partitions
 from tidegate.operators.latest import latest_per_key
 from tidegate.sinks import files as sink
@@ -158,32 +162,46 @@ def with_added_columns(df: DataFrame, columns: Sequence[tuple[str, str]]) -> Dat
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Where a load put its rows, and how many."""
+    """Where a load put its rows, how many, and how long it took."""
 
     target_name: str
     loaded_path: str
     rejected_path: str
     loaded_records: int
     rejected_records: int
+    load_duration_ms: int
+    load_id: str
 
+    def struct(self) -> Column:
+        """As ``load_results`` of a record, for :func:`tracking.assemble`."""
+        names = ("target_name", "loaded_records", "rejected_records", "load_duration_ms", "load_id")
+        return F.struct(*(F.lit(getattr(self, n)).alias(n) for n in names)).cast(
+            schemas.struct(schemas.LOAD_RESULTS)
+        )
 
-def load(df: DataFrame, target_name: str, path: str) -> LoadResult:
-    """Write rows with a null ``reject_reason`` as loaded and the rest as rejected, in one pass.
 
-    Counts come from the footers of the written files, so a task that ran twice is not
-    counted twice.
+def load(df: DataFrame, target_name: str, path: str, load_id: str | None = None) -> LoadResult:
+    """Add rows with a null ``reject_reason`` as loaded and the rest as rejected, in one pass.
+
+    A load has a folder of its own below ``path``, named by its id, so loads add up and one that
+    runs again with the same id replaces only itself. Counts come from the footers of the written
+    files, so a task that ran twice is not counted twice.
     """
+    started = time.monotonic()
+    load_id = load_id or uuid.uuid4().hex
+    own = f"{path}/load_id={quote(load_id, safe='')}"
     status = F.when(F.col("reject_reason").isNull(), F.lit("loaded")).otherwise(F.lit("rejected"))
-    df.withColumn("load_status", status).write.mode("overwrite").partitionBy("load_status").parquet(path)
-    spark = df.sparkSession
-    written = spark.read.parquet(path)
-    counts = {r.load_status: r["count"] for r in written.groupBy("load_status").count().collect()}
+    df.withColumn("load_status", status).write.mode("overwrite").partitionBy("load_status").parquet(own)
+    read = df.sparkSession.read.schema(StructType([*df.schema.fields]).add("load_status", "string")).parquet(own)
+    counts = {r.load_status: r["count"] for r in read.groupBy("load_status").count().collect()}
     return LoadResult(
         target_name,
-        f"{path}/load_status=loaded",
-        f"{path}/load_status=rejected",
+        f"{own}/load_status=loaded",
+        f"{own}/load_status=rejected",
         counts.get("loaded", 0),
         counts.get("rejected", 0),
+        round(1000 * (time.monotonic() - started)),
+        load_id,
     )
 
 

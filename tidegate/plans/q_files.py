@@ -374,6 +374,18 @@ def header_columns(spark, folder):
     )
 
 
+@query(
+    "lines_and_columns",
+    "SELECT o_orderstatus, 5 AS column_count, count(*) AS records FROM orders GROUP BY ALL",
+)
+def lines_and_columns(spark, folder):
+    path = work_folder(spark, "headers")
+    sink.write(table(spark, folder, "orders"), path, "CSV", "none", partition_by=("o_orderstatus",))
+    status = F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1)
+    counted = inventory.lines_and_columns(spark, path)
+    return counted.groupBy(status.alias("o_orderstatus"), "column_count").agg(F.sum("records").alias("records"))
+
+
 @query(
     "content_checksums",
     """
@@ -500,6 +512,21 @@ def load_target(spark, folder):
     return spark.createDataFrame([row], "target_name STRING, loaded_records BIGINT, rejected_records BIGINT")
 
 
+@query(
+    "load_in_parts",
+    f"""
+    SELECT order_id, amount, CASE WHEN order_id % 2 = 0 THEN 'even' ELSE 'odd' END AS load_id
+    FROM {inputs.select('orders', inputs.ORDERS)} WHERE amount > 0 AND order_id IS NOT NULL
+    """,
+)
+def load_in_parts(spark, folder):
+    """Two loads into one table, the second of them run twice."""
+    path, rows = work_folder(spark, "load"), _loadable(spark, folder)
+    for part, name in ((0, "even"), (1, "odd"), (1, "odd")):
+        tables.load(rows.filter(F.col("order_id") % 2 == part), "ORDERS", path, name)
+    return spark.read.parquet(path).filter("load_status = 'loaded'").select("order_id", "amount", "load_id")
+
+
 @query(
     "dead_letter_rows",
     f"""

@@ -222,15 +222,31 @@ def count_records(
     return count_lines(spark, path, False, expected)
 
 
-def header_columns(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Number of columns per delimited file, told by its first line."""
-    quoted = F.regexp_replace("header", r'"([^"]|"")*"', "")
-    fields = F.size(F.split(quoted, F.lit(re.escape(delimiter)), F.lit(-1)))
-    return (
-        _lines(spark, path)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col(FILE_PATH).alias("path"), F.monotonically_increasing_id().alias("at"), "value")
-        .groupBy("path")
-        .agg(F.min_by("value", "at").alias("header"))
-        .select("path", fields.alias("column_count"))
+def _width(header: Column, delimiter: str) -> Column:
+    """Columns that a header line names; quoted delimiters do not count."""
+    quoted = F.regexp_replace(header, r'"([^"]|"")*"', "")
+    return F.size(F.split(quoted, F.lit(re.escape(delimiter)), F.lit(-1)))
+
+
+def lines_and_columns(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
+    """Lines after the header, and columns of the header, per delimited file, in one scan.
+
+    Splits count their lines; of all text only the first line of a file goes beyond its task.
+    """
+    starts = F.col("_metadata.file_block_start") == 0
+    at = F.when(starts, F.monotonically_increasing_id())
+    lines = _lines(spark, path).select(F.col(FILE_PATH).alias("path"), at.alias("at"), "value")
+    found = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.min_by("value", "at").alias("header")
     )
+    return found.select(
+        "path",
+        F.greatest(F.col("lines") - 1, F.lit(0)).cast("bigint").alias("records"),
+        _width(F.col("header"), delimiter).alias("column_count"),
+    )
+
+
+def header_columns(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """Number of columns per delimited file, told by its first line. Where lines are counted too,
+    :func:`lines_and_columns` does both in one scan."""
+    return lines_and_columns(spark, path, delimiter).select("path", "column_count")
