@@ -93,6 +93,27 @@ def test_fingerprints_of_documents(spark):
     }
 
 
+@pytest.mark.parametrize("few", [1, 16])
+def test_near_links_of_groups(spark, monkeypatch, few):
+    """Pairs are within the radius, and a group gives no more of them than its rows times hubs."""
+    monkeypatch.setattr(simhash, "FEW", few)
+    draw = random.Random(few)
+    base, rows = draw.getrandbits(64), []
+    for i in range(300):
+        for tab in range(3):
+            f = base ^ (1 << draw.randrange(64))
+            rows.append((tab, i, f - (1 << 64) if f >> 63 else f))
+    df = spark.createDataFrame(rows, "tab int, id long, fp long")
+    pairs = [(r["a"], r["b"]) for r in simhash.near_links(df).collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    prints = {(t, i): f for t, i, f in rows}
+    for a, b in pairs:
+        assert any(((prints[t, a] ^ prints[t, b]) & (1 << 64) - 1).bit_count() <= 2 for t in range(3))
+    assert len(pairs) <= 300 * 3 * simhash.SEGMENTS * simhash.HUBS
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert {got.get(i, i) for i in range(300)} == {0}
+
+
 def jaccard(a, b, size=5):
     sets = []
     for text in (a, b):

@@ -185,8 +185,10 @@ def fingerprint_components(
 
 #: Fingerprints of each document: near copies that miss each other in one meet in another.
 TABLES = 16
+#: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them.
+FEW, HUBS = 16, 3
 #: Shingle hashes kept of a document for the last test; a document with fewer is tested exactly.
-SKETCH = 512
+SKETCH = 256
 _word = re.compile(r"\w+").findall
 _ODD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for i in range(TABLES)], dtype=np.uint64)
 
@@ -232,6 +234,46 @@ def similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(union, both, assume_unique=True).mean())
 
 
+def near_links(rows: DataFrame, segments: int = SEGMENTS) -> DataFrame:
+    """Pairs ``a, b`` of texts with fingerprints within RADIUS bits, from ``tab, id, fp`` rows.
+
+    Texts meet as in :func:`candidate_links`. Where more than FEW share a key, each meets HUBS of
+    them that a hash picks for that key, so pairs grow with the rows however large a group is; a
+    text has a key for each segment of each table, and other hubs under each. One shuffle serves
+    the groups and the join with them.
+    """
+    heads, chains = ring_masks(segments)
+    place = [
+        F.struct(
+            F.lit(i).cast("tinyint").alias("i"),
+            F.xxhash64("tab", F.lit(i), F.col("fp").bitwiseAND(_long(head))).alias("place"),
+        )
+        for i, head in enumerate(heads)
+    ]
+    keyed = rows.select("id", "fp", F.explode(F.array(*place)).alias("at"))
+    dealt = keyed.select("id", "fp", "at.i", "at.place").repartition("place")
+    hub = [F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("h"), "id", "fp")) for h in range(HUBS)]
+    groups = dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.array(*hub).alias("hubs"))
+    groups = groups.where("n > 1").select("place", F.when(F.col("n") > FEW, F.col("hubs")).alias("hubs"))
+    members = common.written(dealt.join(groups, "place"), "met")
+
+    few = members.where("hubs is null").select("id", "fp", "i", "place")
+    differ = F.col("l.fp").bitwiseXOR(F.col("r.fp"))
+    on_ring = F.lit(False)
+    for i, chain in enumerate(chains):
+        fits = F.col("l.i") == i
+        for bits, budget in chain:
+            fits = fits & (F.bit_count(differ.bitwiseAND(_long(bits))) <= budget)
+        on_ring = on_ring | fits
+    met = (F.col("l.place") == F.col("r.place")) & (F.col("l.id") < F.col("r.id"))
+    pairs = few.alias("l").join(few.alias("r"), met & on_ring & (F.bit_count(differ) <= RADIUS))
+    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    near = F.expr(f"filter(hubs, h -> h.id != id and bit_count(h.fp ^ fp) <= {RADIUS}).id")
+    stars = members.where("hubs is not null").select("id", F.explode(near).alias("hub"))
+    ends = F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
+    return pairs.union(stars.select(*ends)).distinct()
+
+
 def near_copies(
     df: DataFrame, key: str, text: str, size: int = 5, least: float = 0.8
 ) -> DataFrame:
@@ -264,7 +306,7 @@ def near_copies(
     texts = made.groupBy("digest").agg(F.min(key).alias("id"), F.first("fps").alias("fps"))
     texts = common.written(texts, "texts")
     rows = texts.select("id", F.posexplode("fps").alias("tab", "fp"))
-    pairs = common.written(candidate_links(rows).where("a != b"), "candidates")
+    pairs = common.written(near_links(rows), "candidates")
 
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
     wanted = source.join(wanted.distinct(), key, "left_semi")

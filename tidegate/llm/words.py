@@ -13,8 +13,8 @@ import numpy as np
 SPACES = "\t-\r \x85\xa0  -     　"
 #: Characters that ``str.split`` takes for white space and the patterns do not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-#: Words remembered by a worker at most (about 200 MB); then it starts anew.
-MEMORY_WORDS = 800_000
+#: Words remembered by a worker at most (about 120 MB); then it starts anew.
+MEMORY_WORDS = 500_000
 #: New words that the tokenizer gets in one text.
 TOGETHER = 64
 _segments = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+").findall
