@@ -187,6 +187,8 @@ def fingerprint_components(
 TABLES = 16
 #: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them.
 FEW, HUBS = 16, 3
+#: Keys of documents to drop that are broadcast (some 16 MB).
+MOST_BROADCAST = 1_000_000
 #: Shingle hashes kept of a document for the last test; a document with fewer is tested exactly.
 SKETCH = 256
 _word = re.compile(r"\w+").findall
@@ -341,7 +343,12 @@ def near_copies(
 
 
 def without_near_copies(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``df`` without the documents that :func:`near_copies` names a smaller one for."""
-    return df.join(common.written(near_copies(df, key, text), "copies"), key, "left_anti").select(
-        df.columns
-    )
+    """``df`` without the documents that :func:`near_copies` names a smaller one for.
+
+    Up to MOST_BROADCAST keys, counted first, are broadcast, so that no text is shuffled; beyond
+    that the texts are joined with them by key.
+    """
+    copies = common.written(near_copies(df, key, text).select(key), "copies")
+    if copies.count() <= MOST_BROADCAST:
+        copies = F.broadcast(copies)
+    return df.join(copies, key, "left_anti").select(df.columns)
