@@ -155,3 +155,35 @@ def test_sketch_of_long_texts():
         assert estimate == pytest.approx(jaccard(" ".join(a), " ".join(b)), abs=0.08)
     assert simhash.similarity(simhash.sketch([], 5), simhash.sketch([], 5)) == 1.0
     assert np.all(simhash.word_fingerprints([]) == 0)
+
+
+@pytest.mark.parametrize("frequent", [0, 200_000])
+def test_near_copies_with_text_added_cut_and_replaced(spark, monkeypatch, frequent):
+    """Against all pairs, each kind of edit around the threshold."""
+    monkeypatch.setattr(simhash, "FREQUENT", frequent, raising=False)
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("aeioudlnrst") for _ in range(draw.randint(2, 9)))
+    line = [word() for _ in range(12)]
+    texts, kinds = {}, {}
+    for kind in ("added", "before", "cut", "replaced"):
+        for share in (0.03, 0.08, 0.15, 0.22, 0.3):
+            for _ in range(6):
+                base = line + [word() for _ in range(draw.randint(60, 230))]
+                part = max(1, int(share * len(base)))
+                copy = base[:]
+                if kind == "added":
+                    copy += [word() for _ in range(part)]
+                elif kind == "before":
+                    copy = [word() for _ in range(part)] + copy
+                elif kind == "cut":
+                    copy = copy[part:]
+                else:
+                    for i in draw.sample(range(len(copy)), max(1, part // 5)):
+                        copy[i] = word()
+                at = len(texts)
+                texts[at], texts[at + 1], kinds[at + 1] = " ".join(base), " ".join(copy), kind
+    alike = {b: jaccard(texts[b - 1], texts[b]) >= 0.8 for b in kinds}
+    assert all(any(alike[b] for b in kinds if kinds[b] == k) for k in set(kinds.values()))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
+    assert got == {b: b - 1 for b in kinds if alike[b]}

@@ -22,7 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
 
 from tidegate.llm import common
 from tidegate.llm.components import components
@@ -187,6 +194,9 @@ def fingerprint_components(
 TABLES = 16
 #: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them.
 FEW, HUBS = 16, 3
+#: Texts from which common shingles are told, and how many of those count as such; that sets the
+#: order of shingles and with it the work, not the result.
+SAMPLE, FREQUENT = 4_000, 200_000
 #: Keys of documents to drop that are broadcast (some 16 MB).
 MOST_BROADCAST = 1_000_000
 #: Shingle hashes kept of a document for the last test; a document with fewer is tested exactly.
@@ -276,40 +286,141 @@ def near_links(rows: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     return pairs.union(stars.select(*ends)).distinct()
 
 
+def shingle_set(words: list[str], size: int) -> np.ndarray:
+    """The different 64-bit hashes of the shingles, ascending."""
+    import xxhash
+
+    found = {xxhash.xxh64_intdigest(s, SEED) for s in shingles([w.encode() for w in words], size)}
+    return np.array(sorted(found), dtype="<u8")
+
+
+def frequent_shingles(source: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of SAMPLE texts hold, ascending, and in how many of them."""
+    key, text = source.columns
+    some = max(1, source.count() // SAMPLE)
+    drawn = source.where(F.pmod(F.xxhash64(key), F.lit(some)) == 0).select(text).limit(2 * SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                found = shingle_set(_word((t or "").lower()), size).view("<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(found)], names=["shingle"])
+
+    counted = drawn.mapInArrow(run, "shingle long").groupBy("shingle").count()
+    top = counted.where("count > 1").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+    found = np.array([r["shingle"] for r in top], dtype="<i8").view("<u8")
+    counts, order = np.array([r["count"] for r in top], dtype=np.int64), np.argsort(found)
+    return found[order], counts[order]
+
+
+def prefix(hashed: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The rarest shingles of an ascending set, of which any set of that similarity holds one.
+
+    A set of that similarity shares at least ``least`` of the shingles, so that it cannot miss
+    one more than the others. All sets must be cut by the same order: by the counts, then hashes.
+    """
+    known, counts = frequent
+    often = np.zeros(len(hashed), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+        often = np.where(known[at] == hashed, counts[at], 0)
+    take = len(hashed) - int(np.ceil(least * len(hashed) - 1e-9)) + 1
+    return hashed[np.argsort(often, kind="stable")[:take]]
+
+
+def _within(one: str, other: str, least: float) -> Column:
+    """Whether two sets that share a shingle of their prefixes, none before it, can be alike:
+    ``n`` is the size of a set and ``at`` the shingle's place in its order."""
+    n, m, i, j = (F.col(f"{side}.{name}") for name in ("n", "at") for side in (one, other))
+    return F.least(n - i, m - j) >= (n + m) * (least / (1 + least)) - 1e-6
+
+
+def prefix_members(rows: DataFrame) -> DataFrame:
+    """``place, id, n, at, hubs`` of the rows ``id, n, at, place`` whose place others have too.
+
+    Beyond FEW rows a place has HUBS of them as ``hubs``, which a hash of their ids picks, so that
+    a large group of near copies has the same ones under most of its places.
+    """
+    dealt = rows.repartition("place")
+    hub = [F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("h"), "id", "n", "at")) for h in range(HUBS)]
+    groups = dealt.groupBy("place").agg(F.count(F.lit(1)).alias("c"), F.array(*hub).alias("hubs"))
+    groups = groups.where("c > 1").select("place", F.when(F.col("c") > FEW, F.col("hubs")).alias("hubs"))
+    return dealt.join(groups, "place")
+
+
+def prefix_links(members: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` from :func:`prefix_members`: all of a place, or each row with its hubs."""
+    few = members.where("hubs is null").groupBy("place")
+    few = few.agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("all"))
+    few = few.select("all").distinct()  # copies meet in the same company under many places
+    few = few.select("all", F.explode("all").alias("l")).select("l", F.explode("all").alias("r"))
+    fits = F.least("l.n", "r.n") >= F.greatest("l.n", "r.n") * least - 1e-6
+    pairs = few.where((F.col("l.id") < F.col("r.id")) & fits)
+    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    stars = members.where("hubs is not null")
+    stars = stars.select(F.struct("id", "n", "at").alias("l"), F.explode("hubs").alias("r"))
+    stars = stars.where((F.col("l.id") != F.col("r.id")) & _within("l", "r", least))
+    ends = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
+    return pairs.union(stars.select(*ends)).distinct()
+
+
 def near_copies(
     df: DataFrame, key: str, text: str, size: int = 5, least: float = 0.8
 ) -> DataFrame:
     """``key, component_id`` of each key that has a smaller key among its near copies.
 
     Texts are compared by their words in lower case without punctuation. Equal texts are copies.
-    Different ones meet if one of TABLES fingerprints over their words differs in RADIUS bits or
-    fewer, and are linked if shingles of ``size`` words have a Jaccard similarity of ``least`` or
-    more, exact up to SKETCH shingles and estimated from SKETCH hashes beyond. Groups are
-    connected by links and named by their smallest key. Null texts count as empty, and empty
-    texts are copies of each other. Rows without a key are left out; rows with one key are one
-    document, of which the text that is first in order counts.
+    Different ones are linked if their shingles of ``size`` words have a Jaccard similarity of
+    ``least`` or more, exact up to SKETCH shingles and estimated from SKETCH hashes beyond. Any two
+    of that similarity share a shingle among the rarest of each (:func:`prefix`), by which they
+    meet. Groups are connected by links and named by their smallest key. Null texts count as empty,
+    and empty texts are copies of each other. Rows without a key are left out; rows with one key
+    are one document, of which the text that is first in order counts.
     """
     common.prepare_workers(df.sparkSession)
     kind = df.schema[key]
     source = df.where(F.col(key).isNotNull()).select(key, F.col(text).alias("__text"))
+    order = df.sparkSession.sparkContext.broadcast(frequent_shingles(source, size))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = order.value
         for batch in batches:
             words = [_word((t or "").lower()) for t in batch.column(1).to_pylist()]
             digests = [hashlib.md5(" ".join(w).encode()).digest() for w in words]
-            found = [word_fingerprints(w).tolist() for w in words]
+            sets = [shingle_set(w, size) for w in words]
+            rarest = [prefix(s, frequent, least).view("<i8") if len(s) else [] for s in sets]
+            made = [
+                pa.array(digests),
+                pa.array([len(s) for s in sets], pa.int32()),
+                pa.array(rarest, pa.list_(pa.int64())),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests), pa.array(found, pa.list_(pa.int64()))],
-                names=[key, "digest", "fps"],
+                [batch.column(0), *made], names=[key, "digest", "n", "places"]
             )
 
-    schema = StructType([kind]).add("digest", BinaryType()).add("fps", ArrayType(LongType()))
-    made = common.written(source.mapInArrow(prints, schema), "word-fingerprints")
-    texts = made.groupBy("digest").agg(F.min(key).alias("id"), F.first("fps").alias("fps"))
+    schema = StructType([kind]).add("digest", BinaryType()).add("n", IntegerType())
+    schema = schema.add("places", ArrayType(LongType()))
+    made = common.written(source.mapInArrow(prints, schema), "prefixes")
+    texts = made.groupBy("digest").agg(
+        F.min(key).alias("id"), F.first("n").alias("n"), F.first("places").alias("places")
+    )
     texts = common.written(texts, "texts")
-    rows = texts.select("id", F.posexplode("fps").alias("tab", "fp"))
-    pairs = common.written(near_links(rows), "candidates")
+    rows = texts.select("id", "n", F.posexplode("places").alias("at", "place"))
+    members = common.written(prefix_members(rows), "met")
+    pairs = common.written(prefix_links(members, least), "candidates")
+    links = common.written(alike(pairs, source, size, least), "links")
+    found = components(links)
+    roots = found.select(F.col("node").alias("id"), "root")
+    named = texts.select("digest", "id").join(roots, "id", "left")
+    named = named.select("digest", F.coalesce("root", "id").alias("component_id"))
+    grouped = made.select(key, "digest").join(named, "digest")
+    lowest = grouped.groupBy(key).agg(F.min("component_id").alias("component_id"))
+    return lowest.where(F.col(key) != F.col("component_id"))
+
 
+def alike(pairs: DataFrame, source: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs ``a, b`` of keys of ``source`` (key, text) with a similarity of ``least`` or more."""
+    key, kind = source.columns[0], source.schema[0]
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
     wanted = source.join(wanted.distinct(), key, "left_semi")
 
@@ -326,20 +437,14 @@ def near_copies(
     right = drawn.select(F.col(key).alias("b"), F.col("sketch").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = [similarity(p, q) >= least for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ends = StructType([StructField(n, kind.dataType) for n in ("a", "b")])
-    found = components(both.mapInArrow(alike, ends))
-    roots = found.select(F.col("node").alias("id"), "root")
-    named = texts.select("digest", "id").join(roots, "id", "left")
-    named = named.select("digest", F.coalesce("root", "id").alias("component_id"))
-    grouped = made.select(key, "digest").join(named, "digest")
-    lowest = grouped.groupBy(key).agg(F.min("component_id").alias("component_id"))
-    return lowest.where(F.col(key) != F.col("component_id"))
+    return both.mapInArrow(judge, ends)
 
 
 def without_near_copies(df: DataFrame, key: str, text: str) -> DataFrame:
