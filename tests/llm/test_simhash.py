@@ -187,3 +187,16 @@ def test_near_copies_with_text_added_cut_and_replaced(spark, monkeypatch, freque
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
     assert got == {b: b - 1 for b in kinds if alike[b]}
+
+
+def test_groups_that_drift_away_from_hubs(spark):
+    """Each text is a near copy of its neighbours alone, and all its shingles are crowded."""
+    draw = random.Random(7)
+    words = ["".join(draw.choice("aeioudlnrst") for _ in range(8)) for _ in range(700)]
+    texts = {i: " ".join(words[3 * i : 3 * i + 100]) for i in range(200)}
+    texts |= {1000 + i: f"{texts[i]} {texts[199 - i]}" for i in range(0, 60, 20)}
+    want = brute_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    assert {want[i] for i in range(200)} == {0}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
+    assert got == {i: r for i, r in want.items() if i != r}

@@ -192,7 +192,8 @@ def fingerprint_components(
 
 #: Fingerprints of each document: near copies that miss each other in one meet in another.
 TABLES = 16
-#: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them.
+#: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them
+#: before :func:`missing_links` looks for what that leaves apart.
 FEW, HUBS = 16, 3
 #: Texts from which common shingles are told, and how many of those count as such; that sets the
 #: order of shingles and with it the work, not the result.
@@ -364,6 +365,32 @@ def prefix_links(members: DataFrame, least: float) -> DataFrame:
     return pairs.union(stars.select(*ends)).distinct()
 
 
+def missing_links(members: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """The pairs ``a, b`` of crowded places that hubs left in different groups.
+
+    ``roots`` are the groups found over hubs. Under each place that still holds several, the rows
+    outside the largest are compared with all rows of other groups; where hubs linked everything
+    there is nothing to do.
+    """
+    crowded = members.where("hubs is not null").select("place", "id", "n", "at")
+    grouped = crowded.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    grouped = grouped.withColumn("root", F.coalesce("root", "id"))
+    grouped = common.written(grouped, "crowded")
+    largest = grouped.groupBy("place", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("place")
+    largest = largest.agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.max(F.struct("c", "root")).getField("root").alias("largest"),
+    )
+    split = grouped.join(largest.where("groups > 1").drop("groups"), "place")
+    left, right = split.where("root != largest").alias("l"), split.alias("r")
+    once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.id") < F.col("r.id"))
+    met = (F.col("l.place") == F.col("r.place")) & (F.col("l.root") != F.col("r.root"))
+    pairs = left.join(right, met & once & _within("l", "r", least))
+    return pairs.select(
+        F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
+    ).distinct()
+
+
 def near_copies(
     df: DataFrame, key: str, text: str, size: int = 5, least: float = 0.8
 ) -> DataFrame:
@@ -373,7 +400,8 @@ def near_copies(
     Different ones are linked if their shingles of ``size`` words have a Jaccard similarity of
     ``least`` or more, exact up to SKETCH shingles and estimated from SKETCH hashes beyond. Any two
     of that similarity share a shingle among the rarest of each (:func:`prefix`), by which they
-    meet. Groups are connected by links and named by their smallest key. Null texts count as empty,
+    meet; of a crowded shingle texts meet a few hubs first, then all that are not in their group by
+    then. Groups are connected by links and named by their smallest key. Null texts count as empty,
     and empty texts are copies of each other. Rows without a key are left out; rows with one key
     are one document, of which the text that is first in order counts.
     """
@@ -409,7 +437,10 @@ def near_copies(
     members = common.written(prefix_members(rows), "met")
     pairs = common.written(prefix_links(members, least), "candidates")
     links = common.written(alike(pairs, source, size, least), "links")
-    found = components(links)
+    found = common.written(components(links), "groups")
+    more = common.written(missing_links(members, found, least), "missing")
+    if not more.isEmpty():
+        found = components(links.union(alike(more, source, size, least)))
     roots = found.select(F.col("node").alias("id"), "root")
     named = texts.select("digest", "id").join(roots, "id", "left")
     named = named.select("digest", F.coalesce("root", "id").alias("component_id"))
