@@ -200,3 +200,19 @@ def test_groups_that_drift_away_from_hubs(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
     assert got == {i: r for i, r in want.items() if i != r}
+
+
+def test_long_texts_near_the_threshold(spark):
+    """Similarities of 0.77 to 0.83, where the estimate of a sketch errs."""
+    draw = random.Random(8)
+    texts, want = {}, {}
+    for i in range(60):
+        base = ["".join(draw.choice("aeioudlnrst") for _ in range(8)) for _ in range(900)]
+        copy = base[: 900 - draw.randint(155, 205)]
+        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join(copy)
+        if jaccard(texts[2 * i], texts[2 * i + 1]) >= 0.8:
+            want[2 * i + 1] = 2 * i
+    assert 20 < len(want) < 40
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
+    assert got == want

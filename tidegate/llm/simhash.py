@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
     IntegerType,
     LongType,
     StructField,
@@ -200,8 +201,11 @@ FEW, HUBS = 16, 3
 SAMPLE, FREQUENT = 4_000, 200_000
 #: Keys of documents to drop that are broadcast (some 16 MB).
 MOST_BROADCAST = 1_000_000
-#: Shingle hashes kept of a document for the last test; a document with fewer is tested exactly.
+#: Shingle hashes of a document in its sketch; a document with fewer is tested exactly by it.
 SKETCH = 256
+#: How near to the threshold a similarity estimated from sketches decides nothing; its standard
+#: error there is 0.025.
+DOUBT = 0.12
 _word = re.compile(r"\w+").findall
 _ODD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for i in range(TABLES)], dtype=np.uint64)
 
@@ -247,6 +251,14 @@ def similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(union, both, assume_unique=True).mean())
 
 
+def jaccard(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two shingle sets; 1 for two empty ones."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    total = len(x) + len(y) - both
+    return both / total if total else 1.0
+
+
 def near_links(rows: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     """Pairs ``a, b`` of texts with fingerprints within RADIUS bits, from ``tab, id, fp`` rows.
 
@@ -398,12 +410,11 @@ def near_copies(
 
     Texts are compared by their words in lower case without punctuation. Equal texts are copies.
     Different ones are linked if their shingles of ``size`` words have a Jaccard similarity of
-    ``least`` or more, exact up to SKETCH shingles and estimated from SKETCH hashes beyond. Any two
-    of that similarity share a shingle among the rarest of each (:func:`prefix`), by which they
+    ``least`` or more (:func:`alike`). Any two of that similarity share a shingle among the rarest of each (:func:`prefix`), by which they
     meet; of a crowded shingle texts meet a few hubs first, then all that are not in their group by
     then. Groups are connected by links and named by their smallest key. Null texts count as empty,
     and empty texts are copies of each other. Rows without a key are left out; rows with one key
-    are one document, of which the text that is first in order counts.
+    are one document, of which the text with the smallest digest counts.
     """
     common.prepare_workers(df.sparkSession)
     kind = df.schema[key]
@@ -450,32 +461,62 @@ def near_copies(
 
 
 def alike(pairs: DataFrame, source: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs ``a, b`` of keys of ``source`` (key, text) with a similarity of ``least`` or more."""
+    """The pairs ``a, b`` of keys of ``source`` (key, text) with a similarity of ``least`` or more.
+
+    Sketches settle the pairs whose estimate is DOUBT or more away from ``least``, and texts that
+    fit a sketch; the others are compared by all their shingles.
+    """
+    ends = [StructField(n, source.schema[0].dataType) for n in ("a", "b")]
+    both = _drawn(pairs, source, lambda words: sketch(words, size))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            found = np.array([similarity(p, q) for p, q in zip(x, y, strict=True)])
+            whole = np.array([max(len(p), len(q)) < 4 * SKETCH for p, q in zip(x, y, strict=True)])
+            sure = whole | (np.abs(found - least) >= DOUBT)
+            out = batch.select(["a", "b"]).append_column("sure", pa.array(sure, pa.bool_()))
+            yield out.filter(pa.array((found >= least) | ~sure, pa.bool_()))
+
+    judged = both.mapInArrow(judge, StructType([*ends]).add("sure", BooleanType()))
+    judged = common.written(judged, "judged")
+    doubtful = judged.where("not sure").select("a", "b")
+    both = _drawn(doubtful, source, lambda words: shingle_set(words, size).tobytes())
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = [jaccard(p, q) >= least for p, q in zip(x, y, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return judged.where("sure").select("a", "b").union(both.mapInArrow(exact, StructType(ends)))
+
+
+def _drawn(pairs: DataFrame, source: DataFrame, draw: Callable[[list[str]], bytes]) -> DataFrame:
+    """``a, b, x, y``: the pairs with what ``draw`` makes of the words of either text.
+
+    Of rows with one key the text with the smallest digest counts, whatever is drawn.
+    """
     key, kind = source.columns[0], source.schema[0]
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
     wanted = source.join(wanted.distinct(), key, "left_semi")
 
-    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(_word((t or "").lower()), size) for t in batch.column(1).to_pylist()]
+            words = [_word((t or "").lower()) for t in batch.column(1).to_pylist()]
+            digests = [hashlib.md5(" ".join(w).encode()).digest() for w in words]
+            made = [pa.array(digests, pa.binary()), pa.array([draw(w) for w in words], pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary())], names=[key, "sketch"]
+                [batch.column(0), *made], names=[key, "digest", "drawn"]
             )
 
-    drawn = wanted.mapInArrow(sketches, StructType([kind]).add("sketch", BinaryType()))
-    drawn = common.written(drawn.groupBy(key).agg(F.min("sketch").alias("sketch")), "sketches")
-    left = drawn.select(F.col(key).alias("a"), F.col("sketch").alias("x"))
-    right = drawn.select(F.col(key).alias("b"), F.col("sketch").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [similarity(p, q) >= least for p, q in zip(x, y, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    ends = StructType([StructField(n, kind.dataType) for n in ("a", "b")])
-    return both.mapInArrow(judge, ends)
+    schema = StructType([kind]).add("digest", BinaryType()).add("drawn", BinaryType())
+    drawn = wanted.mapInArrow(run, schema).groupBy(key)
+    drawn = drawn.agg(F.min(F.struct("digest", "drawn")).getField("drawn").alias("drawn"))
+    drawn = common.written(drawn, "drawn")
+    left = drawn.select(F.col(key).alias("a"), F.col("drawn").alias("x"))
+    right = drawn.select(F.col(key).alias("b"), F.col("drawn").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
 
 def without_near_copies(df: DataFrame, key: str, text: str) -> DataFrame:
