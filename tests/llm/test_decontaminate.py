@@ -51,6 +51,29 @@ def test_against_brute_force():
             assert got[k] == pytest.approx(want[k])
 
 
+def test_every_window_of_the_least_similarity():
+    """Items with words changed, some sharing most of their words, against all windows."""
+    draw = random.Random(12)
+    frame = words(draw, 24)
+    items = {i: words(draw, draw.randint(15, 59)) for i in range(60)}
+    items |= {60 + i: frame[:12] + words(draw, draw.randint(1, 6)) + frame[12:] for i in range(20)}
+    found = decontaminate.Items([(i, " ".join(w)) for i, w in items.items()])
+    near = missed = 0
+    for k in sorted(items) * 2:
+        passage = items[k][:]
+        for _ in range(draw.choice([1, 1, 2, 3])):
+            passage[draw.randrange(len(passage))] = "edited"
+        document = words(draw, 30) + passage + words(draw, 30)
+        (got,) = found.matches([" ".join(document)])
+        got = {found.ids[k]: m[0] for k, m in got.items()}
+        want = {k: s for k, s in brute(items, document).items() if s >= 0.8}
+        near += len(want)
+        missed += len(set(want) - set(got))
+        assert set(got) <= set(want)
+        assert all(got[k] == pytest.approx(want[k]) for k in got)
+    assert near > 80 and not missed, f"{missed} of {near}"
+
+
 def test_blocks_miss_nothing_within_the_radius():
     draw = random.Random(8)
     items = decontaminate.Items([(i, " ".join(words(draw, 20))) for i in range(50)])
