@@ -31,6 +31,8 @@ KEYS = {
     "op7": ("documents", "doc_id"),
     "op8": ("pages", "page_id"),
     "op9": ("pages", "page_id"),
+    "op12": ("documents", "doc_id"),
+    "op13": ("documents", "doc_id"),
 }
 
 
