@@ -25,3 +25,9 @@ def put_marker(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all below it, if it is there."""
+    place, fs = _path(spark, path)
+    fs.delete(place, True)
