@@ -91,128 +91,3 @@ def test_fingerprints_of_documents(spark):
     assert {i: (r["fp"], r["component_id"]) for i, r in got.items()} == {
         i: (prints[i], want[i]) for i in prints
     }
-
-
-@pytest.mark.parametrize("few", [1, 16])
-def test_near_links_of_groups(spark, monkeypatch, few):
-    """Pairs are within the radius, and a group gives no more of them than its rows times hubs."""
-    monkeypatch.setattr(simhash, "FEW", few)
-    draw = random.Random(few)
-    base, rows = draw.getrandbits(64), []
-    for i in range(300):
-        for tab in range(3):
-            f = base ^ (1 << draw.randrange(64))
-            rows.append((tab, i, f - (1 << 64) if f >> 63 else f))
-    df = spark.createDataFrame(rows, "tab int, id long, fp long")
-    pairs = [(r["a"], r["b"]) for r in simhash.near_links(df).collect()]
-    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
-    prints = {(t, i): f for t, i, f in rows}
-    for a, b in pairs:
-        assert any(((prints[t, a] ^ prints[t, b]) & (1 << 64) - 1).bit_count() <= 2 for t in range(3))
-    assert len(pairs) <= 300 * 3 * simhash.SEGMENTS * simhash.HUBS
-    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
-    assert {got.get(i, i) for i in range(300)} == {0}
-
-
-def jaccard(a, b, size=5):
-    sets = []
-    for text in (a, b):
-        words = simhash._word(text.lower())
-        sets.append({tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_near_copies(spark):
-    draw = random.Random(4)
-    word = lambda: "".join(draw.choice("aeioudlnrst") for _ in range(draw.randint(2, 9)))
-    texts, at = {}, 0
-    for _ in range(40):
-        base = [word() for _ in range(draw.choice([8, 60, 300, 900]))]
-        for _ in range(draw.randint(1, 5)):
-            copy = base[:]
-            for _ in range(draw.choice([0, 0, len(base) // 100])):
-                copy[draw.randrange(len(copy))] = word()
-            texts[at] = " ".join(copy)
-            at += 1
-    rows = [(i, t) for i, t in texts.items()] + [(1000, None), (1001, ""), (None, texts[0])]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("a", F.lit(1))
-    want = brute_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
-    kept = simhash.without_near_copies(df, "doc_id", "text")
-    assert kept.columns == df.columns
-    got = {r["doc_id"] for r in kept.collect()}
-    assert got == {i for i, r in want.items() if i == r} | {1000, None}
-    assert simhash.without_near_copies(df.where("1 = 0"), "doc_id", "text").count() == 0
-
-
-def test_sketch_of_long_texts():
-    draw = random.Random(2)
-    a = [str(draw.randrange(10**6)) for _ in range(6_000)]
-    for changed in (0, 60, 300, 1500):
-        b = a[:]
-        for i in draw.sample(range(len(a)), changed):
-            b[i] = "x"
-        estimate = simhash.similarity(simhash.sketch(a, 5), simhash.sketch(b, 5))
-        assert estimate == pytest.approx(jaccard(" ".join(a), " ".join(b)), abs=0.08)
-    assert simhash.similarity(simhash.sketch([], 5), simhash.sketch([], 5)) == 1.0
-    assert np.all(simhash.word_fingerprints([]) == 0)
-
-
-@pytest.mark.parametrize("frequent", [0, 200_000])
-def test_near_copies_with_text_added_cut_and_replaced(spark, monkeypatch, frequent):
-    """Against all pairs, each kind of edit around the threshold."""
-    monkeypatch.setattr(simhash, "FREQUENT", frequent, raising=False)
-    draw = random.Random(6)
-    word = lambda: "".join(draw.choice("aeioudlnrst") for _ in range(draw.randint(2, 9)))
-    line = [word() for _ in range(12)]
-    texts, kinds = {}, {}
-    for kind in ("added", "before", "cut", "replaced"):
-        for share in (0.03, 0.08, 0.15, 0.22, 0.3):
-            for _ in range(6):
-                base = line + [word() for _ in range(draw.randint(60, 230))]
-                part = max(1, int(share * len(base)))
-                copy = base[:]
-                if kind == "added":
-                    copy += [word() for _ in range(part)]
-                elif kind == "before":
-                    copy = [word() for _ in range(part)] + copy
-                elif kind == "cut":
-                    copy = copy[part:]
-                else:
-                    for i in draw.sample(range(len(copy)), max(1, part // 5)):
-                        copy[i] = word()
-                at = len(texts)
-                texts[at], texts[at + 1], kinds[at + 1] = " ".join(base), " ".join(copy), kind
-    alike = {b: jaccard(texts[b - 1], texts[b]) >= 0.8 for b in kinds}
-    assert all(any(alike[b] for b in kinds if kinds[b] == k) for k in set(kinds.values()))
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
-    assert got == {b: b - 1 for b in kinds if alike[b]}
-
-
-def test_groups_that_drift_away_from_hubs(spark):
-    """Each text is a near copy of its neighbours alone, and all its shingles are crowded."""
-    draw = random.Random(7)
-    words = ["".join(draw.choice("aeioudlnrst") for _ in range(8)) for _ in range(700)]
-    texts = {i: " ".join(words[3 * i : 3 * i + 100]) for i in range(200)}
-    texts |= {1000 + i: f"{texts[i]} {texts[199 - i]}" for i in range(0, 60, 20)}
-    want = brute_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
-    assert {want[i] for i in range(200)} == {0}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
-    assert got == {i: r for i, r in want.items() if i != r}
-
-
-def test_long_texts_near_the_threshold(spark):
-    """Similarities of 0.77 to 0.83, where the estimate of a sketch errs."""
-    draw = random.Random(8)
-    texts, want = {}, {}
-    for i in range(60):
-        base = ["".join(draw.choice("aeioudlnrst") for _ in range(8)) for _ in range(900)]
-        copy = base[: 900 - draw.randint(155, 205)]
-        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join(copy)
-        if jaccard(texts[2 * i], texts[2 * i + 1]) >= 0.8:
-            want[2 * i + 1] = 2 * i
-    assert 20 < len(want) < 40
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, "doc_id", "text").collect()}
-    assert got == want

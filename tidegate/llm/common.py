@@ -5,12 +5,14 @@ from __future__ import annotations
 import shutil
 import tempfile
 import zlib
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.session import work_folder
+from tidegate.sources import hadoop
 
 #: Rows that go to a Python worker at once: long texts make larger batches than Spark expects.
 BATCH_ROWS = 512
@@ -39,14 +41,35 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+_scratch: list[list[str]] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and no lost executor takes it away."""
     spark = df.sparkSession
     path = work_folder(spark, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without_scratch(df: Callable[[], DataFrame], spark: SparkSession, label: str) -> DataFrame:
+    """What ``df`` makes, as a table; tables :func:`written` on the way are removed after that."""
+    _scratch.append([])
+    try:
+        made = df()
+        path = work_folder(spark, label)
+        made.write.parquet(path)
+        schema = made.schema
+    finally:
+        for old in _scratch.pop():
+            hadoop.remove(spark, old)
+    if _scratch:
+        _scratch[-1].append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def held_out(key: Column) -> Column:
     """Whether a row is kept from training: crc32 of its id as text is divisible by 5."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -57,9 +57,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Alphabet:
     """Which characters make words, and a number for each."""
 
-    def __init__(self):
+    def __init__(self, more: str = ""):
         self.inside = np.zeros(_POINTS, dtype=bool)
         self.inside[[i for i in range(_POINTS) if chr(i).isalnum()]] = True
+        self.inside[[ord(c) for c in more]] = True
         self.codes = _mixed(np.arange(1, _POINTS + 1, dtype=np.uint64))
         self.powers = self._powers(64)
 

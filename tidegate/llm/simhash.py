@@ -14,23 +14,13 @@ within two bits exactly if they share an entry, and an entry holds at most 65 fi
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BinaryType,
-    BooleanType,
-    IntegerType,
-    LongType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import LongType, StructType
 
 from tidegate.llm import common
 from tidegate.llm.components import components
@@ -187,345 +177,3 @@ def fingerprint_components(
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(key, "fp", "component_id")
-
-
-# -- near copies of documents ---------------------------------------------------------------
-
-#: Fingerprints of each document: near copies that miss each other in one meet in another.
-TABLES = 16
-#: Texts under one key that are compared in pairs; of more, each is compared with HUBS of them
-#: before :func:`missing_links` looks for what that leaves apart.
-FEW, HUBS = 16, 3
-#: Texts from which common shingles are told, and how many of those count as such; that sets the
-#: order of shingles and with it the work, not the result.
-SAMPLE, FREQUENT = 4_000, 200_000
-#: Keys of documents to drop that are broadcast (some 16 MB).
-MOST_BROADCAST = 1_000_000
-#: Shingle hashes of a document in its sketch; a document with fewer is tested exactly by it.
-SKETCH = 256
-#: How near to the threshold a similarity estimated from sketches decides nothing; its standard
-#: error there is 0.025.
-DOUBT = 0.12
-_word = re.compile(r"\w+").findall
-_ODD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for i in range(TABLES)], dtype=np.uint64)
-
-
-def word_fingerprints(words: list[str]) -> np.ndarray:
-    """TABLES fingerprints over the set of words, which an edit of a word changes little."""
-    import xxhash
-
-    if not words:
-        return np.zeros(TABLES, dtype=np.int64)
-    found = {xxhash.xxh64_intdigest(w.encode(), SEED) for w in set(words)}
-    base = np.fromiter(found, dtype=np.uint64, count=len(found))
-    total = np.zeros(TABLES * BITS, dtype=np.int64)
-    for at in range(0, len(base), 255):  # sums of 255 bits fit a byte
-        mixed = base[at : at + 255, None] * _ODD[None, :]
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        bits = np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
-        total += bits.sum(axis=0, dtype=np.uint8)
-    return np.packbits(total * 2 > len(base), bitorder="little").view("<i8")
-
-
-def sketch(words: list[str], size: int) -> bytes:
-    """The smallest 32-bit hashes of the shingles, ascending: all of them up to SKETCH."""
-    import xxhash
-
-    found = {
-        xxhash.xxh64_intdigest(s, SEED) >> 32
-        for s in shingles([w.encode() for w in words], size)
-    }
-    return np.array(sorted(found)[:SKETCH], dtype="<u4").tobytes()
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two shingle sets from their sketches; 1 for two empty ones."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    both = np.intersect1d(x, y, assume_unique=True)
-    if max(len(x), len(y)) < SKETCH:
-        total = len(x) + len(y) - len(both)
-        return len(both) / total if total else 1.0
-    union = np.union1d(x, y)[:SKETCH]
-    return float(np.isin(union, both, assume_unique=True).mean())
-
-
-def jaccard(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two shingle sets; 1 for two empty ones."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    total = len(x) + len(y) - both
-    return both / total if total else 1.0
-
-
-def near_links(rows: DataFrame, segments: int = SEGMENTS) -> DataFrame:
-    """Pairs ``a, b`` of texts with fingerprints within RADIUS bits, from ``tab, id, fp`` rows.
-
-    Texts meet as in :func:`candidate_links`. Where more than FEW share a key, each meets HUBS of
-    them that a hash picks for that key, so pairs grow with the rows however large a group is; a
-    text has a key for each segment of each table, and other hubs under each. One shuffle serves
-    the groups and the join with them.
-    """
-    heads, chains = ring_masks(segments)
-    place = [
-        F.struct(
-            F.lit(i).cast("tinyint").alias("i"),
-            F.xxhash64("tab", F.lit(i), F.col("fp").bitwiseAND(_long(head))).alias("place"),
-        )
-        for i, head in enumerate(heads)
-    ]
-    keyed = rows.select("id", "fp", F.explode(F.array(*place)).alias("at"))
-    dealt = keyed.select("id", "fp", "at.i", "at.place").repartition("place")
-    hub = [F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("h"), "id", "fp")) for h in range(HUBS)]
-    groups = dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.array(*hub).alias("hubs"))
-    groups = groups.where("n > 1").select("place", F.when(F.col("n") > FEW, F.col("hubs")).alias("hubs"))
-    members = common.written(dealt.join(groups, "place"), "met")
-
-    few = members.where("hubs is null").select("id", "fp", "i", "place")
-    differ = F.col("l.fp").bitwiseXOR(F.col("r.fp"))
-    on_ring = F.lit(False)
-    for i, chain in enumerate(chains):
-        fits = F.col("l.i") == i
-        for bits, budget in chain:
-            fits = fits & (F.bit_count(differ.bitwiseAND(_long(bits))) <= budget)
-        on_ring = on_ring | fits
-    met = (F.col("l.place") == F.col("r.place")) & (F.col("l.id") < F.col("r.id"))
-    pairs = few.alias("l").join(few.alias("r"), met & on_ring & (F.bit_count(differ) <= RADIUS))
-    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    near = F.expr(f"filter(hubs, h -> h.id != id and bit_count(h.fp ^ fp) <= {RADIUS}).id")
-    stars = members.where("hubs is not null").select("id", F.explode(near).alias("hub"))
-    ends = F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
-    return pairs.union(stars.select(*ends)).distinct()
-
-
-def shingle_set(words: list[str], size: int) -> np.ndarray:
-    """The different 64-bit hashes of the shingles, ascending."""
-    import xxhash
-
-    found = {xxhash.xxh64_intdigest(s, SEED) for s in shingles([w.encode() for w in words], size)}
-    return np.array(sorted(found), dtype="<u8")
-
-
-def frequent_shingles(source: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of SAMPLE texts hold, ascending, and in how many of them."""
-    key, text = source.columns
-    some = max(1, source.count() // SAMPLE)
-    drawn = source.where(F.pmod(F.xxhash64(key), F.lit(some)) == 0).select(text).limit(2 * SAMPLE)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                found = shingle_set(_word((t or "").lower()), size).view("<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(found)], names=["shingle"])
-
-    counted = drawn.mapInArrow(run, "shingle long").groupBy("shingle").count()
-    top = counted.where("count > 1").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
-    found = np.array([r["shingle"] for r in top], dtype="<i8").view("<u8")
-    counts, order = np.array([r["count"] for r in top], dtype=np.int64), np.argsort(found)
-    return found[order], counts[order]
-
-
-def prefix(hashed: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """The rarest shingles of an ascending set, of which any set of that similarity holds one.
-
-    A set of that similarity shares at least ``least`` of the shingles, so that it cannot miss
-    one more than the others. All sets must be cut by the same order: by the counts, then hashes.
-    """
-    known, counts = frequent
-    often = np.zeros(len(hashed), dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-        often = np.where(known[at] == hashed, counts[at], 0)
-    take = len(hashed) - int(np.ceil(least * len(hashed) - 1e-9)) + 1
-    return hashed[np.argsort(often, kind="stable")[:take]]
-
-
-def _within(one: str, other: str, least: float) -> Column:
-    """Whether two sets that share a shingle of their prefixes, none before it, can be alike:
-    ``n`` is the size of a set and ``at`` the shingle's place in its order."""
-    n, m, i, j = (F.col(f"{side}.{name}") for name in ("n", "at") for side in (one, other))
-    return F.least(n - i, m - j) >= (n + m) * (least / (1 + least)) - 1e-6
-
-
-def prefix_members(rows: DataFrame) -> DataFrame:
-    """``place, id, n, at, hubs`` of the rows ``id, n, at, place`` whose place others have too.
-
-    Beyond FEW rows a place has HUBS of them as ``hubs``, which a hash of their ids picks, so that
-    a large group of near copies has the same ones under most of its places.
-    """
-    dealt = rows.repartition("place")
-    hub = [F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("h"), "id", "n", "at")) for h in range(HUBS)]
-    groups = dealt.groupBy("place").agg(F.count(F.lit(1)).alias("c"), F.array(*hub).alias("hubs"))
-    groups = groups.where("c > 1").select("place", F.when(F.col("c") > FEW, F.col("hubs")).alias("hubs"))
-    return dealt.join(groups, "place")
-
-
-def prefix_links(members: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a, b`` from :func:`prefix_members`: all of a place, or each row with its hubs."""
-    few = members.where("hubs is null").groupBy("place")
-    few = few.agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("all"))
-    few = few.select("all").distinct()  # copies meet in the same company under many places
-    few = few.select("all", F.explode("all").alias("l")).select("l", F.explode("all").alias("r"))
-    fits = F.least("l.n", "r.n") >= F.greatest("l.n", "r.n") * least - 1e-6
-    pairs = few.where((F.col("l.id") < F.col("r.id")) & fits)
-    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    stars = members.where("hubs is not null")
-    stars = stars.select(F.struct("id", "n", "at").alias("l"), F.explode("hubs").alias("r"))
-    stars = stars.where((F.col("l.id") != F.col("r.id")) & _within("l", "r", least))
-    ends = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
-    return pairs.union(stars.select(*ends)).distinct()
-
-
-def missing_links(members: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """The pairs ``a, b`` of crowded places that hubs left in different groups.
-
-    ``roots`` are the groups found over hubs. Under each place that still holds several, the rows
-    outside the largest are compared with all rows of other groups; where hubs linked everything
-    there is nothing to do.
-    """
-    crowded = members.where("hubs is not null").select("place", "id", "n", "at")
-    grouped = crowded.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    grouped = grouped.withColumn("root", F.coalesce("root", "id"))
-    grouped = common.written(grouped, "crowded")
-    largest = grouped.groupBy("place", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("place")
-    largest = largest.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.max(F.struct("c", "root")).getField("root").alias("largest"),
-    )
-    split = grouped.join(largest.where("groups > 1").drop("groups"), "place")
-    left, right = split.where("root != largest").alias("l"), split.alias("r")
-    once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.id") < F.col("r.id"))
-    met = (F.col("l.place") == F.col("r.place")) & (F.col("l.root") != F.col("r.root"))
-    pairs = left.join(right, met & once & _within("l", "r", least))
-    return pairs.select(
-        F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
-    ).distinct()
-
-
-def near_copies(
-    df: DataFrame, key: str, text: str, size: int = 5, least: float = 0.8
-) -> DataFrame:
-    """``key, component_id`` of each key that has a smaller key among its near copies.
-
-    Texts are compared by their words in lower case without punctuation. Equal texts are copies.
-    Different ones are linked if their shingles of ``size`` words have a Jaccard similarity of
-    ``least`` or more (:func:`alike`). Any two of that similarity share a shingle among the rarest of each (:func:`prefix`), by which they
-    meet; of a crowded shingle texts meet a few hubs first, then all that are not in their group by
-    then. Groups are connected by links and named by their smallest key. Null texts count as empty,
-    and empty texts are copies of each other. Rows without a key are left out; rows with one key
-    are one document, of which the text with the smallest digest counts.
-    """
-    common.prepare_workers(df.sparkSession)
-    kind = df.schema[key]
-    source = df.where(F.col(key).isNotNull()).select(key, F.col(text).alias("__text"))
-    order = df.sparkSession.sparkContext.broadcast(frequent_shingles(source, size))
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = order.value
-        for batch in batches:
-            words = [_word((t or "").lower()) for t in batch.column(1).to_pylist()]
-            digests = [hashlib.md5(" ".join(w).encode()).digest() for w in words]
-            sets = [shingle_set(w, size) for w in words]
-            rarest = [prefix(s, frequent, least).view("<i8") if len(s) else [] for s in sets]
-            made = [
-                pa.array(digests),
-                pa.array([len(s) for s in sets], pa.int32()),
-                pa.array(rarest, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *made], names=[key, "digest", "n", "places"]
-            )
-
-    schema = StructType([kind]).add("digest", BinaryType()).add("n", IntegerType())
-    schema = schema.add("places", ArrayType(LongType()))
-    made = common.written(source.mapInArrow(prints, schema), "prefixes")
-    texts = made.groupBy("digest").agg(
-        F.min(key).alias("id"), F.first("n").alias("n"), F.first("places").alias("places")
-    )
-    texts = common.written(texts, "texts")
-    rows = texts.select("id", "n", F.posexplode("places").alias("at", "place"))
-    members = common.written(prefix_members(rows), "met")
-    pairs = common.written(prefix_links(members, least), "candidates")
-    links = common.written(alike(pairs, source, size, least), "links")
-    found = common.written(components(links), "groups")
-    more = common.written(missing_links(members, found, least), "missing")
-    if not more.isEmpty():
-        found = components(links.union(alike(more, source, size, least)))
-    roots = found.select(F.col("node").alias("id"), "root")
-    named = texts.select("digest", "id").join(roots, "id", "left")
-    named = named.select("digest", F.coalesce("root", "id").alias("component_id"))
-    grouped = made.select(key, "digest").join(named, "digest")
-    lowest = grouped.groupBy(key).agg(F.min("component_id").alias("component_id"))
-    return lowest.where(F.col(key) != F.col("component_id"))
-
-
-def alike(pairs: DataFrame, source: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs ``a, b`` of keys of ``source`` (key, text) with a similarity of ``least`` or more.
-
-    Sketches settle the pairs whose estimate is DOUBT or more away from ``least``, and texts that
-    fit a sketch; the others are compared by all their shingles.
-    """
-    ends = [StructField(n, source.schema[0].dataType) for n in ("a", "b")]
-    both = _drawn(pairs, source, lambda words: sketch(words, size))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            found = np.array([similarity(p, q) for p, q in zip(x, y, strict=True)])
-            whole = np.array([max(len(p), len(q)) < 4 * SKETCH for p, q in zip(x, y, strict=True)])
-            sure = whole | (np.abs(found - least) >= DOUBT)
-            out = batch.select(["a", "b"]).append_column("sure", pa.array(sure, pa.bool_()))
-            yield out.filter(pa.array((found >= least) | ~sure, pa.bool_()))
-
-    judged = both.mapInArrow(judge, StructType([*ends]).add("sure", BooleanType()))
-    judged = common.written(judged, "judged")
-    doubtful = judged.where("not sure").select("a", "b")
-    both = _drawn(doubtful, source, lambda words: shingle_set(words, size).tobytes())
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [jaccard(p, q) >= least for p, q in zip(x, y, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return judged.where("sure").select("a", "b").union(both.mapInArrow(exact, StructType(ends)))
-
-
-def _drawn(pairs: DataFrame, source: DataFrame, draw: Callable[[list[str]], bytes]) -> DataFrame:
-    """``a, b, x, y``: the pairs with what ``draw`` makes of the words of either text.
-
-    Of rows with one key the text with the smallest digest counts, whatever is drawn.
-    """
-    key, kind = source.columns[0], source.schema[0]
-    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
-    wanted = source.join(wanted.distinct(), key, "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [_word((t or "").lower()) for t in batch.column(1).to_pylist()]
-            digests = [hashlib.md5(" ".join(w).encode()).digest() for w in words]
-            made = [pa.array(digests, pa.binary()), pa.array([draw(w) for w in words], pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *made], names=[key, "digest", "drawn"]
-            )
-
-    schema = StructType([kind]).add("digest", BinaryType()).add("drawn", BinaryType())
-    drawn = wanted.mapInArrow(run, schema).groupBy(key)
-    drawn = drawn.agg(F.min(F.struct("digest", "drawn")).getField("drawn").alias("drawn"))
-    drawn = common.written(drawn, "drawn")
-    left = drawn.select(F.col(key).alias("a"), F.col("drawn").alias("x"))
-    right = drawn.select(F.col(key).alias("b"), F.col("drawn").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-
-def without_near_copies(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``df`` without the documents that :func:`near_copies` names a smaller one for.
-
-    Up to MOST_BROADCAST keys, counted first, are broadcast, so that no text is shuffled; beyond
-    that the texts are joined with them by key.
-    """
-    copies = common.written(near_copies(df, key, text).select(key), "copies")
-    if copies.count() <= MOST_BROADCAST:
-        copies = F.broadcast(copies)
-    return df.join(copies, key, "left_anti").select(df.columns)
