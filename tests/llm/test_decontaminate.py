@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tidegate.llm import decontaminate
@@ -11,84 +12,102 @@ def words(draw, count):
 
 
 def brute(items, document):
-    """Weighted Jaccard similarity of each item with its best window that shares a run."""
+    """Weighted Jaccard similarity of each item with its best window."""
     shingle = lambda w, n: [tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))]
     import math
 
     among = Counter(s for w in items.values() for s in set(shingle(w, 2)))
     weight = lambda s: 1 + math.log(len(items) / among[s]) if s in among else 1 + math.log(len(items))
-    out = {}
+    out, held = {}, set(shingle(document, 1) + shingle(document, 2))
     for k, item in items.items():
-        runs = set(shingle(item, min(5, len(item))))
+        if not held & set(shingle(item, 2)):
+            continue  # no window shares a shingle with it
         for at in range(max(1, len(document) - len(item) + 1)):
             window = document[at : at + len(item)]
-            if not runs & set(shingle(window, min(5, len(item)))):
-                continue
             a, b = Counter(shingle(item, 2)), Counter(shingle(window, 2))
             both = sum(min(a[s], b[s]) * weight(s) for s in a | b)
             out[k] = max(out.get(k, 0), both / sum(max(a[s], b[s]) * weight(s) for s in a | b))
     return out
 
 
-def test_against_brute_force():
-    draw = random.Random(3)
-    items = {i: words(draw, draw.randint(1, 40)) for i in range(30)}
-    found = decontaminate.Items([(i, " ".join(w)) for i, w in items.items()])
-    for _ in range(60):
-        document = words(draw, draw.randint(0, 120))
-        for k in draw.sample(sorted(items), 2):
-            passage = items[k][:]
-            for _ in range(draw.choice([0, 0, 0, 1])):
-                passage[draw.randrange(len(passage))] = "edited"
-            at = draw.randint(0, len(document))
-            document[at:at] = passage
-        (got,) = found.matches([" ".join(document).title()])
-        want = {k: s for k, s in brute(items, document).items() if s >= 0.8}
-        got = {found.ids[k]: m[0] for k, m in got.items()}
-        exact = {k for k, s in want.items() if s > 0.999}
-        assert exact <= set(got) <= set(want)  # edited ones may lie beyond the radius
-        for k in got:
-            assert got[k] == pytest.approx(want[k])
+def near_by_fingerprint(found, items, document, k):
+    """Whether any window of the item's size within the radius has the least similarity."""
+    words = found.alphabet.word_hashes([" ".join(document)])[0]
+    at, size = found.ids.index(k), len(items[k])
+    shingles = decontaminate.shingle_hashes(words, min(2, size))
+    wide = max(1, min(size - min(2, size) + 1, len(shingles)))
+    prints = found._windows(shingles, wide)
+    near = decontaminate.within_radius(prints ^ found.fingerprints[at][None, :])
+    return any(
+        found.similarity(shingles[i : i + wide], found.shingles[at]) >= 0.8 for i in np.flatnonzero(near)
+    )
 
 
-def test_every_window_of_the_least_similarity():
-    """Items with words changed, some sharing most of their words, against all windows."""
-    draw = random.Random(12)
+def cases(seed, edits):
+    draw = random.Random(seed)
     frame = words(draw, 24)
-    items = {i: words(draw, draw.randint(15, 59)) for i in range(60)}
+    items = {i: words(draw, draw.randint(1, 59)) for i in range(60)}
     items |= {60 + i: frame[:12] + words(draw, draw.randint(1, 6)) + frame[12:] for i in range(20)}
     found = decontaminate.Items([(i, " ".join(w)) for i, w in items.items()])
-    near = missed = 0
-    for k in sorted(items) * 2:
+    for k in sorted(items):
         passage = items[k][:]
-        for _ in range(draw.choice([1, 1, 2, 3])):
+        for _ in range(draw.choice(edits)):
             passage[draw.randrange(len(passage))] = "edited"
-        document = words(draw, 30) + passage + words(draw, 30)
-        (got,) = found.matches([" ".join(document)])
+        at = draw.randint(0, 30)
+        yield found, items, words(draw, at) + passage + words(draw, 40 - at)
+
+
+def test_against_brute_force():
+    """All windows within the radius and of the least similarity are found, and nothing else."""
+    exact = 0
+    for found, items, document in cases(3, [0, 0, 1]):
+        (got,) = found.matches([" ".join(document).title()])
         got = {found.ids[k]: m[0] for k, m in got.items()}
         want = {k: s for k, s in brute(items, document).items() if s >= 0.8}
-        near += len(want)
-        missed += len(set(want) - set(got))
-        assert set(got) <= set(want)
-        assert all(got[k] == pytest.approx(want[k]) for k in got)
-    assert near > 80 and not missed, f"{missed} of {near}"
+        assert set(got) == {k for k in want if near_by_fingerprint(found, items, document, k)}
+        assert {k for k, s in want.items() if s > 0.999} <= set(got)
+        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got if want[k] > 0.999)
+        exact += sum(s > 0.999 for s in want.values())
+    assert exact > 40
 
 
-def test_blocks_miss_nothing_within_the_radius():
+def test_recall_of_edited_windows():
+    """Of all windows of 0.8 or more, wherever they are, hardly one is beyond the radius."""
+    near = missed = 0
+    for seed in range(25):
+        for found, items, document in cases(100 + seed, [1, 1, 2, 3, 4]):
+            (got,) = found.matches([" ".join(document)])
+            got = {found.ids[k] for k in got}
+            similar = brute(items, document).items()
+            want = {k for k, s in similar if s >= 0.8 + 1e-9}
+            assert got <= {k for k, s in similar if s >= 0.8 - 1e-9}
+            near += len(want)
+            missed += len(want - got)
+    assert near > 700 and missed <= 0.005 * near, f"{missed} of {near}"
+
+
+def test_anchors_are_in_every_similar_window():
+    """Any shingles of a similar window include an anchor, whatever is edited."""
     draw = random.Random(8)
-    items = decontaminate.Items([(i, " ".join(words(draw, 20))) for i in range(50)])
-    group = items.sizes[20]
-    for at, value in enumerate(group.fingerprints.tolist()):
-        for _ in range(20):
-            near = value
-            for bit in draw.sample(range(64), decontaminate.RADIUS):
-                near ^= 1 << bit
-            met = {
-                m
-                for block, cut in zip(group.blocks, items.cuts, strict=True)
-                for m in block.get(items._block(near, cut), ())
-            }
-            assert at in met
+    for found, items, _ in cases(4, [0]):
+        for at, shingles in enumerate(found.shingles):
+            anchors = set(found._anchors(shingles).tolist())
+            left = shingles[[h not in anchors for h in shingles.tolist()]]
+            other = np.array([draw.getrandbits(63) for _ in range(len(shingles) - len(left))], dtype=np.uint64)
+            assert found.similarity(np.concatenate((left, other)), shingles) < 0.8
+        break
+
+
+def test_equal_blocks():
+    draw = np.random.default_rng(2)
+    for count in (0, 1, 40, 76, 77, 128, 200):
+        bits = np.zeros((50, 256), dtype=np.uint8)
+        for row in bits:
+            row[draw.choice(256, count, replace=False)] = 1
+        differ = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        equal = (bits.reshape(50, 128, 2).sum(axis=2) == 0).sum(axis=1)
+        assert (decontaminate.equal_blocks(differ) == equal).all()
+        assert (decontaminate.within_radius(differ) == (count <= decontaminate.RADIUS)).all()
 
 
 def test_rows(spark, awkward, nothing):
@@ -116,13 +135,23 @@ def test_rows(spark, awkward, nothing):
 
 
 def test_many_sets_of_items(spark, awkward, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", 20)
-    benchmark = spark.createDataFrame(
-        [(1, "two three four five six seven"), (2, "beta gamma delta epsilon zeta eta theta iota")],
-        "item_id long, text string",
+    """However the items are dealt into sets, similarities are the same."""
+    draw = random.Random(5)
+    frame = words(draw, 10)
+    items = [frame + words(draw, 40) for _ in range(30)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(items)]
+    rows += [(100, "two three four five six seven"), (101, "beta gamma delta epsilon zeta eta theta iota")]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    texts = [(i, " ".join(words(draw, 5) + w[:11] + ["edited"] + w[12:])) for i, w in enumerate(items)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").union(awkward.select("doc_id", "text"))
+    find = lambda: sorted(
+        (str(r["doc_id"]), r["item_id"], round(r["similarity"], 9))
+        for r in decontaminate.find_leaks(docs, "doc_id", "text", benchmark, "item_id", "text").collect()
     )
-    found = decontaminate.find_leaks(awkward, "doc_id", "text", benchmark, "item_id", "text")
-    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (2, 1), (5, 2)}
+    want = find()
+    assert len(want) > 20
+    monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", 600)
+    assert find() == want
     kept = decontaminate.without_leaks(awkward, "text", benchmark, "item_id", "text")
     assert kept.count() == 6
 

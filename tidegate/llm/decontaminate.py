@@ -2,24 +2,25 @@
 
 A document's windows of as many words as an item has are fingerprinted over their shingles,
 weighted by the root of how rare a shingle is among the items, so that bits differ as the similarity
-below does (the weights themselves would let a single rare shingle decide them). Fingerprints meet those of the items of that
-size over blocks: within RADIUS differing bits at least one of RADIUS + 1 blocks is equal, so no
-window within the radius is missed. Each that meets is then compared exactly, by the weighted
-Jaccard similarity of the shingles with repeats.
-
-Windows are taken where they can match: a window has to share a run of RUN words with an item (all
-words of a shorter one), which is looked up for every place of every document. Without weights
-the similarity of 0.8 implies such a run.
-
-The items are broadcast up to BROADCAST_CHARS of text; more of them are dealt into several sets,
-and documents pass each.
+below does (the weights themselves would let a single rare shingle decide them). A fingerprint has
+BITS bits in BLOCKS blocks. Within RADIUS differing bits at most RADIUS blocks differ, so all others
+agree; windows and items with fewer equal blocks are passed over, and no pair within the radius is
+missed. The pairs left are compared exactly, by the weighted Jaccard similarity of the shingles
+with repeats.
+
+Windows are taken where they can match. A window of the similarity LEAST misses less than 1 - LEAST
+of an item's weight, so it holds one of any shingles that together weigh more than that: the item's
+anchors, its rarest shingles. They are looked up for every place of every document, and a window
+meets the items whose anchors it holds.
+
+How rare shingles are is counted by Spark over all items. Items are broadcast in sets of up to
+BROADCAST_CHARS of text, and documents pass each set; with each go the counts of the shingles that
+several items hold, so that the sets do not show in the results.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,12 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidegate.llm import common
 
-RUN = 5
 SHINGLE = 2
 LEAST = 0.8
-#: At the similarity of 0.8 fingerprints differ in 10 bits on average, with a deviation of 3.
-RADIUS = 20
-BITS = 64
+BITS, BLOCKS = 256, 128
+#: At the similarity of 0.8 fingerprints differ in 39 bits on average, with a deviation of 6 to 8;
+#: those of unrelated windows in 128, with a deviation of 8 or more.
+RADIUS = 76
 #: Windows fingerprinted at once.
 CHUNK = 4096
 #: Characters of texts that are hashed at once, if it is not one text alone.
@@ -101,71 +102,93 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return _mixed(total)
 
 
-@dataclass
-class Size:
-    """The items of one number of words."""
+_STREAMS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+_FIRST_OF_BLOCKS = np.uint64(0x5555555555555555)
+
+
+def equal_blocks(differ: np.ndarray) -> np.ndarray:
+    """Blocks of two bits that agree, from the differing bits of fingerprints (four words a row)."""
+    either = (differ | (differ >> np.uint64(1))) & _FIRST_OF_BLOCKS
+    return BLOCKS - np.bitwise_count(either).sum(axis=-1, dtype=np.int64)
+
+
+def within_radius(differ: np.ndarray) -> np.ndarray:
+    """Whether fingerprints are within RADIUS: by their equal blocks first, then by all bits."""
+    near = equal_blocks(differ) >= BLOCKS - RADIUS
+    near[near] = np.bitwise_count(differ[near]).sum(axis=-1, dtype=np.int64) <= RADIUS
+    return near
 
-    items: list[int] = field(default_factory=list)
-    fingerprints: np.ndarray | None = None
-    blocks: list[dict[int, list[int]]] = field(default_factory=list)
+
+def item_shingles(alphabet: Alphabet, text: str) -> tuple[int, np.ndarray]:
+    """How many words an item has, and its shingles."""
+    words = alphabet.word_hashes([text])[0]
+    return len(words), shingle_hashes(words, SHINGLE)
 
 
 class Items:
-    """What documents are compared with: made from ``(item id, text)`` alone."""
+    """What documents are compared with, made from ``(item id, text)``.
+
+    ``total`` items of all sets have words; ``known`` (ascending) are the shingles that several
+    items hold, in ``counts`` items each. Without these the given items are all there are.
+    """
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(
+        self,
+        items: list[tuple[int, str | None]],
+        total: int | None = None,
+        known: np.ndarray | None = None,
+        counts: np.ndarray | None = None,
+    ):
         self.alphabet = Alphabet()
-        words = [(i, self.alphabet.word_hashes([t or ""])[0]) for i, t in items]
-        words = [(i, w) for i, w in words if len(w)]  # an item without words matches nothing
-        self.ids = [i for i, _ in words]
-        self.shingles = [shingle_hashes(w, SHINGLE) for _, w in words]
-        among: dict[int, int] = defaultdict(int)
-        for s in self.shingles:
-            for h in set(s.tolist()):
-                among[h] += 1
-        self.rarest = 1.0 + np.log(max(1, len(words)))
-        self.known = np.array(sorted(among), dtype=np.uint64)
-        self.weights = np.array(
-            [1.0 + np.log(len(words) / among[h]) for h in sorted(among)], dtype=np.float64
-        )
-        runs: dict[int, set[int]] = defaultdict(set)  # sizes of the items that hold a run
-        self.sizes: dict[int, Size] = defaultdict(Size)
-        for k, (_, w) in enumerate(words):
-            self.sizes[len(w)].items.append(k)
-            for h in shingle_hashes(w, RUN).tolist():
-                runs[h].add(len(w))
-        self.runs = {h: sorted(s) for h, s in runs.items()}
-        self.run_lengths = sorted({min(RUN, len(w)) for _, w in words})
+        found = [(i, *item_shingles(self.alphabet, t or "")) for i, t in items]
+        found = [f for f in found if f[1]]  # an item without words matches nothing
+        self.ids = [i for i, _, _ in found]
+        self.sizes = np.array([n for _, n, _ in found], dtype=np.int64)
+        self.shingles = [s for _, _, s in found]
+        if known is None:
+            total = len(found)
+            each = [np.unique(s) for s in self.shingles]
+            known, counts = np.unique(np.concatenate([*each, np.zeros(0, np.uint64)]), return_counts=True)
+        self.rarest = 1.0 + np.log(max(1, total))
+        self.known = known.astype(np.uint64)
+        self.weights = 1.0 + np.log(np.maximum(1, total) / np.maximum(1, counts))
+        anchors = [self._anchors(s) for s in self.shingles]
+        flat = np.concatenate([*anchors, np.zeros(0, np.uint64)])
+        owner = np.repeat(np.arange(len(anchors)), [len(a) for a in anchors])
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.anchor, first = np.unique(flat[order], return_index=True)
+        self.begin = np.concatenate((first, [len(flat)])).astype(np.int64)
         self.maybe = np.zeros(_MASK + 1, dtype=bool)
-        if runs:
-            self.maybe[np.array(list(runs), dtype=np.uint64) & np.uint64(_MASK)] = True
-        edges = [round(i * BITS / (RADIUS + 1)) for i in range(RADIUS + 2)]
-        self.cuts = list(zip(edges[:-1], edges[1:], strict=True))
-        for size in self.sizes.values():
-            prints = [self._windows(self.shingles[k], len(self.shingles[k]))[0] for k in size.items]
-            size.fingerprints = np.array(prints, dtype=np.uint64)
-            size.blocks = [defaultdict(list) for _ in self.cuts]
-            for at, value in enumerate(size.fingerprints.tolist()):
-                for block, cut in zip(size.blocks, self.cuts, strict=True):
-                    block[self._block(value, cut)].append(at)
-
-    @staticmethod
-    def _block(value: int, cut: tuple[int, int]) -> int:
-        return value >> cut[0] & ((1 << cut[1] - cut[0]) - 1)
+        self.maybe[self.anchor & np.uint64(_MASK)] = True
+        prints = [self._windows(s, len(s))[0] for s in self.shingles]
+        self.fingerprints = np.array(prints, dtype=np.uint64).reshape(-1, BITS // 64)
 
     def weight(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(hashes), self.rarest)
         at = np.searchsorted(self.known, hashes)
         at[at == len(self.known)] = 0
         return np.where(self.known[at] == hashes, self.weights[at], self.rarest)
 
+    def _anchors(self, shingles: np.ndarray) -> np.ndarray:
+        """The rarest shingles that together weigh more than a similar window may miss."""
+        own, repeats = np.unique(shingles, return_counts=True)
+        weights = self.weight(own)
+        order = np.argsort(-weights, kind="stable")
+        summed = np.cumsum((weights * repeats)[order])
+        enough = int(np.searchsorted(summed, summed[-1] * (1 - LEAST) * (1 + 1e-9), side="right")) + 1
+        return own[order[:enough]]
+
     def _windows(self, hashes: np.ndarray, size: int) -> np.ndarray:
         """Fingerprints of each run of ``size`` shingles: bits that hold over half the weight."""
         weights = np.sqrt(self.weight(hashes))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        wide = _mixed(hashes[:, None] * _STREAMS[None, :])
+        bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
         signed = (bits.astype(np.float64) * 2 - 1) * weights[:, None]
         total = np.concatenate((np.zeros((1, BITS)), np.cumsum(signed, axis=0)))
         above = (total[size:] - total[:-size]) > 1e-9
-        return np.packbits(above, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        return np.packbits(above, axis=1, bitorder="little").view(np.uint64)
 
     def similarity(self, window: np.ndarray, item: np.ndarray) -> float:
         """Weighted Jaccard similarity of two lists of shingles, repeats counted."""
@@ -185,59 +208,65 @@ class Items:
                 chars += len(texts[end] or "")
                 end += 1
             words, bounds = self.alphabet.word_hashes([t or "" for t in texts[at:end]])
-            for text, places in self._anchors(words, bounds).items():
+            for text, places, items in self._met(words, bounds):
                 own = words[bounds[text] : bounds[text + 1]]
-                for size, starts in places.items():
-                    shingles = shingle_hashes(own, min(SHINGLE, size))
-                    self._compare(shingles, size, sorted(starts), out[at + text])
+                self._compare(own, places, items, out[at + text])
             at = end
         return out
 
-    def _anchors(self, words, bounds) -> dict[int, dict[int, set[int]]]:
-        """For texts that share a run with items: sizes of the items, and first words of windows."""
-        found: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for length in self.run_lengths:
-            runs = shingle_hashes(words, length) if length <= len(words) else words[:0]
-            for at in np.flatnonzero(self.maybe[runs & np.uint64(_MASK)]).tolist():
-                sizes = self.runs.get(int(runs[at]))
-                if not sizes:
-                    continue
-                text = int(np.searchsorted(bounds, at, side="right")) - 1
-                if at + length > bounds[text + 1]:
-                    continue  # it goes on into the next text
-                place, count = at - int(bounds[text]), int(bounds[text + 1] - bounds[text])
-                for size in sizes:
-                    last = max(0, count - size)
-                    low = max(0, place + length - size)
-                    found[text][size].update(range(low, min(place, last) + 1))
-        return found
-
-    def _compare(self, shingles, size: int, places: list[int], found) -> None:
-        group = self.sizes[size]
-        wide = max(1, min(size - min(SHINGLE, size) + 1, len(shingles)))
-        at = 0
-        while at < len(places):
-            end = at + 1
-            while end < len(places) and places[end] == places[end - 1] + 1 and end - at < CHUNK:
-                end += 1
-            first, count = places[at], end - at
-            part = shingles[first : first + count + wide - 1]
-            if len(part) >= wide:
-                for k, value in enumerate(self._windows(part, wide).tolist()):
-                    self._meet(group, value, part[k : k + wide], first + k, size, found)
-            at = end
-
-    def _meet(self, group: Size, value: int, window, start: int, size: int, found) -> None:
-        near = {
-            m
-            for block, cut in zip(group.blocks, self.cuts, strict=True)
-            for m in block.get(self._block(value, cut), ())
-        }
-        for m in near:
-            if (value ^ int(group.fingerprints[m])).bit_count() > RADIUS:
-                continue
-            k = group.items[m]
-            alike = self.similarity(window, self.shingles[k])
+    def _met(self, words, bounds) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Texts with the places of anchors, and the items that these belong to."""
+        pairs = []
+        for length in (1, SHINGLE):  # items of one word have shingles of one word
+            hashes = shingle_hashes(words, length) if length <= len(words) else words[:0]
+            at = np.flatnonzero(self.maybe[hashes & np.uint64(_MASK)])
+            place = np.searchsorted(self.anchor, hashes[at])
+            place[place == len(self.anchor)] = 0
+            hit = self.anchor[place] == hashes[at]
+            at, place = at[hit], place[hit]
+            text = np.searchsorted(bounds, at, side="right") - 1
+            whole = at + length <= bounds[text + 1]  # else it goes on into the next text
+            at, place = at[whole], place[whole]
+            counts = self.begin[place + 1] - self.begin[place]
+            within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            items = self.owner[np.repeat(self.begin[place], counts) + within]
+            fits = np.minimum(self.sizes[items], SHINGLE) == length
+            pairs.append((np.repeat(at, counts)[fits], items[fits]))
+        at, items = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        text = np.searchsorted(bounds, at, side="right") - 1
+        order = np.lexsort((at, text))
+        at, items, text = at[order], items[order], text[order]
+        for one in np.split(np.arange(len(at)), np.flatnonzero(np.diff(text)) + 1):
+            if len(one):
+                yield int(text[one[0]]), at[one] - int(bounds[text[one[0]]]), items[one]
+
+    def _compare(self, own, places, items, found) -> None:
+        """Of one text: windows that hold an anchor, with the items whose anchor it is."""
+        for size in np.unique(self.sizes[items]).tolist():
+            some = self.sizes[items] == size
+            length = min(SHINGLE, size)
+            last = max(0, len(own) - size)
+            low = np.maximum(0, places[some] + length - size)
+            high = np.minimum(places[some], last)
+            counts = np.maximum(0, high - low + 1)
+            within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            starts = np.repeat(low, counts) + within
+            pairs = np.unique(starts * len(self.ids) + np.repeat(items[some], counts))
+            starts, who = pairs // len(self.ids), pairs % len(self.ids)
+            shingles = shingle_hashes(own, length)
+            wide = max(1, min(size - length + 1, len(shingles)))
+            breaks = np.flatnonzero(np.diff(starts) > CHUNK) + 1
+            for one in np.split(np.arange(len(starts)), breaks):
+                for at in range(0, len(one), CHUNK):
+                    self._near(shingles, wide, size, starts[one[at : at + CHUNK]], who[one[at : at + CHUNK]], found)
+
+    def _near(self, shingles, wide: int, size: int, starts, who, found) -> None:
+        first, end = int(starts[0]), int(starts[-1]) + wide
+        prints = self._windows(shingles[first:end], wide)
+        differ = prints[starts - first] ^ self.fingerprints[who]
+        for i in np.flatnonzero(within_radius(differ)).tolist():
+            start, k = int(starts[i]), int(who[i])
+            alike = self.similarity(shingles[start : start + wide], self.shingles[k])
             if alike >= LEAST and (k not in found or (-alike, start) < (-found[k][0], found[k][1])):
                 found[k] = (alike, start, size)
 
@@ -246,26 +275,49 @@ _items: dict[int, Items] = {}
 
 
 def _built(shared) -> Items:
-    rows = shared.value
+    rows, total, known, counts = shared.value
     key = hash(tuple(rows))
     if key not in _items:
         _items.clear()
-        _items[key] = Items(rows)
+        _items[key] = Items(rows, total, known, counts)
     return _items[key]
 
 
+def repeated_shingles(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Of ``id, text`` how many have words, and the shingles that several hold, with how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = Alphabet()
+        for batch in batches:
+            for text in batch.column(1).to_pylist():
+                own = np.unique(item_shingles(alphabet, text or "")[1]).view(np.int64)
+                first = np.arange(len(own)) == 0
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(first)], ["shingle", "first"])
+
+    each = items.select("id", "text").mapInArrow(run, "shingle long, first boolean")
+    counted = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.count_if("first").alias("n"))
+    counted = common.written(counted, "shingles")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    rows = counted.where("c > 1").select("shingle", "c").toArrow()
+    known = rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return int(total), known[order], rows.column("c").to_numpy()[order]
+
+
 def _item_sets(benchmark: DataFrame, key: str, text: str) -> list:
-    """Broadcasts of the items, each of a bounded size."""
-    rows = benchmark.where(F.col(key).isNotNull()).select(
+    """Broadcasts of the items, each of a bounded size, with the counts over all of them."""
+    rows = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(text).alias("text")
     )
+    rows = rows.distinct()
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     sets = max(1, -(-chars // BROADCAST_CHARS))
+    counts = repeated_shingles(rows)
     shared = []
     for i in range(sets):
         part = rows.where(F.pmod(F.xxhash64("id"), F.lit(sets)) == i)
-        found = sorted((r["id"], r["text"] or "") for r in part.distinct().collect())
-        shared.append(benchmark.sparkSession.sparkContext.broadcast(found))
+        found = sorted((r["id"], r["text"]) for r in part.collect())
+        shared.append(benchmark.sparkSession.sparkContext.broadcast((found, *counts)))
     return shared
 
 
