@@ -155,3 +155,23 @@ def test_words_equal_whole(alphabet):
     texts = ["".join(draw.choice(alphabet + " \x01A") for _ in range(50)) for _ in range(80)]
     for text, ids in zip(texts, words.encode(texts), strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_repeated_keys_are_split_and_in_one_order(spark, tmp_path):
+    """A key of half of the rows lies in several files, in the same order however rows come."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    rows = [(7 if i % 2 else i, f"text number {i * 7919 % 1000} of them") for i in range(400)] + [(7, "twice")] * 3
+    seen = []
+    for turn, parts in enumerate((3, 11)):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        path = str(tmp_path / str(turn))
+        token_files.write_tokens(df, "doc_id", "text", WORDS, path, end_id=1)
+        hot = spark.read.parquet(path).where("doc_id = 7")
+        assert hot.select("part").distinct().count() > 2
+        read = token_files.read_tokens(spark, path)
+        seen.append(sorted((r["start"], r["doc_id"], tuple(r["tokens"])) for r in read.collect()))
+    spark.conf.set(name, "true")
+    assert seen[0] == seen[1] and [k for _, k, _ in seen[0]] == sorted(k for k, _ in rows)
+    with pytest.raises(ValueError, match="may not be called part"):
+        token_files.write_tokens(df.withColumnRenamed("doc_id", "part"), "part", "text", WORDS, path)

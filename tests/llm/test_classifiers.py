@@ -169,3 +169,26 @@ def test_held_out_accuracy(spark, name, label, least):
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(f"{label} is not null")
     right = found.join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col(label)).cast("int")))
     assert right.first()[0] > least
+
+
+def test_sample_has_one_text_a_key(spark):
+    """A repeated id brings one text to the driver, the smallest, wherever its rows are."""
+
+    rows = [(1, f"text {i:03d}") for i in range(300)] + [(3, "third"), (4, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (4, 1)], "doc_id long, toxic int")
+    labels = labels.where(~common.held_out(F.col("doc_id")))
+    assert labels.count() == 4
+    found = common.training_sample(documents, labels, "doc_id", "text", "toxic", 10, 1000)
+    assert found == [("text 000", 1), ("third", 0)]
+
+
+def test_text_without_white_space_is_read_whole():
+    long = "a" * 64 + "1" * 64 + "?" * 10
+    assert quality.tokens_of(f"x {long} y") == ["x", "a" * 64, "1" * 64, "?" * 10, "y"]
+    assert quality.tokens_of(" ab  " + "c" * 64) == ["ab", "c" * 64] and quality.tokens_of(" ") == []
+    texts = ["good words here " * 9, "BAD!!1 " * 20, "more good words " * 9, "X9#X9# " * 20, "plain words too " * 9]
+    model = quality.train([(t, int(t[0].islower())) for t in texts])
+    start = "words" * 13
+    pooled = [model.pooled(start + end * 900, {}) for end in ("words", "!?1#@")]
+    assert not np.allclose(*pooled)

@@ -109,3 +109,23 @@ def test_pages(spark):
             for b in re.split("</?(?:p|h1)>", body)
         ]
         assert got[row["page_id"]] == "\n".join(b for b in plain if b)
+
+
+def test_deep_pages_in_linear_time():
+    """A megabyte of elements that look for an enclosing one ends soon."""
+    import time
+
+    started = time.monotonic()
+    found = html_text.parse("<div>" * 100_000 + "<li>x" * 100_000)
+    assert len(found.tags) == 200_001 and time.monotonic() - started < 20
+    for item in ("<td>y", "<dd>z", "<option>v", "</b><p>w"):
+        html_text.parse("<ul>" * 20_000 + item * 20_000)
+    assert time.monotonic() - started < 60
+
+
+def test_items_end_at_their_own_list():
+    page = html_text.parse("<ul><li>a<ul><li>b<li>c</ul><li>d</ul><table><tr><td>1<td><table><tr><td>2</table><td>3")
+    parent = [page.tags[p] if p >= 0 else "" for p in page.parents]
+    shown = [f"{p}>{t}" for p, t in zip(parent, page.tags, strict=True)]
+    assert shown[1:] == ["html>ul", "ul>li", "li>ul", "ul>li", "ul>li", "ul>li", "html>table", "table>tr", "tr>td",
+                         "tr>td", "td>table", "table>tr", "tr>td", "tr>td"]

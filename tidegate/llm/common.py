@@ -85,8 +85,9 @@ def training_sample(
     """Texts and labels to learn from, in a fixed order; never of held-out rows.
 
     At most ``rows`` rows, those with the smallest hashes of their keys, and no text beyond
-    ``chars`` characters, so that the driver can hold them. Rows without a key, text or label are
-    left out. Only the key, the text and the label are read.
+    ``chars`` characters, so that the driver can hold them. Of a repeated key the smallest text
+    counts, whichever task holds it, so repeats never reach the driver. Rows without a key, text or
+    label are left out. Only the key, the text and the label are read.
     """
     usable = F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key))
     chosen = labels.where(usable).select(F.col(key).alias("__key"), F.col(label).alias("__label"))
@@ -95,7 +96,8 @@ def training_sample(
     texts = documents.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     texts = texts.where(F.length("__text") <= chars)
     found = texts.join(F.broadcast(chosen), "__key")  # at most ``rows`` rows
-    out = found.select("__key", "__text", F.col("__label").cast("int").alias("__label")).collect()
+    found = found.groupBy("__key", F.col("__label").cast("int").alias("__label"))
+    out = found.agg(F.min("__text").alias("__text")).select("__key", "__text", "__label").collect()
     return [(r["__text"], r["__label"]) for r in sorted(out)]
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -133,13 +134,13 @@ def parse(source: str) -> Page:
     """The tree of a page, for any text: what is no markup is text, what is not closed ends late."""
     page = Page()
     stack = [page.add("html", -1, "")]
-    opened: dict[str, int] = {"html": 1}
+    opened: dict[str, list[int]] = {"html": [0]}  # places in the stack, ascending
     linked = False
     at, end = 0, len(source)
 
     def pop_to(place: int) -> None:
         while len(stack) > place:
-            opened[page.tags[stack.pop()]] -= 1
+            opened[page.tags[stack.pop()]].pop()
 
     page.blocks.append((0, []))
 
@@ -174,35 +175,24 @@ def parse(source: str) -> Page:
                 write(" ")
             continue
         if closing:
-            if opened.get(tag):
-                place = len(stack) - 1
-                while page.tags[stack[place]] != tag:
-                    place -= 1
-                if place:
-                    pop_to(place)
+            if opened.get(tag) and (place := opened[tag][-1]):
+                pop_to(place)
             page.blocks.append((stack[-1], []))
             continue
         if tag == "html" or tag == "body" and opened.get("body"):
             continue
         if opened.get("p"):  # a block ends the paragraph that is open
-            place = len(stack) - 1
-            while page.tags[stack[place]] != "p":
-                place -= 1
-            pop_to(place)
-        ends, within = ENDS_AT.get(tag, (None, None))
-        if ends and any(opened.get(t) for t in ends):
-            place = len(stack) - 1
-            lowest = None
-            while place > 0 and page.tags[stack[place]] not in within:
-                if page.tags[stack[place]] in ends:
-                    lowest = place
-                place -= 1
-            if lowest is not None:
-                pop_to(lowest)
+            pop_to(opened["p"][-1])
+        ends, within = ENDS_AT.get(tag, ((), ()))
+        if any(opened.get(t) for t in ends):
+            barrier = max((opened[t][-1] for t in within if opened.get(t)), default=0)
+            inner = [opened[t] for t in ends if opened.get(t) and opened[t][-1] > barrier]
+            if inner:
+                pop_to(min(places[bisect_right(places, barrier)] for places in inner))
         node = page.add(tag, stack[-1], attributes)
         if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
-            opened[tag] = opened.get(tag, 0) + 1
+            opened.setdefault(tag, []).append(len(stack) - 1)
         page.blocks.append((stack[-1], []))
     return page
 

@@ -31,7 +31,16 @@ HIDDEN, EPOCHS, RATE, DECAY = 24, 150, 0.02, 1e-2
 #: Tokens remembered by a worker at most.
 MEMORY_TOKENS = 400_000
 SAME, EARLIER, OTHER = "<same>", "<earlier>", "<other>"
+#: Characters of a token; a longer one is taken in pieces of so many.
+TOKEN_CHARS = 64
 _letters = re.compile(r"(.)\1{2,}")
+_long_token = re.compile(rf"\S{{{TOKEN_CHARS + 1}}}")
+_pieces = re.compile(rf"\S{{1,{TOKEN_CHARS}}}").findall
+
+
+def tokens_of(text: str) -> list[str]:
+    """What stands between white space, in pieces where it is very long."""
+    return _pieces(text) if _long_token.search(text) else text.split()
 
 
 def shape(token: str) -> str:
@@ -44,7 +53,7 @@ def shape(token: str) -> str:
         if token[1:].islower():
             return "Xx"
     kinds = []
-    for c in token[:64]:
+    for c in token:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not (kind in "Xx9" and kinds and kinds[-1] == kind):
             kinds.append(kind)
@@ -80,7 +89,7 @@ class Model:
 
     def pooled(self, text: str | None, memory: dict[str, int]) -> np.ndarray:
         """The mean vector of a text, and the logarithm of its length."""
-        tokens = (text or "").split()
+        tokens = tokens_of(text or "")
         out = np.zeros(DIMENSIONS + 1, dtype=np.float32)
         if not tokens:
             return out
@@ -118,7 +127,7 @@ def _forward(x: np.ndarray, layers: tuple) -> tuple[np.ndarray, np.ndarray]:
 
 def word_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Kinds of token and their vectors, from the texts alone."""
-    words, shapes, split = Counter(), Counter(), [t.split() for t in texts]
+    words, shapes, split = Counter(), Counter(), [tokens_of(t) for t in texts]
     for tokens in split:
         words.update({t.lower() for t in tokens if t.isalpha()})
         shapes.update({shape(t) for t in set(tokens)})

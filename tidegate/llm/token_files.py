@@ -69,14 +69,19 @@ def write_tokens(
     """Encode each row's text and write the ids below ``path`` in ascending order of ``key``.
 
     ``end_id`` is put after each document. Null texts count as empty, rows without a key come
-    first, equal keys stay side by side, and an empty table makes files without rows. Texts are
-    ordered before they are encoded, so that a text is encoded once and files are even.
+    first, and an empty table makes files without rows. Rows with equal keys come in the order of
+    the hashes of their texts, and as many of them as there may be are dealt to several files.
+    Texts are ordered before they are encoded, so that a text is encoded once and files are even.
+    The files' own columns are named above, so the key may not be called like one of them.
     """
     spark = df.sparkSession
     common.prepare_workers(spark)
     shared = share_file(spark, tokenizer)
+    if key in ("part", "first", "n_tokens", "tokens"):
+        raise ValueError(f"the key may not be called {key}, like a column of the files")
+    order = [F.col(key), F.xxhash64("__text"), F.length("__text")]
     ordered = df.select(F.col(key), F.col(text).alias("__text"))
-    ordered = ordered.repartitionByRange(key).sortWithinPartitions(key)
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = (
         StructType([df.schema[key]])
         .add("part", IntegerType())
@@ -84,15 +89,15 @@ def write_tokens(
         .add("n_tokens", LongType())
         .add("tokens", ArrayType(IntegerType()))
     )
-    end = np.array([] if end_id is None else [end_id], dtype="<u4")
+    end = np.array([] if end_id is None else [end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(shared), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [x for ids in encoder.encode(texts) for x in (ids, end)]
-            flat = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
-            counts = np.array([len(x) for x in found], dtype=np.int64).reshape(-1, 2).sum(axis=1)
+            found = encoder.encode_bytes(texts)
+            flat = np.frombuffer(b"".join([x for ids in found for x in (ids, end)]), dtype="<i4")
+            counts = np.array([len(ids) + len(end) for ids in found], dtype=np.int64) // 4
             offsets = np.concatenate(([0], np.cumsum(counts)))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -55,6 +55,20 @@ def token_bytes(tokenizer) -> list[bytes]:
     return strings
 
 
+class Known(dict):
+    """Ids of words as bytes; a word that is missing is noted and has none for now."""
+
+    def __init__(self):
+        super().__init__()
+        self.missing: set[str] = set()
+        self.misses = 0
+
+    def __missing__(self, word: str) -> bytes:
+        self.missing.add(word)
+        self.misses += 1
+        return b""
+
+
 class Words:
     """Encodes texts as the tokenizer does, looking each distinct word up once.
 
@@ -67,15 +81,13 @@ class Words:
     def __init__(self, tokenizer, split, glue: str, size):
         self.tokenizer, self.split, self.glue, self.size = tokenizer, split, glue, size
         self.lengths = np.array([len(b) for b in token_bytes(tokenizer)], dtype=np.int64)
-        self.known: dict[str, bytes] = {}
+        self.known = Known()
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def learn(self, words: Iterable[str]) -> None:
-        if len(self.known) > MEMORY_WORDS:
-            self.known.clear()
         solid, sizes = [], []
         for word in words:
             count = self.size(word)
@@ -101,29 +113,33 @@ class Words:
                 (word, data[i:j]) for word, i, j in zip(part, [0, *cuts], cuts, strict=False)
             )
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        get, out, late = self.known.get, [], []
-        new: set[str] = set()
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit integers in bytes."""
+        known, out, late = self.known, [], []
+        look, missing = known.__getitem__, known.missing
         for text in texts:
             words = self.split(text)
             if words is None:
                 out.append(self.whole(text))
                 continue
-            found = list(map(get, words))
-            if None in found:
-                new.update(w for w, ids in zip(words, found, strict=True) if ids is None)
-                late.append((len(out), words, found))
-                out.append(b"")
-            else:
-                out.append(b"".join(found))
-        if new:
+            before = known.misses
+            out.append(b"".join(map(look, words)))
+            if known.misses > before:
+                late.append((len(out) - 1, words))
+        if late:
+            new = set(missing)
+            missing.clear()
+            if len(known) > MEMORY_WORDS:
+                known.clear()
+                new.update(w for _, words in late for w in words)
             self.learn(new)
-            for at, words, found in late:
-                out[at] = b"".join(
-                    get(w) if ids is None else ids for w, ids in zip(words, found, strict=True)
-                )
-        return [np.frombuffer(ids, dtype="<u4") for ids in out]
+            for at, words in late:
+                out[at] = b"".join(map(look, words))
+        return out
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        return [np.frombuffer(ids, dtype="<u4") for ids in self.encode_bytes(texts)]
 
 
 def byte_words(tokenizer) -> Words:
