@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidegate.functions import paths
 from tidegate.functions.jsontext import array_size, is_json
 from tidegate.session import work_folder
+from tidegate.sources import split_files
 from tidegate.sources.readers import read
 
 # Characters that count as blank around a JSON line.
@@ -142,9 +143,9 @@ def valid_json_lines(line: Column) -> Column:
 def count_json(spark: SparkSession, path: str | list[str], expected: DataFrame | None = None) -> DataFrame:
     """Records per JSON file: array elements when the file starts with ``[``, else valid lines.
 
-    Files are read line by line. If arrays span several lines, files are read again whole, one
-    per value, and those arrays are picked by a join. A broken array has null records and an
-    error text.
+    Files are read line by line. Arrays that span several lines are read again by splits, see
+    :func:`split_files.count_arrays`; no file is one value. A broken array has null records and
+    an error text.
     """
     text = F.col("text")
     opens = F.startswith(text, F.lit("["))
@@ -195,15 +196,8 @@ def count_json(spark: SparkSession, path: str | list[str], expected: DataFrame |
     spanning = seen.filter(in_array & (F.col("filled") > 1)).select("path")
     counts = by_line
     if not spanning.isEmpty():
-        size = array_size(F.btrim("value", F.lit(BLANKS)))
-        whole = (
-            spark.read.option("recursiveFileLookup", "true")
-            .text(path, wholetext=True)
-            .select(F.col(FILE_PATH).alias("path"), "value")
-            .join(spanning, "path", "left_semi")
-            .select("path", size.cast("bigint").alias("records"))
-            .withColumn("error", F.when(F.col("records").isNull(), broken))
-        )
+        whole = split_files.count_arrays(spark, path, spanning)
+        whole = whole.select("path", "records", F.when(F.col("broken"), broken).alias("error"))
         counts = by_line.unionByName(whole)
     return _with_expected(counts, expected, path)
 
