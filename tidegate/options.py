@@ -127,6 +127,7 @@ class ConvertOptions:
     escape: str = '"'
     header: bool = True
     multi_line: bool = True
+    split: bool = False
 
     @classmethod
     def from_params(cls, params: dict[str, str]) -> "ConvertOptions":
@@ -151,4 +152,5 @@ class ConvertOptions:
             escape=params.get("csv-escape", base.escape),
             header=flag("csv-header", base.header),
             multi_line=flag("csv-multiline", base.multi_line),
+            split=flag("csv-split", base.split),
         )

@@ -6,7 +6,7 @@ Spark job per mapping, over all its accepted files. Failures become log rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -19,7 +19,7 @@ from tidegate.operators.latest import latest_per_key
 from tidegate.options import Config, ConvertOptions, Mapping
 from tidegate.plans.jobs import job_named
 from tidegate.sinks import files as sink
-from tidegate.sources import inventory, readers
+from tidegate.sources import hadoop, inventory, readers
 
 PROCESS = "process"
 VALIDATED = "validated"
@@ -139,9 +139,13 @@ def output_path(output_root: str, mapping: Mapping, job_id: str, position: int,
     Below the folder of the target, so that mappings and jobs that share a target add up, while
     a job that runs again replaces only what it wrote itself. The parts are columns for a reader.
     """
+    return f"{position_path(output_root, mapping, job_id, position)}/ingest_run={run}"
+
+
+def position_path(output_root: str, mapping: Mapping, job_id: str, position: int) -> str:
+    """The folder of all runs of a job over files of one mapping."""
     name = quote(job_id, safe="")
-    place = f"ingest_job={name}/ingest_position={position}/ingest_run={run}"
-    return f"{output_root.rstrip('/')}/processed/{mapping.target}/{place}"
+    return f"{output_root.rstrip('/')}/processed/{mapping.target}/ingest_job={name}/ingest_position={position}"
 
 
 def process_target(
@@ -250,7 +254,8 @@ def run_batch(
 
     A mapping that fails, in processing or in counting, is tried up to ``config.max_retries``
     times more, unless its settings are wrong. Then its files fail, and the batch goes on with the
-    next mapping or stops, by option. A new try and a new run of a job replace what it wrote.
+    next mapping or stops, by option. A new try, and a new run of a job over fewer files or none,
+    replace all that it wrote for the mapping; of files that fail for good nothing stays readable.
     """
     decided_path = f"{log_path}/decided-{job_id}"
     decide(files, control, config, options).write.mode("overwrite").parquet(decided_path)
@@ -259,11 +264,18 @@ def run_batch(
     decision_log(decisions, job_id).write.mode("append").parquet(entries)
     for position, mapping in enumerate(config.mappings):
         chosen = decisions.filter((F.col("action") == PROCESS) & (F.col("position") == position))
+        own = (
+            position_path(output_root, mapping, job_id, position),
+            f"{log_path}/counted-{job_id}/position={position}",
+        )
+        clear(spark, own)
         if chosen.isEmpty():
             continue
         failure = None
         for attempt in range(config.max_retries + 1):
             try:
+                if attempt:
+                    clear(spark, own)
                 for run, paths in enumerate(in_runs(chosen, FILES_PER_RUN)):
                     process_target(spark, mapping, paths, output_root, job_id, position, run)
                     if mapping.rules.validate_record_count:
@@ -283,12 +295,19 @@ def run_batch(
                 _log_failure(chosen, job_id, attempt, str(caught), True, entries)
         if failure is None:
             _log_success(chosen, job_id, entries)
-        elif not options.continue_on_error:
+            continue
+        clear(spark, own)
+        if not options.continue_on_error:
             raise failure
     own = tracking.read_log(spark, entries).filter(F.col("job_id") == job_id)
     return tracking.fold(own, config.max_retries)
 
 
+def clear(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        hadoop.remove(spark, folder)
+
+
 def _only(chosen: DataFrame, paths: list[str]) -> DataFrame:
     """The part of a mapping's files that one run takes; they follow each other in order."""
     return chosen.filter(F.col("file_path").between(paths[0], paths[-1]))

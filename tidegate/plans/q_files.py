@@ -12,7 +12,7 @@ from tidegate.plans.q_profiles import collapsed
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
 from tidegate.sinks import files as sink
-from tidegate.sources import inventory, readers
+from tidegate.sources import file_digests, inventory, readers, split_files
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
@@ -537,3 +537,79 @@ def load_in_parts(spark, folder):
 def dead_letter_rows(spark, folder):
     result = tables.load(_loadable(spark, folder), "ORDERS", work_folder(spark, "load"))
     return spark.read.parquet(result.rejected_path)
+
+
+@query("split_csv_scan", f"SELECT * FROM {inputs.select('customer', QUOTED)}")
+def split_csv_scan(spark, folder):
+    """Quoted line breaks in files that many tasks read; converted, so the result has no Python."""
+    path, out = work_folder(spark, "split-csv"), work_folder(spark, "converted")
+    sink.write(
+        inputs.columns(spark, folder, "customer", QUOTED),
+        path,
+        "CSV",
+        "none",
+        options={"sep": ";", "escape": '"', "ignoreTrailingWhiteSpace": "false"},
+    )
+    dialect = ConvertOptions(delimiter=";", split=True)
+    sink.write(readers.read_csv(spark, path, dialect, "id BIGINT, name STRING, balance DOUBLE"), out)
+    return spark.read.parquet(out)
+
+
+@query("split_array_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def split_array_scan(spark, folder):
+    path, out = _array_files(spark, folder, pretty=True), work_folder(spark, "converted")
+    schema = "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE"
+    sink.write(split_files.read_json_arrays(spark, path, schema), out)
+    return spark.read.parquet(out)
+
+
+def _page_files(spark, folder):
+    """Pages as files of one line each, ten folders of them."""
+    path = work_folder(spark, "page-files")
+    pages = table(spark, folder, "pages").where("length(html) > 0")
+    joined = pages.groupBy((F.col("page_id") % 10).alias("part")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "url"))), lambda p: p["url"]), "\n").alias("value")
+    )
+    joined.write.partitionBy("part").text(path)
+    return path
+
+
+PAGE_FILES_SQL = """
+    SELECT page_id % 10 AS part, string_agg(url, chr(10) ORDER BY page_id) || chr(10) AS body
+    FROM pages WHERE length(html) > 0 AND url IS NOT NULL GROUP BY ALL
+"""
+
+
+@query(
+    "chunked_digests",
+    f"""
+    SELECT part, CAST(strlen(body) AS BIGINT) AS size, md5(body) AS md5, sha1(body) AS sha1, sha256(body) AS sha256
+    FROM ({PAGE_FILES_SQL})
+    """,
+)
+def chunked_digests(spark, folder):
+    """Files beyond the largest value (lowered here), read in chunks by several tasks."""
+    path, out = _page_files(spark, folder), work_folder(spark, "digests")
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint")
+    found = inventory.digests(spark, path, most_bytes=10)
+    found.select(part.alias("part"), "size", "md5", "sha1", "sha256").write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@query(
+    "part_etags",
+    f"""
+    SELECT part, CAST(ceil(strlen(body) / 400.0) AS BIGINT) AS parts,
+           CASE WHEN strlen(body) <= 400 THEN md5(body) ELSE
+             md5(unhex(array_to_string(list_transform(range(0, CAST(ceil(strlen(body) / 400.0) AS BIGINT)),
+                 lambda i: md5(substr(body, 400 * i + 1, 400))), '')))
+             || '-' || CAST(ceil(strlen(body) / 400.0) AS BIGINT) END AS etag
+    FROM ({PAGE_FILES_SQL}) WHERE strlen(body) = length(body)
+    """,
+)
+def part_etags(spark, folder):
+    path, out = _page_files(spark, folder), work_folder(spark, "etags")
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint")
+    found = file_digests.part_etags(spark, path, 400)
+    found.select(part.alias("part"), "parts", "etag").write.parquet(out)
+    return spark.read.parquet(out)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidegate.functions.partitioning import PartitionField, SortField, with_partitions
-from tidegate.operators import statistics, tables
+from tidegate.operators import statistics, tables, zones
 from tidegate.plans import inputs
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
@@ -332,3 +332,84 @@ def sorted_write(spark, folder):
         sort_by=[SortField("o_totalprice", "desc", "last"), SortField("o_orderkey")],
     )
     return spark.read.parquet(path)
+
+
+def _zoned_items(spark, folder):
+    path = work_folder(spark, "zoned")
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    zones.write_zoned(items, path, ["l_shipdate", "l_extendedprice"])
+    return path
+
+
+@query(
+    "zone_map_scan",
+    "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM lineitem "
+    "WHERE l_shipdate >= TIMESTAMP '1996-03-01 00:00:00' AND l_shipdate <= TIMESTAMP '1996-05-31 00:00:00'",
+)
+def zone_map_scan(spark, folder):
+    """Opens the files whose zones meet the range; a test holds that they are few."""
+    low, high = (F.lit(f"1996-{day} 00:00:00").cast("timestamp_ntz") for day in ("03-01", "05-31"))
+    return zones.scan(spark, _zoned_items(spark, folder), "l_shipdate", low, high)
+
+
+@query(
+    "zone_map_efficiency",
+    """
+    WITH r AS (SELECT l_returnflag, year(l_shipdate) AS y, max(l_extendedprice) AS high FROM lineitem GROUP BY ALL)
+    SELECT l_returnflag AS table_name, count(*) FILTER (high >= 95000) AS files_scanned, count(*) AS files_total,
+           CAST(count(*) FILTER (high >= 95000) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100 AS scan_efficiency_pct
+    FROM r GROUP BY l_returnflag
+    """,
+)
+def zone_map_efficiency(spark, folder):
+    """Files that a predicate needs, of the files that a write made (small: one a value)."""
+    path = work_folder(spark, "zoned")
+    items = table(spark, folder, "lineitem").select(
+        "l_extendedprice", "l_returnflag", F.year("l_shipdate").alias("y")
+    )
+    zones.write_zoned(items, path, ["l_extendedprice"], partition_by=("l_returnflag", "y"))
+    flag = F.regexp_extract("file", "l_returnflag=([^/]*)/", 1)
+    needed = statistics.may_contain("l_extendedprice", low=F.lit(95_000))
+    return statistics.scan_efficiency(zones.read_zones(spark, path), flag, needed)
+
+
+@query(
+    "listed_partition_stats",
+    """
+    SELECT o_orderstatus AS partition_value, 1 AS file_count,
+           CAST(sum(strlen(o_orderpriority) + 1) AS BIGINT) AS total_size_bytes,
+           CAST(sum(strlen(o_orderpriority) + 1) AS DOUBLE) / 1048576 AS avg_file_size_mb
+    FROM orders GROUP BY o_orderstatus
+    """,
+)
+def listed_partition_stats(spark, folder):
+    """Sizes told by the listing of files that were written (small: one file a value)."""
+    path = work_folder(spark, "listed")
+    orders = table(spark, folder, "orders").select("o_orderstatus", F.col("o_orderpriority").alias("value"))
+    orders.hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").text(path)
+    status = F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1)
+    return statistics.partition_stats(inventory.list_files(spark, path), status)
+
+
+@query(
+    "listed_table_stats",
+    """
+    SELECT 'orders-' || o_orderstatus AS table_name, CAST(sum(strlen(o_orderpriority) + 1) AS BIGINT) AS total_size_bytes,
+           CAST(2 AS BIGINT) AS file_count, CAST(2 AS BIGINT) AS snapshot_count
+    FROM orders GROUP BY o_orderstatus
+    """,
+)
+def listed_table_stats(spark, folder):
+    """Tables written in two versions, a file each: their bytes and files from the listing."""
+    path = work_folder(spark, "listed")
+    orders = table(spark, folder, "orders").select(
+        F.concat(F.lit("orders-"), "o_orderstatus").alias("t"),
+        (F.col("o_orderkey") % 2).alias("version"),
+        F.col("o_orderpriority").alias("value"),
+    )
+    orders.hint("rebalance", "t", "version").write.partitionBy("t", "version").text(path)
+    files = inventory.list_files(spark, path)
+    files = files.withColumns(
+        {"table_name": F.regexp_extract("path", "t=([^/]*)/", 1), "version": F.regexp_extract("path", "version=([^/]*)/", 1)}
+    )
+    return statistics.table_stats(files, files)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidegate.functions import paths
 from tidegate.functions.jsontext import array_size, is_json
 from tidegate.session import work_folder
-from tidegate.sources import split_files
+from tidegate.sources import file_digests, split_files
 from tidegate.sources.readers import read
 
 # Characters that count as blank around a JSON line.
@@ -52,9 +52,9 @@ def digests(
 ) -> DataFrame:
     """MD5, SHA-1 and SHA-256 of each file's bytes, and why there are none.
 
-    Only files whose keys start with one of ``prefixes`` are read, if those are given. A file is
-    one value, so one beyond ``most_bytes`` has no digests but an ``unread`` reason, as have the
-    files that were not asked for; neither is opened.
+    Only files whose keys start with one of ``prefixes`` are read, if those are given; the others
+    have an ``unread`` reason. A file is one value up to ``most_bytes``, and larger ones are read
+    in chunks, see :mod:`file_digests`.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     key = paths.key(F.col(FILE_PATH))
@@ -62,23 +62,28 @@ def digests(
     for prefix in prefixes or ():
         asked = asked | F.startswith(key, F.lit(prefix))
     small = F.col("length") <= most_bytes
+    none = F.lit(None).cast("string")
     read_ = files.filter(asked & small).select(
         F.col(FILE_PATH).alias("path"),
         F.col("length").alias("size"),
         F.md5("content").alias("md5"),
         F.sha1("content").alias("sha1"),
         F.sha2("content", 256).alias("sha256"),
-        F.lit(None).cast("string").alias("unread"),
+        none.alias("unread"),
     )
-    why = F.when(asked, F.lit("file too large to digest")).otherwise(F.lit("digest not asked for"))
-    none = F.lit(None).cast("string")
-    rest = file_rows(spark, path, recursiveFileLookup="true").filter(~(asked & small)).select(
+    rest = file_rows(spark, path, recursiveFileLookup="true")
+    skipped = rest.filter(~asked).select(
         F.col(FILE_PATH).alias("path"),
         F.col("length").alias("size"),
         *(none.alias(n) for n in ("md5", "sha1", "sha256")),
-        why.alias("unread"),
+        F.lit("digest not asked for").alias("unread"),
     )
-    return read_.union(rest)
+    found = read_.union(skipped)
+    # of these there is one at most for each ``most_bytes`` of all data
+    large = [r.path for r in rest.filter(asked & ~small).select(F.col(FILE_PATH).alias("path")).collect()]
+    if large:
+        found = found.union(file_digests.streamed_digests(spark, large).withColumn("unread", none))
+    return found
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

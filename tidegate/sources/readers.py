@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidegate.options import ConvertOptions
-from tidegate.sources import hadoop
+from tidegate.sources import hadoop, split_files
 
 # Date and timestamp patterns of the CSV dialect.
 CSV_DATE = "yyyy-MM-dd"
@@ -83,8 +83,13 @@ def read_csv(
     """Read CSV in a dialect.
 
     Quoted line breaks are honoured by default, which makes Spark read each file in one task.
-    Turn ``dialect.multi_line`` off for large files known to have none, so that they split.
+    Set ``dialect.split`` for large files, which are then read by many tasks (uncompressed UTF-8
+    alone), or turn ``dialect.multi_line`` off for files known to have no quoted line breaks.
     """
+    if dialect.split and dialect.multi_line:
+        check_input(spark, path)
+        settings = {**csv_settings(dialect), **(options or {})}
+        return split_files.read_quoted_csv(spark, path, settings, schema)
     return read(spark, path, "CSV", schema, {**csv_settings(dialect), **(options or {})})
 
 
