@@ -8,10 +8,10 @@ agree; windows and items with fewer equal blocks are passed over, and no pair wi
 missed. The pairs left are compared exactly, by the weighted Jaccard similarity of the shingles
 with repeats.
 
-Windows are taken where they can match. A window of the similarity LEAST misses less than 1 - LEAST
-of an item's weight, so it holds one of any shingles that together weigh more than that: the item's
-anchors, its rarest shingles. They are looked up for every place of every document, and a window
-meets the items whose anchors it holds.
+Windows are taken where they can match. A window of the similarity LEAST misses 1 - LEAST of an
+item's weight at most, so of an item's anchors, its rarest shingles with ANCHORED of its weight, it
+holds all but so much. Anchors are looked up for every place of every document, and a window meets
+the items of whose anchors it holds enough.
 
 How rare shingles are is counted by Spark over all items. Items are broadcast in sets of up to
 BROADCAST_CHARS of text, and documents pass each set; with each go the counts of the shingles that
@@ -32,6 +32,8 @@ from tidegate.llm import common
 
 SHINGLE = 2
 LEAST = 0.8
+#: Share of an item's weight that its anchors have.
+ANCHORED = 0.6
 BITS, BLOCKS = 256, 128
 #: At the similarity of 0.8 fingerprints differ in 39 bits on average, with a deviation of 6 to 8;
 #: those of unrelated windows in 128, with a deviation of 8 or more.
@@ -153,10 +155,12 @@ class Items:
         self.known = known.astype(np.uint64)
         self.weights = 1.0 + np.log(np.maximum(1, total) / np.maximum(1, counts))
         anchors = [self._anchors(s) for s in self.shingles]
-        flat = np.concatenate([*anchors, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(anchors)), [len(a) for a in anchors])
+        self.need = np.array([need for _, _, need in anchors])
+        flat = np.concatenate([*(a for a, _, _ in anchors), np.zeros(0, np.uint64)])
+        owner = np.repeat(np.arange(len(anchors)), [len(a) for a, _, _ in anchors])
+        weigh = np.concatenate([*(w for _, w, _ in anchors), np.zeros(0)])
         order = np.argsort(flat, kind="stable")
-        self.owner = owner[order]
+        self.owner, self.weigh = owner[order], weigh[order]
         self.anchor, first = np.unique(flat[order], return_index=True)
         self.begin = np.concatenate((first, [len(flat)])).astype(np.int64)
         self.maybe = np.zeros(_MASK + 1, dtype=bool)
@@ -171,14 +175,17 @@ class Items:
         at[at == len(self.known)] = 0
         return np.where(self.known[at] == hashes, self.weights[at], self.rarest)
 
-    def _anchors(self, shingles: np.ndarray) -> np.ndarray:
-        """The rarest shingles that together weigh more than a similar window may miss."""
+    def _anchors(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """The rarest shingles, their weights, and how much of that a similar window has."""
         own, repeats = np.unique(shingles, return_counts=True)
         weights = self.weight(own)
         order = np.argsort(-weights, kind="stable")
         summed = np.cumsum((weights * repeats)[order])
-        enough = int(np.searchsorted(summed, summed[-1] * (1 - LEAST) * (1 + 1e-9), side="right")) + 1
-        return own[order[:enough]]
+        enough = int(np.searchsorted(summed, summed[-1] * ANCHORED)) + 1
+        chosen = order[:enough]
+        need = summed[min(enough, len(summed)) - 1] - summed[-1] * (1 - LEAST)
+        # each place where a shingle stands counts once, so of repeats one weighs as all
+        return own[chosen], (weights * repeats)[chosen], float(need) * (1 - 1e-9)
 
     def _windows(self, hashes: np.ndarray, size: int) -> np.ndarray:
         """Fingerprints of each run of ``size`` shingles: bits that hold over half the weight."""
@@ -208,15 +215,14 @@ class Items:
                 chars += len(texts[end] or "")
                 end += 1
             words, bounds = self.alphabet.word_hashes([t or "" for t in texts[at:end]])
-            for text, places, items in self._met(words, bounds):
-                own = words[bounds[text] : bounds[text + 1]]
-                self._compare(own, places, items, out[at + text])
+            for text, starts, items in self._met(words, bounds):
+                self._compare(words[bounds[text] : bounds[text + 1]], starts, items, out[at + text])
             at = end
         return out
 
-    def _met(self, words, bounds) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Texts with the places of anchors, and the items that these belong to."""
-        pairs = []
+    def _hits(self, words, bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of anchors among the words of all texts: text, item, place and weight, in order."""
+        found = []
         for length in (1, SHINGLE):  # items of one word have shingles of one word
             hashes = shingle_hashes(words, length) if length <= len(words) else words[:0]
             at = np.flatnonzero(self.maybe[hashes & np.uint64(_MASK)])
@@ -226,39 +232,60 @@ class Items:
             at, place = at[hit], place[hit]
             text = np.searchsorted(bounds, at, side="right") - 1
             whole = at + length <= bounds[text + 1]  # else it goes on into the next text
-            at, place = at[whole], place[whole]
+            at, place, text = at[whole], place[whole], text[whole]
             counts = self.begin[place + 1] - self.begin[place]
             within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-            items = self.owner[np.repeat(self.begin[place], counts) + within]
-            fits = np.minimum(self.sizes[items], SHINGLE) == length
-            pairs.append((np.repeat(at, counts)[fits], items[fits]))
-        at, items = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        text = np.searchsorted(bounds, at, side="right") - 1
-        order = np.lexsort((at, text))
-        at, items, text = at[order], items[order], text[order]
-        for one in np.split(np.arange(len(at)), np.flatnonzero(np.diff(text)) + 1):
+            entry = np.repeat(self.begin[place], counts) + within
+            fits = np.minimum(self.sizes[self.owner[entry]], SHINGLE) == length
+            entry = entry[fits]
+            found.append((np.repeat(text, counts)[fits], self.owner[entry], np.repeat(at, counts)[fits], self.weigh[entry]))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        return tuple(c[order] for c in columns)
+
+    def _met(self, words, bounds) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Texts, with first words of windows and the items of whose anchors they hold enough.
+
+        A window is looked at by the first anchor of an item in it; if all that follow within the
+        item's size weigh too little, so do those in any window that begins with this one.
+        """
+        text, item, at, weight = self._hits(words, bounds)
+        if not len(at):
+            return
+        reach = self.sizes[item] - np.minimum(self.sizes[item], SHINGLE)
+        group = np.cumsum(np.concatenate(([0], (np.diff(text) != 0) | (np.diff(item) != 0))))
+        spread = int(at[-1] if len(at) == 1 else at.max()) + int(self.sizes.max()) + 1
+        line = group * spread + at
+        summed = np.concatenate(([0.0], np.cumsum(weight)))
+        end = np.searchsorted(line, line + reach, side="right")
+        rich = summed[end] - summed[:-1] >= self.need[item] - 1e-9 * summed[-1]
+        before = np.concatenate(([-1], at[:-1]))
+        before = np.where(np.concatenate(([False], np.diff(group) == 0)), before, -1)
+        low = np.maximum(np.maximum(before + 1, at - reach), bounds[text])
+        high = np.minimum(at, np.maximum(bounds[text], bounds[text + 1] - self.sizes[item]))
+        keep = rich & (low <= high)
+        text, item, low, high = text[keep], item[keep], low[keep], high[keep]
+        counts = high - low + 1
+        within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = np.repeat(low - bounds[text], counts) + within
+        text, item = np.repeat(text, counts), np.repeat(item, counts)
+        for one in np.split(np.arange(len(text)), np.flatnonzero(np.diff(text)) + 1):
             if len(one):
-                yield int(text[one[0]]), at[one] - int(bounds[text[one[0]]]), items[one]
+                yield int(text[one[0]]), starts[one], item[one]
 
-    def _compare(self, own, places, items, found) -> None:
-        """Of one text: windows that hold an anchor, with the items whose anchor it is."""
+    def _compare(self, own, starts, items, found) -> None:
+        """Windows of one text with the items they may be alike to."""
         for size in np.unique(self.sizes[items]).tolist():
             some = self.sizes[items] == size
             length = min(SHINGLE, size)
-            last = max(0, len(own) - size)
-            low = np.maximum(0, places[some] + length - size)
-            high = np.minimum(places[some], last)
-            counts = np.maximum(0, high - low + 1)
-            within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts = np.repeat(low, counts) + within
-            pairs = np.unique(starts * len(self.ids) + np.repeat(items[some], counts))
-            starts, who = pairs // len(self.ids), pairs % len(self.ids)
+            pairs = np.unique(starts[some] * len(self.ids) + items[some])
+            first, who = pairs // len(self.ids), pairs % len(self.ids)
             shingles = shingle_hashes(own, length)
             wide = max(1, min(size - length + 1, len(shingles)))
-            breaks = np.flatnonzero(np.diff(starts) > CHUNK) + 1
-            for one in np.split(np.arange(len(starts)), breaks):
+            for one in np.split(np.arange(len(first)), np.flatnonzero(np.diff(first) > CHUNK) + 1):
                 for at in range(0, len(one), CHUNK):
-                    self._near(shingles, wide, size, starts[one[at : at + CHUNK]], who[one[at : at + CHUNK]], found)
+                    part = one[at : at + CHUNK]
+                    self._near(shingles, wide, size, first[part], who[part], found)
 
     def _near(self, shingles, wide: int, size: int, starts, who, found) -> None:
         first, end = int(starts[0]), int(starts[-1]) + wide

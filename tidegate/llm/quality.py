@@ -34,13 +34,13 @@ SAME, EARLIER, OTHER = "<same>", "<earlier>", "<other>"
 #: Characters of a token; a longer one is taken in pieces of so many.
 TOKEN_CHARS = 64
 _letters = re.compile(r"(.)\1{2,}")
-_long_token = re.compile(rf"\S{{{TOKEN_CHARS + 1}}}")
 _pieces = re.compile(rf"\S{{1,{TOKEN_CHARS}}}").findall
 
 
 def tokens_of(text: str) -> list[str]:
     """What stands between white space, in pieces where it is very long."""
-    return _pieces(text) if _long_token.search(text) else text.split()
+    tokens = text.split()
+    return _pieces(text) if max(map(len, tokens), default=0) > TOKEN_CHARS else tokens
 
 
 def shape(token: str) -> str:
