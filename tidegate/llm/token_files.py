@@ -79,7 +79,9 @@ def write_tokens(
     shared = share_file(spark, tokenizer)
     if key in ("part", "first", "n_tokens", "tokens"):
         raise ValueError(f"the key may not be called {key}, like a column of the files")
-    order = [F.col(key), F.xxhash64("__text"), F.length("__text")]
+    order = [F.col(key)]
+    if not df.groupBy(key).count().where("count > 1").isEmpty():
+        order += [F.xxhash64("__text"), F.length("__text")]  # else ranges are told by keys alone
     ordered = df.select(F.col(key), F.col(text).alias("__text"))
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = (

@@ -55,92 +55,88 @@ def token_bytes(tokenizer) -> list[bytes]:
     return strings
 
 
-class Known(dict):
-    """Ids of words as bytes; a word that is missing is noted and has none for now."""
-
-    def __init__(self):
-        super().__init__()
-        self.missing: set[str] = set()
-        self.misses = 0
-
-    def __missing__(self, word: str) -> bytes:
-        self.missing.add(word)
-        self.misses += 1
-        return b""
-
-
 class Words:
     """Encodes texts as the tokenizer does, looking each distinct word up once.
 
     ``split`` cuts a text into words whose ids, put together, are the ids of the text, or gives
     None for a text that has to be encoded whole. New words go to the tokenizer many at a time,
     joined by ``glue``, and are told apart by their bytes; ``size`` counts those of a word, or
-    gives None for one that has to be encoded alone.
+    gives None for one that has to be encoded alone. Where ``plain`` holds for joined words, each
+    is as long as its characters.
     """
 
-    def __init__(self, tokenizer, split, glue: str, size):
+    def __init__(self, tokenizer, split, glue: str, size, plain=lambda joined: False):
         self.tokenizer, self.split, self.glue, self.size = tokenizer, split, glue, size
+        self.plain = plain
         self.lengths = np.array([len(b) for b in token_bytes(tokenizer)], dtype=np.int64)
-        self.known = Known()
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def learn(self, words: Iterable[str]) -> None:
-        solid, sizes = [], []
-        for word in words:
+        if len(self.known) > MEMORY_WORDS:
+            self.known.clear()
+        groups, other = [], []
+        small = [w for w in words if w.isascii()]
+        for at in range(0, len(small), TOGETHER):
+            part = small[at : at + TOGETHER]
+            if self.plain(joined := self.glue.join(part)):
+                groups.append((part, joined, list(map(len, part))))
+            else:
+                other += part
+        sized = []
+        for word in [*other, *(w for w in words if not w.isascii())]:
             count = self.size(word)
             if count is None:
                 self.known[word] = self.whole(word)
             else:
-                solid.append(word)
-                sizes.append(count)
-        steps = range(0, len(solid), TOGETHER)
-        joined = [self.glue.join(solid[at : at + TOGETHER]) for at in steps]
-        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for at, encoding in zip(steps, encoded, strict=True):
-            part = solid[at : at + TOGETHER]
+                sized.append((word, count))
+        for at in range(0, len(sized), TOGETHER):
+            part, counts = zip(*sized[at : at + TOGETHER], strict=True)
+            groups.append((part, self.glue.join(part), counts))
+        encoded = self.tokenizer.encode_batch_fast([g[1] for g in groups], add_special_tokens=False)
+        for (part, _, counts), encoding in zip(groups, encoded, strict=True):
             ids = np.array(encoding.ids, dtype="<u4")
             ends = np.cumsum(self.lengths[ids])
-            wanted = np.cumsum(sizes[at : at + TOGETHER])
+            wanted = np.cumsum(counts)
             places = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
             if not len(ends) or ends[-1] != wanted[-1] or (ends[places] != wanted).any():
                 self.known.update((word, self.whole(word)) for word in part)
                 continue
             data, cuts = ids.tobytes(), ((places + 1) * 4).tolist()
-            self.known.update(
-                (word, data[i:j]) for word, i, j in zip(part, [0, *cuts], cuts, strict=False)
-            )
+            pieces = [data[i:j] for i, j in zip([0, *cuts], cuts, strict=False)]
+            self.known.update(zip(part, pieces, strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        return [np.frombuffer(ids, dtype="<u4") for ids in self.encode_bytes(texts)]
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers in bytes."""
-        known, out, late = self.known, [], []
-        look, missing = known.__getitem__, known.missing
+        """As :meth:`encode`, as bytes."""
+        get, out, late = self.known.get, [], []
+        new: set[str] = set()
         for text in texts:
             words = self.split(text)
             if words is None:
                 out.append(self.whole(text))
                 continue
-            before = known.misses
-            out.append(b"".join(map(look, words)))
-            if known.misses > before:
-                late.append((len(out) - 1, words))
-        if late:
-            new = set(missing)
-            missing.clear()
-            if len(known) > MEMORY_WORDS:
-                known.clear()
-                new.update(w for _, words in late for w in words)
+            found = list(map(get, words))
+            if None in found:
+                new.update(w for w, ids in zip(words, found, strict=True) if ids is None)
+                late.append((len(out), words, found))
+                out.append(b"")
+            else:
+                out.append(b"".join(found))
+        if new:
             self.learn(new)
-            for at, words in late:
-                out[at] = b"".join(map(look, words))
+            for at, words, found in late:
+                out[at] = b"".join(
+                    get(w) if ids is None else ids for w, ids in zip(words, found, strict=True)
+                )
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        return [np.frombuffer(ids, dtype="<u4") for ids in self.encode_bytes(texts)]
-
 
 def byte_words(tokenizer) -> Words:
     """For byte-level files whose pattern keeps one space before a word."""
@@ -170,4 +166,4 @@ def spaced_words(tokenizer) -> Words:
             return None  # a special string may be in it
         return len(word) if word.isascii() else len(normalize("NFC", word).lower().encode())
 
-    return Words(tokenizer, split, " ", size)
+    return Words(tokenizer, split, " ", size, lambda joined: joined.isascii() and "<|" not in joined)
