@@ -160,3 +160,23 @@ def test_ingest_is_one_stage_without_shuffle(spark):
     df = spark.createDataFrame([(1, 1, 2.0, "s")], "order_id INT, customer_id INT, amount DOUBLE, status STRING")
     plan = jobs.standardise(df, "ORDERS", "j")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_conversion_reads_quoted_line_breaks_by_splits(spark, tmp_path):
+    """The same result whether a file is read by one task or by many."""
+    rows = "".join(f'{i},"line {i}\nand ""more"", {i}",{i / 4}\n' for i in range(300))
+    (tmp_path / "c.csv").write_text("id,text,amount\n" + rows)
+    names = {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in names}
+    found = []
+    for split in ("false", "true"):
+        for k, v in (names if split == "true" else before).items():
+            spark.conf.set(k, v)
+        out = str(tmp_path / split)
+        options = ConvertOptions.from_params({"csv-split": split, "clean-strings": "true"})
+        stats = jobs.run_convert(spark, str(tmp_path / "c.csv"), out, "T", options=options)
+        assert (stats.input_records, stats.output_records) == (300, 300)
+        found.append(sorted(map(tuple, spark.read.parquet(out).select("id", "text", "amount").collect())))
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert found[0] == found[1]

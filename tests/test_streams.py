@@ -248,6 +248,50 @@ def test_many_files_are_taken_in_runs(spark, tmp_path, monkeypatch):
     assert sorted(r.actual_records for r in counted.collect()) == [1] * 5
 
 
+@pytest.mark.parametrize("per_run", [1, 10])
+def test_a_job_again_with_fewer_files(spark, tmp_path, monkeypatch, per_run):
+    """However many runs a job takes, what it made of files that are gone goes as well."""
+    monkeypatch.setattr(batch, "FILES_PER_RUN", per_run)
+    for i in range(3):
+        put(tmp_path, f"in/{i}.csv", f"station_id,label\n{i},x\n")
+    prefix = str(tmp_path / "in").lstrip("/")
+    rules = Rules(validate_record_count=True)
+    config = Config((Mapping(f"{prefix}/", "S", rules=rules, params={"schema": "station_id BIGINT, label STRING"}),))
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    files = inventory.list_files(spark, str(tmp_path / "in")).withColumnRenamed("path", "file_path")
+    for kept in ((0, 1, 2), (0, 2), (1,)):
+        some = files.where(F.regexp_extract("file_path", "([0-9])[.]csv", 1).cast("int").isin(*kept))
+        batch.run_batch(spark, some, None, config, out, log, "j")
+        written = spark.read.parquet(f"{out}/processed/S")
+        assert sorted(r.station_id for r in written.collect()) == list(kept)
+        counted = spark.read.parquet(f"{log}/counted-j")
+        assert counted.count() == len(kept)
+    batch.run_batch(spark, files.where("1 = 0"), None, config, out, log, "j")
+    assert not os.path.exists(f"{out}/processed/S/ingest_job=j/ingest_position=0")
+
+
+def test_nothing_is_readable_of_files_that_failed(spark, tmp_path, monkeypatch):
+    """Runs that went well go too when a later one fails for good."""
+    monkeypatch.setattr(batch, "FILES_PER_RUN", 1)
+    for i in range(3):
+        put(tmp_path, f"in/{i}.csv", f"station_id,label\n{i},x\n")
+    before = batch.process_target
+
+    def broken(spark, mapping, paths, output_root, job_id, position=0, run=0):
+        if run == 2:
+            raise RuntimeError("no luck")
+        return before(spark, mapping, paths, output_root, job_id, position, run)
+
+    monkeypatch.setattr(batch, "process_target", broken)
+    prefix = str(tmp_path / "in").lstrip("/")
+    config = Config((Mapping(f"{prefix}/", "S", params={"schema": "station_id BIGINT, label STRING"}),), max_retries=1)
+    files = inventory.list_files(spark, str(tmp_path / "in")).withColumnRenamed("path", "file_path")
+    out = str(tmp_path / "out")
+    records = batch.run_batch(spark, files, None, config, out, str(tmp_path / "log"), "j").collect()
+    assert {r.orchestration_state for r in records} == {"FAILED"}
+    assert not os.path.exists(f"{out}/processed/S/ingest_job=j/ingest_position=0")
+
+
 def test_failure_while_counting_is_logged(spark, landing, tmp_path, monkeypatch):
     def broken(*args):
         raise RuntimeError("cannot count")

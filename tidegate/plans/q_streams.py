@@ -284,6 +284,12 @@ def batch_two_runs(spark, folder):
     )
 
 
+@query("batch_rerun_fewer_files", f"SELECT * FROM ({SHARED_SQL}) WHERE part = 0")
+def batch_rerun_fewer_files(spark, folder):
+    """A job that runs again without the files of one prefix; what it made of them goes."""
+    return _shared_target(spark, folder, [("job-1", ("even", "odd")), ("job-1", ("even",))])
+
+
 @query(
     "batch_repeated_control",
     f"""
