@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidegate.functions.partitioning import PartitionField, SortField, with_partitions
-from tidegate.operators import statistics, tables, zones
+from tidegate.operators import differences, statistics, tables, zones
 from tidegate.plans import inputs
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
@@ -413,3 +413,46 @@ def listed_table_stats(spark, folder):
         {"table_name": F.regexp_extract("path", "t=([^/]*)/", 1), "version": F.regexp_extract("path", "version=([^/]*)/", 1)}
     )
     return statistics.table_stats(files, files)
+
+
+#: Orders a version later: some are gone, some have other values or none, and some are new.
+NEXT_ORDERS = (
+    "CASE WHEN o_orderkey % 17 = 5 THEN o_orderkey + 2000000000000 ELSE o_orderkey END AS o_orderkey",
+    "o_custkey",
+    "CASE WHEN o_orderkey % 13 = 1 THEN NULL ELSE o_orderstatus END AS o_orderstatus",
+    "CASE WHEN o_orderkey % 19 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice",
+)
+FIRST_ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+NEXT_SQL = f"SELECT {', '.join(NEXT_ORDERS)} FROM orders WHERE o_orderkey % 11 <> 4"
+
+
+def _two_snapshots(spark, folder):
+    before = inputs.columns(spark, folder, "orders", FIRST_ORDERS)
+    after = table(spark, folder, "orders").where("o_orderkey % 11 <> 4").selectExpr(*NEXT_ORDERS)
+    return before, after
+
+
+@query(
+    "snapshot_changes",
+    f"""
+    WITH a AS ({NEXT_SQL}), b AS (SELECT {', '.join(FIRST_ORDERS)} FROM orders)
+    SELECT 'insert' AS change, a.* FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
+    UNION ALL SELECT 'delete', b.* FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)
+    UNION ALL SELECT 'update', a.* FROM a JOIN b USING (o_orderkey)
+    WHERE (a.o_custkey, a.o_orderstatus, a.o_totalprice) IS DISTINCT FROM (b.o_custkey, b.o_orderstatus, b.o_totalprice)
+    """,
+)
+def snapshot_changes(spark, folder):
+    before, after = _two_snapshots(spark, folder)
+    return differences.changes(before, after, ["o_orderkey"])
+
+
+@query("snapshot_changes_applied", NEXT_SQL)
+def snapshot_changes_applied(spark, folder):
+    """A snapshot and its changes are the next one, also if they are applied again."""
+    before, after = _two_snapshots(spark, folder)
+    path = work_folder(spark, "changes")
+    differences.changes(before, after, ["o_orderkey"]).write.parquet(path)
+    changed = spark.read.parquet(path)
+    once = differences.applied(before, changed, ["o_orderkey"])
+    return differences.applied(once, changed, ["o_orderkey"])
