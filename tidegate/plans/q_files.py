@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions import jsontext, paths, values
-from tidegate.operators import tables, validation
+from tidegate.operators import loads, tables, tracking, validation
 from tidegate.options import ConvertOptions
 from tidegate.plans import inputs, jobs
 from tidegate.plans.q_profiles import collapsed
@@ -613,3 +613,43 @@ def part_etags(spark, folder):
     found = file_digests.part_etags(spark, path, 400)
     found.select(part.alias("part"), "parts", "etag").write.parquet(out)
     return spark.read.parquet(out)
+
+
+@query(
+    "published_loads",
+    f"""
+    SELECT order_id, amount, CASE WHEN order_id % 2 = 0 THEN 'even' ELSE 'odd' END AS load_id
+    FROM {inputs.select('orders', inputs.ORDERS)} WHERE amount > 0 AND order_id IS NOT NULL
+    """,
+)
+def published_loads(spark, folder):
+    """Two loads, one of them asked for again with other rows after it was published."""
+    path, rows = work_folder(spark, "published"), _loadable(spark, folder)
+    for part, name in ((0, "even"), (1, "odd"), (0, "odd")):
+        loads.load(rows.filter(F.col("order_id") % 2 == part), "ORDERS", path, name)
+    return loads.read_loaded(spark, path).select("order_id", "amount", "load_id")
+
+
+@query(
+    "load_states",
+    f"""
+    SELECT file_path, 'COMPLETED' AS orchestration_state, loaded_records, rejected_records FROM (
+        SELECT 's3://in/orders-' || (order_id % 3) || '.csv' AS file_path,
+               count(*) FILTER (amount > 0) AS loaded_records,
+               count(*) - count(*) FILTER (amount > 0) AS rejected_records
+        FROM {inputs.select('orders', inputs.ORDERS)} GROUP BY order_id % 3
+    )
+    """,
+)
+def load_states(spark, folder):
+    """A load per file; the state of each file as its log tells it."""
+    path, log = work_folder(spark, "published"), work_folder(spark, "log")
+    rows, results = _loadable(spark, folder), []
+    for part in range(3):
+        name = f"s3://in/orders-{part}.csv"
+        files = spark.createDataFrame([(name, "job-9")], "file_path STRING, job_id STRING")
+        done = loads.load(rows.filter(F.col("order_id") % 3 == part), "ORDERS", path, f"load-{part}", files, log)
+        results.append((name, done.loaded_records, done.rejected_records))
+    counts = spark.createDataFrame(results, "file_path STRING, loaded_records BIGINT, rejected_records BIGINT")
+    records = tracking.fold(tracking.read_log(spark, log), 3).select("file_path", "orchestration_state")
+    return records.join(counts, "file_path")

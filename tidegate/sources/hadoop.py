@@ -31,3 +31,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all below it, if it is there."""
     place, fs = _path(spark, path)
     fs.delete(place, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths right below a folder, none if there is no such folder."""
+    place, fs = _path(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(place)] if fs.exists(place) else []
