@@ -70,6 +70,31 @@ def test_no_pages(spark, pages, tmp_path):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    """Records of very different lengths: an archive ends with the record that reaches the bound."""
+    path = str(tmp_path / "cut")
+    rows = [(i, f"http://a/{i}", chr(97 + i % 26) * (10 if i % 7 else 40_000) + str(i)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, path, "page_id", "url", "html", warc.Archive(bytes=100_000, compression="none"))
+    sizes = [f.stat().st_size for f in (tmp_path / "cut").rglob("part-*")]
+    assert len(sizes) > 10 and max(sizes) < 100_000 + 41_000
+    back = {r["key"]: bytes(r["payload"]).decode() for r in warc.read_archives(spark, path).collect()}
+    assert back == {str(k): html for k, _, html in rows}
+
+
+@pytest.mark.parametrize("old, new", [(b"same", b"lame"), (b"</p>", b"</p")])
+def test_broken_archives_are_refused(spark, pages, tmp_path, old, new):
+    path = tmp_path / "broken"
+    warc.write_archives(pages, str(path), "page_id", "url", "html", warc.Archive(compression="none"))
+    for file in path.rglob("*"):
+        if file.name.startswith(".part-"):
+            file.unlink()  # checksums of the local file system
+        elif file.name.startswith("part-"):
+            file.write_bytes(file.read_bytes().replace(old, new))
+    with pytest.raises(Exception, match="bytes|no record begins"):
+        warc.read_archives(spark, str(path)).collect()
+
+
 def test_members_of_an_archive():
     """Archives of others: each record compressed alone."""
     def record(kind, body, more=""):

@@ -1,18 +1,24 @@
 """Web archives: revisit records for payloads that were stored before.
 
 Records are written by Spark's text writer, one record a row, with the blank lines that end a
-record as line separator; a task's records make one archive, compressed as a whole. They are read
-as binary files, so archives are cut by rows to stay far below the 2 GB of one value.
+record as line separator; an archive is compressed as a whole. Archives are read as binary files,
+so a task begins a new one before the bytes of its records come near the 2 GB of one value.
+Reading takes length and digest of every stored payload anew, and fails where they differ from
+the headers.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +31,14 @@ CRLF = "\r\n"
 
 @dataclass(frozen=True)
 class Archive:
-    """How archives are cut and dated."""
+    """How archives are cut and dated.
+
+    An archive holds ``records`` records at most, and ends with the one that reaches ``bytes``
+    (before compression).
+    """
 
     records: int = 10_000
+    bytes: int = 256 << 20
     date: str = "2024-01-01T00:00:00Z"
     least_bytes: int = 0
     compression: str = "gzip"
@@ -119,13 +130,38 @@ def write_archives(
     payload: str,
     archive: Archive = Archive(),
 ) -> None:
-    """Write a record per row below ``path``: responses in full, revisits as headers only."""
+    """Write a record per row below ``path``: responses in full, revisits as headers only.
+
+    Archives are in folders by their number in the task that wrote them. Other columns of ``df``
+    are not looked at, so their names may be any.
+    """
+    common.prepare_workers(df.sparkSession)
     resolved = resolve(df.select(key, url, payload), key, payload, archive.least_bytes)
-    records(resolved, key, url, payload, archive).write.options(
+    cut = records(resolved, key, url, payload, archive).mapInArrow(
+        numbered(archive.bytes), "value string, archive int"
+    )
+    cut.write.partitionBy("archive").options(
         lineSep=CRLF * 2, compression=archive.compression, maxRecordsPerFile=archive.records
     ).text(path)
 
 
+def numbered(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the archive of each record: a new one after every ``most`` bytes of a task's records."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = 0, 0
+        for batch in batches:
+            places = np.empty(batch.num_rows, np.int32)
+            for row, length in enumerate(pc.binary_length(batch.column(0)).to_pylist()):
+                if held >= most:
+                    number, held = number + 1, 0
+                places[row] = number
+                held += length
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places)], names=["value", "archive"])
+
+    return run
+
+
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
     """Headers (names in lower case), HTTP headers and payload of each record of an archive.
 
@@ -139,7 +175,10 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], dict[str, str],
         if not line.startswith(b"WARC/"):
             raise ValueError(f"no record begins with {line[:40]!r}")
         head = _headers(stream)
-        block = stream.read(int(head.get("content-length", "0")))
+        length = int(head.get("content-length", "0"))
+        block = stream.read(length)
+        if len(block) < length:
+            raise ValueError(f"{head.get('warc-record-id')} has {len(block)} of {length} bytes")
         http, _, payload = block.partition(b"\r\n\r\n")
         yield head, _headers(io.BytesIO(http.partition(b"\r\n")[2])), payload
 
@@ -162,6 +201,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     """A row per record; ``payload`` is null for revisits, or everywhere without ``payloads``.
 
     ``refers_to`` is the key of the record that a revisit refers to. An archive is one task's.
+    Length and digest of a response are those of its payload; a header that says otherwise is an
+    error, as are archives that end within a record.
     """
     common.prepare_workers(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -173,7 +214,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 rows, held = [], 0
                 for head, http, payload in parse_records(content.as_buffer().to_pybytes()):
                     revisit = head["warc-type"] == "revisit"
+                    digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
                     length = http.get("content-length")
+                    if not revisit:
+                        digest, length = _checked(head, digest, length, payload)
                     refers = head.get("warc-refers-to", "").removeprefix("<urn:record:")
                     rows.append(
                         (
@@ -181,8 +225,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                             head.get("warc-target-uri"),
                             head["warc-type"],
                             refers.removesuffix(">") if revisit else None,
-                            head.get("warc-payload-digest", "").removeprefix("sha1:"),
-                            len(payload) if length is None else int(length),
+                            digest,
+                            None if length is None else int(length),
                             payload if payloads and not revisit else None,
                         )
                     )
@@ -196,6 +240,15 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.select("content").mapInArrow(run, ARCHIVED)
 
 
+def _checked(head: dict[str, str], digest: str, length: str | None, payload: bytes) -> tuple[str, int]:
+    """Digest and length of a stored payload, which must be what its headers say, if they do."""
+    found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    if digest not in ("", found) or length not in (None, str(len(payload))):
+        name = head.get("warc-record-id", head.get("warc-target-uri"))
+        raise ValueError(f"payload of {name} has {len(payload)} bytes and digest {found}, not {length} and {digest}")
+    return found, len(payload)
+
+
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     kinds = [pa.string()] * 5 + [pa.int64(), pa.binary()]
     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
