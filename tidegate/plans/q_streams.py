@@ -17,7 +17,7 @@ from tidegate.session import work_folder
 from tidegate.sinks import files as sink
 from tidegate.sources import control as control_source
 from tidegate.sources import inventory
-from tidegate.streaming import arrivals, streams
+from tidegate.streaming import arrivals, lifecycles, streams
 from tidegate.streaming.envelopes import as_envelopes
 
 
@@ -334,3 +334,72 @@ def _key(spark, files, folder_name):
     """Key of a folder, as it is written in the paths of a listing."""
     any_file = files.select(paths.key(F.col("file_path"))).first()[0]
     return any_file.split(folder_name)[0] + folder_name
+
+
+LIVES = lifecycles.Lives(retries=3, wait_seconds=7200, live_seconds=3 * 86_400, late="6 hours")
+LIFE_EVENTS = (
+    "concat('s3://in/', user_id) AS file_path",
+    "concat('job-', user_id % 7) AS job_id",
+    "concat('e', event_id) AS event_id",
+    "ts AS occurred_at",
+    "CASE WHEN event_type IN ('view', 'purchase') THEN 'transition' ELSE 'error' END AS kind",
+    "CASE event_type WHEN 'view' THEN 'PROCESSING' WHEN 'purchase' THEN 'PROCESSED' END AS to_state",
+    "CASE WHEN event_type IN ('click', 'signup') THEN true "
+    "WHEN event_type = 'error' THEN event_id % 2 = 0 END AS retryable",
+)
+LIVES_SQL = f"""
+    WITH RECURSIVE l AS (
+        SELECT *, CASE WHEN kind = 'error' AND retryable THEN 'again' WHEN kind = 'error' THEN 'fatal'
+                       WHEN to_state = 'PROCESSED' THEN 'done' END AS effect
+        FROM {inputs.select('events', LIFE_EVENTS)}),
+    lives AS (
+        SELECT file_path, job_id, min(occurred_at) AS began FROM l GROUP BY ALL
+        UNION ALL
+        SELECT v.file_path, v.job_id, min(l.occurred_at) FROM lives v
+        JOIN l ON l.file_path = v.file_path AND l.job_id = v.job_id AND l.occurred_at >= v.began + INTERVAL 3 DAY
+        GROUP BY v.file_path, v.job_id),
+    o AS (
+        SELECT l.*, v.began, count(*) FILTER (effect = 'again') OVER w AS n, lead(occurred_at) OVER w AS following
+        FROM l JOIN lives v ON l.file_path = v.file_path AND l.job_id = v.job_id
+             AND l.occurred_at >= v.began AND l.occurred_at < v.began + INTERVAL 3 DAY
+        WHERE effect IS NOT NULL
+        WINDOW w AS (PARTITION BY l.file_path, l.job_id, v.began ORDER BY occurred_at, event_id)),
+    c AS (SELECT *, effect <> 'again' OR n > 3 AS closes,
+                 occurred_at + INTERVAL 2 HOUR * CAST(2 ** (n - 1) AS INT) AS due FROM o),
+    k AS (SELECT * FROM c QUALIFY coalesce(count(*) FILTER (closes) OVER (
+              PARTITION BY file_path, job_id, began ORDER BY occurred_at, event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0),
+    d AS (
+        SELECT file_path, job_id, CASE effect WHEN 'done' THEN 'DONE' ELSE 'GIVE_UP' END AS decision,
+               occurred_at AS decided_at, n AS attempt FROM k WHERE closes
+        UNION ALL
+        SELECT file_path, job_id, 'RETRY', due, n FROM k
+        WHERE NOT closes AND due < began + INTERVAL 3 DAY AND (following IS NULL OR following > due)
+        UNION ALL
+        SELECT v.file_path, v.job_id, 'EXPIRE', v.began + INTERVAL 3 DAY, count(k.n) FROM lives v
+        LEFT JOIN k ON k.file_path = v.file_path AND k.job_id = v.job_id AND k.began = v.began
+        GROUP BY v.file_path, v.job_id, v.began HAVING NOT coalesce(bool_or(k.closes), false))
+    SELECT file_path, job_id, decision, decided_at, CAST(attempt AS INT) AS attempt FROM d
+    WHERE decided_at < (SELECT max(occurred_at) FROM l) - INTERVAL 6 HOUR - INTERVAL 1 SECOND
+"""
+
+
+@query("stream_file_lives", LIVES_SQL)
+def stream_file_lives(spark, folder):
+    """Events come in four files, each a batch, with keyed state and timers between them."""
+    rows = inputs.columns(spark, folder, "events", LIFE_EVENTS)
+    source = work_folder(spark, "life-events")
+    first, last = table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / 4
+    for n in range(4):
+        after = F.lit(True) if n == 0 else F.col("occurred_at") >= first + n * step
+        before = F.lit(True) if n == 3 else F.col("occurred_at") < first + (n + 1) * step
+        rows.where(after & before).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path = work_folder(spark, "lives")
+    finish(lifecycles.put_decisions(stream, path, work_folder(spark, "at"), LIVES))
+    decided = spark.read.parquet(path).drop("batch_id")
+    at = F.col("decided_at").cast("timestamp_ntz")
+    # What is due after the last watermark is not decided when the stream stops.
+    end = F.lit(last) - F.expr("INTERVAL 6 HOURS") - F.expr("INTERVAL 1 SECOND")
+    return decided.withColumn("decided_at", at).where(F.col("decided_at") < end.cast("timestamp_ntz"))
