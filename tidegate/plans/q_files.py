@@ -12,7 +12,7 @@ from tidegate.plans.q_profiles import collapsed
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
 from tidegate.sinks import files as sink
-from tidegate.sources import file_digests, inventory, readers, split_files
+from tidegate.sources import file_digests, inventory, listing, readers, split_files
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
@@ -354,6 +354,42 @@ def file_inventory(spark, folder):
     return inventory.list_files(spark, path).groupBy(lang.alias("lang")).agg(F.sum("size").alias("size"))
 
 
+TREE_SQL = """
+    SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS size, 0 AS empty FROM documents GROUP BY lang
+    UNION ALL SELECT 'none', 0, 1
+"""
+
+
+def _tree(spark, folder):
+    """Texts by language, and a folder with one file of length zero."""
+    path = work_folder(spark, "tree")
+    texts = table(spark, folder, "documents").select("lang", "text")
+    texts.write.partitionBy("lang").text(path)
+    texts.select("text").where("false").coalesce(1).write.text(f"{path}/lang=none")
+    return path
+
+
+def _by_language(files, name):
+    lang = F.regexp_extract(name, "lang=([^/]*)/", 1)
+    empty = F.count_if(F.col("size") == 0).cast("int")
+    return files.groupBy(lang.alias("lang")).agg(F.sum("size").alias("size"), empty.alias("empty"))
+
+
+@query("listed_tree", TREE_SQL)
+def listed_tree(spark, folder):
+    return _by_language(listing.list_tree(spark, _tree(spark, folder)), "key")
+
+
+@query("looked_up_files", TREE_SQL)
+def looked_up_files(spark, folder):
+    """Files that are there, and as many names of files that are not."""
+    files = listing.list_tree(spark, _tree(spark, folder), tasks=2).select("path")
+    named = files.union(files.select(F.concat("path", F.lit(".gone"))))
+    found = work_folder(spark, "found")
+    listing.lookup(named, "path").write.parquet(found)
+    return _by_language(spark.read.parquet(found), "file_path")
+
+
 @query(
     "header_columns",
     "SELECT o_orderstatus, 5 AS column_count, "

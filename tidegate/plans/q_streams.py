@@ -165,6 +165,29 @@ def stream_arrivals(spark, folder):
     return _shown(spark.read.parquet(log))
 
 
+@query("stream_announced_once", f"SELECT *, 1 AS times FROM ({ARRIVALS_SQL})")
+def stream_announced_once(spark, folder):
+    """Every file is announced in three batches; the state store lets the first through."""
+    source = work_folder(spark, "announced")
+    for _ in range(3):
+        inputs.columns(spark, folder, "documents", CONTROL).coalesce(1).write.mode("append").json(source)
+    log = work_folder(spark, "decided")
+    finish(
+        arrivals.on_arrival(
+            arrivals.stream_announcements(spark, source, "1 hour", files_per_batch=1),
+            lambda: inputs.columns(spark, folder, "documents", STORED),
+            SOURCES,
+            work_folder(spark, "out"),
+            log,
+            work_folder(spark, "at"),
+            BatchOptions(validate_only=True),
+            seen_path=work_folder(spark, "seen"),
+        )
+    )
+    shown = _shown(spark.read.parquet(log))
+    return shown.groupBy(*shown.columns).agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
 @query(
     "batch_decisions",
     f"""
