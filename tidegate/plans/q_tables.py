@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidegate.functions.partitioning import PartitionField, SortField, with_partitions
-from tidegate.operators import differences, statistics, tables, zones
+from tidegate.operators import differences, packing, statistics, tables, zones
 from tidegate.plans import inputs
 from tidegate.plans.registry import query, table
 from tidegate.session import work_folder
@@ -224,6 +224,45 @@ def compacted_small_only(spark, folder):
     return read.withColumn("large_files_stay", F.lit(stay))
 
 
+@query("packed_small_files", "SELECT *, true AS fewer, true AS within_target, true AS large_stay FROM lineitem")
+def packed_small_files(spark, folder):
+    """Each value of a partition column has a large file and small ones of many sizes."""
+    path, new = work_folder(spark, "mixed"), work_folder(spark, "packed")
+    lines = table(spark, folder, "lineitem")
+    by = ["l_returnflag"]
+    lines.filter("l_orderkey % 4 > 0").coalesce(1).write.partitionBy(*by).parquet(path)
+    uneven = F.pmod(F.floor(F.sqrt("l_orderkey")), F.lit(24)).cast("int")
+    small = lines.filter("l_orderkey % 4 = 0").repartitionById(24, uneven)
+    small.write.mode("append").partitionBy(*by).parquet(path)
+    files = inventory.list_files(spark, path)
+    target = files.agg(F.max("size")).first()[0]
+    made = packing.pack_small(spark, path, new, by, target)
+    packed = inventory.list_files(spark, new).filter("path NOT LIKE '%/_packed/%'")
+    count, most = packed.agg(F.count(F.lit(1)), F.max("size")).first()
+    before = files.filter(F.col("size") < packing.small_below(target)).count()
+    read = packing.read_packed(spark, path, new, target)
+    old = read.select(F.input_file_name().alias("file")).distinct().filter(F.col("file").contains(path))
+    shown = {
+        "fewer": made and count < before / 2,
+        "within_target": most <= 1.1 * target,
+        "large_stay": old.count() < before,
+    }
+    return read.select(*lines.columns, *(F.lit(v).alias(n) for n, v in shown.items()))
+
+
+@query("overwritten_by_bytes", "SELECT *, true AS within_target FROM orders")
+def overwritten_by_bytes(spark, folder):
+    """The cap of the second write comes from the files of the first."""
+    path, new = work_folder(spark, "as-it-was"), work_folder(spark, "by-bytes")
+    orders = table(spark, folder, "orders")
+    sink.write(orders.coalesce(1), path)
+    target = inventory.list_files(spark, path).agg(F.max("size")).first()[0] // 4
+    packing.overwrite_by_bytes(orders.coalesce(1), new, target, like=path)
+    count, most = inventory.list_files(spark, new).agg(F.count(F.lit(1)), F.max("size")).first()
+    # Footers and dictionaries, which every file has, weigh in small files.
+    return spark.read.parquet(new).withColumn("within_target", F.lit(4 <= count <= 6 and most <= 2 * target))
+
+
 @query(
     "compacted_partitions",
     "SELECT l_returnflag, count(*) AS rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity "
