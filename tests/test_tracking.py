@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas
 from tidegate.operators import routing, tracking, validation
+from tidegate.operators import latest
 from tidegate.operators.latest import latest_per_key, with_previous
 from tidegate.options import Mapping, Processing, Rules
 from tidegate.sources.control import mappings_frame
@@ -270,7 +271,7 @@ def test_hot_keys_are_found_and_cut_evenly(spark):
     df = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id * id AS at")
     hot = hot_keys(df, ["k"], 10)
     assert hot == [r[0] for r in df.filter("k = 'hot'").select(F.xxhash64("k")).limit(1).collect()]
-    cut = _sliced(df, ["k"], "at", hot, 10).groupBy("k", "_slice").count().filter("k = 'hot'").collect()
+    cut = _sliced(df, ["k"], ["at"], hot, 10).groupBy("k", "_slice").count().filter("k = 'hot'").collect()
     assert len(cut) == 10 and max(r["count"] for r in cut) < 2 * 20_000 / 10
     assert hot_keys(df.filter("k <> 'hot'"), ["k"], 10) == []
 
@@ -393,3 +394,20 @@ def test_job_outcomes(spark):
     ]
     assert sorted(r.event_id for r in tracking.unknown_runs(outcomes).collect()) == ["e3", "e4"]
     assert tracking.fold(log, 3).first().orchestration_state == "FAILED"
+
+
+@pytest.mark.parametrize("order", ["CAST('2024-01-01' AS TIMESTAMP)", "'same'", "CAST(NULL AS STRING)", "text", "unhex(hex(i))"])
+@pytest.mark.parametrize("slices", [2, 9, 64])
+def test_a_hot_key_is_cut_by_the_whole_sort_tuple(spark, order, slices):
+    """One time for all, a text order, nulls: no slice holds much, and the rows before are right."""
+    rows = spark.range(4000).selectExpr(
+        "id AS i", "CASE WHEN id % 10 < 8 THEN 'hot' ELSE concat('k', id % 500) END AS k",
+        "CASE WHEN id % 3 > 0 THEN sha2(CAST(id AS STRING), 256) END AS text",
+    ).selectExpr("i", "k", "text", f"{order} AS at").repartition(5)
+    plain = {r.i: r.before for r in with_previous(rows, ["k"], "at", "i", "before", ["i"], slices=1).collect()}
+    got = {r.i: r.before for r in with_previous(rows, ["k"], "at", "i", "before", ["i"], slices=slices).collect()}
+    assert got == plain
+    hot = latest.hot_keys(rows, ["k"], slices)
+    cut = latest._sliced(rows, ["k"], ["at", "i"], hot, slices).where("k = 'hot'")
+    held = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert slices * 0.8 <= len(held) <= slices and max(held) <= 3200 / slices * 2.5

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +13,8 @@ from pyspark.sql import types as T
 from tidegate.functions.values import micros
 
 # How finely work may be cut up. None of these bounds the rows that are handled.
-PERCENTILE_ACCURACY = 10_000
-MAX_SLICES = 10_000
+MAX_SLICES = 1_000
+SAMPLES_PER_SLICE = 16
 SKETCH_ITEMS = 10_000
 SKETCH_ITEMS_PER_PIECE = 16
 
@@ -36,16 +35,6 @@ def time_micros(df: DataFrame, column: str) -> Column:
     return micros(F.col(column), isinstance(df.schema[column].dataType, T.TimestampType))
 
 
-def _as_number(df: DataFrame, column: str) -> Column | None:
-    """A number that grows with the column, in any session time zone; none for other types."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return time_micros(df, column).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    return F.col(column).cast("double") if isinstance(kind, T.NumericType) else None
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int) -> list[int]:
     """Hashes of the keys that hold more than one part in ``pieces`` of all rows.
 
@@ -61,24 +50,48 @@ def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int) -> list[int]:
     return [t["item"] for t in found["top"] or [] if t["count"] * pieces > found["rows"]]
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: str, hot: list[int], slices: int) -> DataFrame:
+def _bounds(hot_rows: DataFrame, sort: Sequence[str], slices: int, block: int) -> DataFrame:
+    """One row: sort tuples that cut ``hot_rows`` into about ``slices`` equal parts (``fine``), and
+    the last of each ``block`` of them (``coarse``).
+
+    They come from a sample of fixed size, the rows with the smallest hashes, so the same rows give
+    the same bounds however often this runs.
+    """
+    hashed = [f.name for f in hot_rows.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    rows = hot_rows.select(F.struct(*sort).alias("at"), F.xxhash64(*hashed).alias("hash"))
+    sample = rows.orderBy("hash", "at").limit(SAMPLES_PER_SLICE * slices)
+    every = F.greatest(F.ceil(F.size("all") / slices).cast("int"), F.lit(1))
+    inner = F.array_distinct(F.filter("all", lambda _, i: (i > 0) & (i % F.col("every") == 0)))
+    fine = (
+        sample.agg(F.array_sort(F.collect_list("at")).alias("all"))
+        .withColumn("every", every)
+        .select(inner.alias("fine"))
+    )
+    coarse = F.filter("fine", lambda _, i: i % block == block - 1)
+    return fine.select(F.struct(coarse.alias("coarse"), "fine"))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], sort: Sequence[str], hot: list[int], slices: int) -> DataFrame:
     """``df`` with ``_slice``, 0 for most rows.
 
-    Rows of hot keys are cut by ``order`` into slices of equal size, numbered upwards. That
-    takes one scan for the percentiles of ``order`` over these rows.
+    Rows of hot keys are cut by the whole of ``sort`` into slices of about equal size, numbered
+    upwards, so rows of one time or of a text order are cut like others. Only rows that are equal in
+    all of ``sort`` stay together. A row finds its slice in two steps, among the bounds of blocks
+    and within one block.
     """
     is_hot = F.xxhash64(*keys).isin(hot)
-    numbered = df.withColumn("_number", F.when(is_hot, _as_number(df, order)))
-    shares = [i / slices for i in range(1, slices)]
-    bounds = numbered.agg(F.percentile_approx("_number", shares, PERCENTILE_ACCURACY)).first()[0]
-    inner = sorted({b for b in bounds or [] if math.isfinite(b)})
-    edges = [float("-inf"), *inner, float("inf")]
-    if len(edges) == 2:
-        return numbered.withColumn("_slice", F.lit(0)).drop("_number")
-    cut = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
-    # A row without order comes before all others, as it does in a sort.
-    slice_ = F.when(is_hot, F.coalesce(F.col("_bucket").cast("int") + 1, F.lit(0))).otherwise(0)
-    return cut.transform(numbered).withColumn("_slice", slice_).drop("_number", "_bucket")
+    block = max(1, round(slices**0.5))
+    bounds = _bounds(df.where(is_hot), sort, slices, block).scalar()
+    at = F.struct(*sort)
+
+    def passed(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b <= F.col("_cut_at")))
+
+    blocks = passed(F.col("_cut_bounds")["coarse"]) * block
+    within = passed(F.slice(F.col("_cut_bounds")["fine"], blocks + 1, F.lit(block)))
+    marked = df.withColumns({"_cut_at": F.when(is_hot, at), "_cut_bounds": F.when(is_hot, bounds)})
+    number = F.when(F.col("_cut_at").isNotNull(), blocks + within).otherwise(0)
+    return marked.withColumn("_slice", number).drop("_cut_at", "_cut_bounds")
 
 
 def with_previous(
@@ -94,21 +107,20 @@ def with_previous(
 
     A plain ``lag`` puts all rows of a key into one task, which is fine unless a key holds much
     of the table. Such keys are looked for first. Without any, the plain ``lag`` it is. With
-    some, their rows are cut by ``order`` into slices, so that no window holds more than about
-    one slice. Only the first row of a hot key in a slice looks further back: it takes the last
+    some, their rows are cut by ``order`` and ``tie`` into slices, so that no window holds more than
+    about one slice. Only the first row of a hot key in a slice looks further back: it takes the last
     value of the key in an earlier slice, from a summary of one row per hot key and slice.
 
-    ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window,
-    which also serves an ``order`` that is neither a number nor a time.
+    ``slices`` defaults to the shuffle partitions of the session; 1 asks for the plain window. Any
+    types that sort will do. Nulls come first.
     """
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = min(conf if slices is None else slices, MAX_SLICES)
     sort = [order, *tie]
-    cuttable = count > 1 and _as_number(df, order) is not None
-    hot = hot_keys(df, keys, count) if cuttable else []
+    hot = hot_keys(df, keys, count) if count > 1 else []
     if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*sort)))
-    cut = _sliced(df, keys, order, hot, count)
+    cut = _sliced(df, keys, sort, hot, count)
     place = [*keys, "_slice"]
     ends = (
         cut.filter(F.xxhash64(*keys).isin(hot))

@@ -440,6 +440,22 @@ def previous_values(spark, folder):
     return found.select("event_id", "previous")
 
 
+@query(
+    "previous_by_text",
+    """
+    SELECT event_id, lag(event_id) OVER (PARTITION BY CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END
+                                         ORDER BY event_type, props NULLS FIRST, event_id) AS previous FROM events
+    """,
+)
+def previous_by_text(spark, folder):
+    """Half of all events are one user's, in the order of a text with five values."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.expr("CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END").alias("user"), "event_type", "props"
+    )
+    found = with_previous(events, ["user"], "event_type", "event_id", "previous", ["props", "event_id"], slices=16)
+    return found.select("event_id", "previous")
+
+
 @query(
     "batch_summary",
     f"""
