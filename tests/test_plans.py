@@ -7,6 +7,7 @@ from tidegate.operators import statistics, tables, tracking
 from tidegate.operators.latest import latest_per_key
 from tidegate.plans import catalog, inputs, jobs
 from tidegate.sinks import files as sink
+from tidegate.sources import inventory
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -120,3 +121,13 @@ def _final_plan(df):
     execution = df._jdf.queryExecution()
     execution.executedPlan().execute().count()
     return execution.executedPlan().toString()
+
+
+def test_header_width_sorts_no_lines(spark, tmp_path):
+    for i, line in enumerate(('a,"b,c",d', "a,b", "", "a||b||", '"a""b"')):
+        (tmp_path / f"{i}.csv").write_text(f"{line}\n1,2,3,4,5,6\n")
+    df = inventory.lines_and_columns(spark, str(tmp_path))
+    assert "SortAggregate" not in plan(df) and "HashAggregate" in plan(df)
+    assert [r.column_count for r in df.orderBy("path").collect()] == [3, 2, 1, 1, 1]
+    wide = inventory.header_columns(spark, str(tmp_path), "||").orderBy("path").collect()
+    assert [r.column_count for r in wide] == [1, 1, 1, 3, 1]

@@ -224,25 +224,28 @@ def count_records(
 def _width(header: Column, delimiter: str) -> Column:
     """Columns that a header line names; quoted delimiters do not count."""
     quoted = F.regexp_replace(header, r'"([^"]|"")*"', "")
-    return F.size(F.split(quoted, F.lit(re.escape(delimiter)), F.lit(-1)))
+    parts = F.size(F.split(quoted, F.lit(re.escape(delimiter)), F.lit(-1)))
+    spare = F.length(header) - F.length(F.replace(header, F.lit(delimiter)))
+    plain = F.lit(1) + (spare / len(delimiter)).cast("int")
+    return F.when(F.contains(header, F.lit('"')), parts).otherwise(plain)
 
 
 def lines_and_columns(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
     """Lines after the header, and columns of the header, per delimited file, in one scan.
 
-    Splits count their lines; of all text only the first line of a file goes beyond its task.
+    Splits count their lines. Each line of a first split becomes the number of its columns before
+    the aggregate, so no text is sorted or shuffled.
     """
     starts = F.col("_metadata.file_block_start") == 0
     at = F.when(starts, F.monotonically_increasing_id())
-    lines = _lines(spark, path).select(F.col(FILE_PATH).alias("path"), at.alias("at"), "value")
-    found = lines.groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"), F.min_by("value", "at").alias("header")
+    lines = _lines(spark, path).select(
+        F.col(FILE_PATH).alias("path"), at.alias("at"), F.when(starts, _width(F.col("value"), delimiter)).alias("width")
     )
-    return found.select(
-        "path",
-        F.greatest(F.col("lines") - 1, F.lit(0)).cast("bigint").alias("records"),
-        _width(F.col("header"), delimiter).alias("column_count"),
+    found = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.min_by("width", "at").alias("column_count")
     )
+    records = F.greatest(F.col("lines") - 1, F.lit(0)).cast("bigint")
+    return found.select("path", records.alias("records"), "column_count")
 
 
 def header_columns(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
