@@ -1,5 +1,6 @@
 """Near copies: keys, fingerprints and the ring, then groups against all pairs."""
 
+import itertools
 import random
 
 import numpy as np
@@ -179,6 +180,32 @@ def test_crowded_places(spark, monkeypatch, few):
     assert got == {i: r for i, r in want.items() if i != r} and len(got) == 15
 
 
+def test_near_copies_that_share_crowded_places_alone(spark, monkeypatch):
+    """Texts are passages of a small stock; near copies differ where two passages meet."""
+    monkeypatch.setattr(near_copies, "BLOCK", 16)
+    monkeypatch.setattr(near_copies, "LEARN", 50)
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("aeioudlnrst") for _ in range(draw.randint(2, 9)))
+    stock = [[word() for _ in range(60)] for _ in range(12)]
+    chosen = draw.sample(list(itertools.permutations(range(12), 3)), 300)
+    made = [[w for k in some for w in stock[k]] for some in chosen]
+    made += [[word() if i in (60, 120) else w for i, w in enumerate(some)] for some in made[:100]]
+    draw.shuffle(made)
+    texts = {i: " ".join(words) for i, words in enumerate(made)}
+    places = {i: set(near_copies.chunk_keys(next(near_copies.hashed_words([t])))) for i, t in texts.items()}
+    prints = {i: near_copies.fingerprint(shingles(t)) for i, t in texts.items()}
+
+    def linked(a, b):
+        close = near_copies.near((prints[a] ^ prints[b])[None, :])[0]
+        return close and bool(places[a] & places[b]) and jaccard(texts[a], texts[b]) >= 0.8
+
+    want = brute_components(sorted(texts), linked)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, "doc_id", "text").collect()}
+    assert len(got) > 200
+    assert got == {i: r for i, r in want.items() if i != r}
+
+
 def test_scratch_is_removed(spark, monkeypatch):
     """Tables made on the way go; the result stays."""
     paths = []

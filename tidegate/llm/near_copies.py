@@ -10,7 +10,10 @@ within RADIUS is compared by its shingles: sketches settle the clear cases, whol
 Equal texts are one text. Under a key all texts meet two of them, the same for all keys as far as
 possible, so a group of any size gives two rows for each of its texts and keys. What that leaves
 apart meets again: under a key of up to FEW texts, all whose groups differ are compared by
-fingerprints; under one of more texts, each meets MORE others that are picked by hashes.
+fingerprints. Texts under keys of more are joined by their rarest shingles (prefix filtering): sets
+with a similarity of t share one of the n - ceil(t n) + 1 first of either, in any order of shingles
+that is the same for all. Which are frequent is learned from some of the texts, and decides the
+order alone, so no pair is lost. Texts of one such shingle are dealt to squares of BLOCK by BLOCK.
 """
 
 from __future__ import annotations
@@ -45,8 +48,12 @@ RADIUS = 40
 #: are keys alone. Near copies differ by a quarter in length at most, so that they share a way to
 #: be cut: the ranges overlap by as much.
 CHUNKS = ((2, 0, 30, True), (4, 24, 80, True), (8, 64, 200, True), (16, 160, 1 << 62, False))
-#: Texts under a key up to which all of different groups are compared; of more, others to meet.
-FEW, MORE = 64, 4
+#: Texts under a key up to which all of different groups are compared at once.
+FEW = 64
+#: Texts under a shingle that are compared at once with as many others; of more, block by block.
+BLOCK = 256
+#: Texts from which frequent shingles are learned, and how many of these: an order, never a choice.
+LEARN, FREQUENT = 20_000, 500_000
 #: Keys of texts that are broadcast to pick them from the documents (some 16 MB).
 MOST_BROADCAST = 1_000_000
 #: Shingle hashes in a sketch, and how near to the threshold its estimate decides nothing (four
@@ -127,7 +134,7 @@ def on_ring(differ: np.ndarray) -> np.ndarray:
     A chain of l segments may differ in l * RADIUS / SEGMENTS bits; if the whole distance is
     within RADIUS there is a segment from which all chains do.
     """
-    parts = np.bitwise_count(np.ascontiguousarray(differ).view(np.uint16)).reshape(len(differ), -1)
+    parts = np.bitwise_count(np.ascontiguousarray(differ).view(np.uint16)).reshape(len(differ), SEGMENTS)
     around = np.concatenate((parts, parts), axis=1).astype(np.int64)
     budget = np.arange(1, SEGMENTS + 1) * RADIUS
     found = np.zeros(len(differ), dtype=bool)
@@ -181,43 +188,119 @@ def first_candidates(met: DataFrame) -> DataFrame:
     return ends.where("node != other").select(*_pairs("node", "other")).distinct()
 
 
-def more_candidates(met: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of nodes that share a place but are in different groups (``node, root``)."""
+def more_candidates(
+    met: DataFrame, prints: DataFrame, roots: DataFrame, source: DataFrame, size: int, least: float
+) -> DataFrame:
+    """Pairs ``a, b`` of nodes that share a place but are in different groups (``node, root``).
+
+    All that may be near copies; those under a place of over FEW texts only if they share a shingle
+    among the first of either (:func:`first_shingles`), as all with a similarity of ``least`` do.
+    """
     known = met.select("place", "node", "c").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     split = known.groupBy("place").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
     open_ = known.join(split.where("r0 != r1").select("place"), "place")
     open_ = common.written(open_, "open-places")
 
-    few = open_.where(F.col("c") <= FEW).join(prints.select("node", "n", "f1", "f2"), "node")
-    one = F.struct("node", "root", "n", "f1", "f2")
-    few = few.groupBy("place").agg(F.sort_array(F.collect_list(one)).alias("all"))  # FEW at most
-    within = few.select("all").mapInArrow(_meet, "a long, b long").distinct()
+    few = open_.where(F.col("c") <= FEW).select("place", F.lit(0).alias("part"), "node", "root")
+    within = _met_pairs(few.join(prints.drop("id"), "node"), ["place"])
 
     many = open_.where(F.col("c") > FEW)
-    picks = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "root")) for i in range(MORE)]
-    picked = many.groupBy("place").agg(F.array(*picks).alias("picked"))
-    others = F.expr("array_distinct(filter(picked, p -> p.root != root).node)")
-    # texts of one passage have the same others under each of its keys
-    across = many.join(picked, "place").select("node", others.alias("others")).distinct()
-    across = across.select("node", F.explode("others").alias("other"))
-    return within.union(across.select(*_pairs("node", "other")).distinct()).distinct()
+    places = many.groupBy("node").agg(F.first("root").alias("root"), F.collect_set("place").alias("places"))
+    places = common.written(places, "crowded")
+    if places.isEmpty():
+        return within
+    firsts = first_shingles(places.join(prints, "node").select("node", "id"), source, size, least)
+    shared = firsts.join(places.select("node", "root"), "node")
+    counts = shared.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1")
+    )
+    shared = shared.join(counts.where("r0 != r1").select("shingle", "c"), "shingle")
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    # a text meets its own block and each other one, in the square of both
+    shared = shared.withColumn("blocks", blocks).withColumn("part", F.expr("int(pmod(xxhash64(node), blocks))"))
+    shared = shared.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    square = [F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")]
+    shared = shared.select("shingle", *square, "part", "node", "root").join(prints.drop("id"), "node")
+    across = common.written(_met_pairs(shared, ["shingle", "i", "j"]), "crowded-pairs")
+    for end in ("a", "b"):
+        held = places.select(F.col("node").alias(end), F.col("places").alias(f"places_{end}"))
+        across = across.join(held, end)
+    across = across.where(F.arrays_overlap("places_a", "places_b")).select("a", "b")
+    return within.union(across).distinct()
+
+
+def first_shingles(wanted: DataFrame, source: DataFrame, size: int, least: float) -> DataFrame:
+    """``node, shingle`` of the texts of ``wanted`` (node, id): of each the first of its shingles in
+    the order of their frequency, as many as sets with a similarity of ``least`` have to share one.
+
+    Frequencies are learned from LEARN texts, those whose hashes are smallest by a remainder. What
+    they lack comes first, in the order of the hashes; the order is the same for all texts.
+    """
+    key, kind = source.columns[0], source.schema[0]
+    spark = source.sparkSession
+    every = max(1, -(-wanted.count() // LEARN))
+    some = wanted.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(every)) == 0).select(F.col("id").alias(key))
+    sets = _drawn_of(some, source, lambda words: shingle_set(words, size).tobytes())
+    seen = _unpacked(sets, kind).groupBy("shingle").count().where("count > 1")
+    seen = seen.orderBy(F.desc("count"), "shingle").limit(FREQUENT).select("shingle").collect()
+    frequent = np.array([r.shingle for r in seen], dtype=np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    shared = spark.sparkContext.broadcast((frequent[order], len(frequent) - order))
+
+    def firsts(words: np.ndarray) -> bytes:
+        found = shingle_set(words, size)
+        known, places = shared.value
+        rank = np.zeros(len(found), dtype=np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            rank = np.where(known[at] == found, places[at], 0)
+        count = len(found) - int(np.ceil(least * len(found) - 1e-6)) + 1
+        return found[np.lexsort((found, rank))[:count]].tobytes()
+
+    drawn = _drawn_of(wanted.select(F.col("id").alias(key)), source, firsts)
+    found = _unpacked(drawn, kind).select(F.xxhash64(key).alias("node"), "shingle")
+    return common.written(found, "first-shingles")
+
+
+def _unpacked(drawn: DataFrame, kind: StructField) -> DataFrame:
+    """``key, shingle``: a row for each hash of the bytes ``drawn``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
+            made = [batch.column(0), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, names=[kind.name, "shingles"])
+
+    lists = drawn.mapInArrow(run, StructType([kind]).add("shingles", ArrayType(LongType())))
+    return lists.select(kind.name, F.explode("shingles").alias("shingle"))
+
+
+def _met_pairs(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Pairs ``a, b`` of the nodes that meet by columns ``by``, 2 * BLOCK or so at most in each."""
+    one = F.struct("node", "root", "n", "f1", "f2", "part")
+    lists = rows.groupBy(*by).agg(F.sort_array(F.collect_list(one)).alias("all"))
+    return lists.select("all").mapInArrow(_meet, "a long, b long").distinct()
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each list, the pairs of different groups whose fingerprints are near."""
+    """Of each list, the pairs of different groups whose fingerprints are near; of different parts
+    if there are two."""
     for batch in batches:
         lists = batch.column(0)
         offsets, flat = lists.offsets.to_numpy(), lists.values
         node, root, size = (flat.field(i).to_numpy() for i in range(3))
         prints = np.stack([flat.field(i).to_numpy() for i in (3, 4)], axis=1).reshape(-1, 2)
+        part = flat.field(5).to_numpy()
         found_a, found_b = [], []
         for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             i, j = np.triu_indices(high - low, 1)
             i, j = i + low, j + low
-            apart = root[i] != root[j]
+            apart = (root[i] != root[j]) & _same_size(size[i], size[j])
+            if (part[low:high] != part[low]).any():
+                apart &= part[i] != part[j]
             i, j = i[apart], j[apart]
-            fits = near(prints[i] ^ prints[j]) & _same_size(size[i], size[j])
+            fits = near(prints[i] ^ prints[j])
             found_a.append(node[i[fits]])
             found_b.append(node[j[fits]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
@@ -288,15 +371,24 @@ def alike(pairs: DataFrame, source: DataFrame, size: int, least: float) -> DataF
 
 
 def _drawn(pairs: DataFrame, source: DataFrame, draw: Callable[[np.ndarray], bytes]) -> DataFrame:
-    """``a, b, x, y``: the pairs with what ``draw`` makes of the words of either text.
+    """``a, b, x, y``: the pairs with what ``draw`` makes of the words of either text."""
+    key = source.columns[0]
+    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
+    drawn = _drawn_of(wanted.distinct(), source, draw)
+    left = drawn.select(F.col(key).alias("a"), F.col("drawn").alias("x"))
+    right = drawn.select(F.col(key).alias("b"), F.col("drawn").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
 
-    Only the texts of the pairs are read on; up to MOST_BROADCAST keys, counted first, go to the
-    texts, and beyond that texts are shuffled to them. Of rows with one key the text with the
-    smallest digest counts.
+def _drawn_of(wanted: DataFrame, source: DataFrame, draw: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """The keys of ``wanted`` with ``drawn``, what ``draw`` makes of the words of their texts.
+
+    Only these texts are read on; up to MOST_BROADCAST keys, counted first, go to the texts, and
+    beyond that texts are shuffled to them. Of rows with one key the text with the smallest digest
+    counts.
     """
     key, kind = source.columns[0], source.schema[0]
-    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key)))
-    wanted = common.written(wanted.distinct(), "wanted")
+    wanted = common.written(wanted, "wanted")
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
     wanted = source.join(wanted, key, "left_semi")
@@ -313,10 +405,7 @@ def _drawn(pairs: DataFrame, source: DataFrame, draw: Callable[[np.ndarray], byt
     schema = StructType([kind]).add("digest", BinaryType()).add("drawn", BinaryType())
     drawn = wanted.mapInArrow(run, schema).groupBy(key)
     drawn = drawn.agg(F.min(F.struct("digest", "drawn")).getField("drawn").alias("drawn"))
-    drawn = common.written(drawn, "drawn")
-    left = drawn.select(F.col(key).alias("a"), F.col("drawn").alias("x"))
-    right = drawn.select(F.col(key).alias("b"), F.col("drawn").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return common.written(drawn, "drawn")
 
 
 def near_copies(
@@ -375,7 +464,7 @@ def _near_copies(source: DataFrame, key: str, size: int, least: float) -> DataFr
     links = common.written(alike(pairs, source, size, least), "links")
     found = common.written(components(links), "groups")
     roots = found.select(F.xxhash64("node").alias("node"), F.xxhash64("root").alias("root"))
-    more = more_candidates(met, nodes, roots)
+    more = more_candidates(met, nodes, roots, source, size, least)
     more = common.written(ring_pairs(more, nodes, kind), "more-candidates")
     more = common.written(alike(more, source, size, least), "more-links")
     if not more.isEmpty():
