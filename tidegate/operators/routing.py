@@ -73,7 +73,8 @@ def route_by_table(files: DataFrame, mappings: DataFrame, path: str = "file_path
     A key can only match its own leading parts, so each file offers one candidate per prefix
     length in use, and an equality join finds the mappings: no comparison of every file with
     every mapping. Adaptive execution broadcasts the mappings when they are measured small and
-    splits a prefix that most files share. Among the hits of a file the longest wins.
+    splits a prefix that most files share. Among the hits of a file the longest wins: their lengths
+    alone are compared, in a hash aggregate, and the mapping comes after that.
     """
     first = mappings.groupBy("s3_prefix").agg(F.min_by(F.struct("*"), "position").alias("mapping"))
     lengths = mappings.agg(F.collect_set(F.length("s3_prefix"))).first()[0]
@@ -82,12 +83,14 @@ def route_by_table(files: DataFrame, mappings: DataFrame, path: str = "file_path
         F.array(*(F.left(key, F.lit(n)) for n in sorted(lengths, reverse=True))),
         lambda part: part.isNotNull(),
     )
-    hits = (
+    longest = (
         files.select(path, F.explode(F.array_distinct(candidates)).alias("s3_prefix"))
-        .join(first, "s3_prefix")
+        .join(first.select("s3_prefix"), "s3_prefix", "left_semi")
         .groupBy(path)
-        .agg(F.max_by("mapping", F.length("s3_prefix")).alias("mapping"))
+        .agg(F.max(F.length("s3_prefix")).alias("_length"))
     )
+    hits = longest.select(path, F.left(key, F.col("_length")).alias("s3_prefix"))
+    hits = hits.join(first, "s3_prefix").select(path, "mapping")
     return files.join(hits, path, "left").withColumn(
         "route_error", route_error(F.col(path), F.col("mapping.target_name"))
     )
