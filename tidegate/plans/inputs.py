@@ -7,6 +7,7 @@ SQL start from the same rows. Faults are spread over whole tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegate.plans.registry import table
 
@@ -71,3 +72,14 @@ def columns(spark: SparkSession, folder: str, name: str, expressions: tuple[str,
 def select(name: str, expressions: tuple[str, ...]) -> str:
     """The same columns as a SQL subquery."""
     return f"(SELECT {', '.join(expressions)} FROM {name})"
+
+
+def pieces(df: DataFrame, rows: int) -> int:
+    """Pieces of about ``rows`` rows that a table makes, one at least."""
+    return max(1, -(-df.count() // rows))
+
+
+def spread(df: DataFrame, count: int) -> DataFrame:
+    """Rows dealt in turn to ``count`` tasks, which are as large as each other; nothing is sorted."""
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(count)).cast("int")
+    return df.select("*", turn.alias("__turn")).repartitionById(count, "__turn").drop("__turn")

@@ -165,16 +165,22 @@ def stream_arrivals(spark, folder):
     return _shown(spark.read.parquet(log))
 
 
+#: Rows of a file of announcements; a batch takes as many files as the table needs.
+ANNOUNCED_ROWS = 200_000
+
+
 @query("stream_announced_once", f"SELECT *, 1 AS times FROM ({ARRIVALS_SQL})")
 def stream_announced_once(spark, folder):
     """Every file is announced in three batches; the state store lets the first through."""
     source = work_folder(spark, "announced")
+    control = inputs.columns(spark, folder, "documents", CONTROL)
+    files = inputs.pieces(control, ANNOUNCED_ROWS)
     for _ in range(3):
-        inputs.columns(spark, folder, "documents", CONTROL).coalesce(1).write.mode("append").json(source)
+        inputs.spread(control, files).write.mode("append").json(source)
     log = work_folder(spark, "decided")
     finish(
         arrivals.on_arrival(
-            arrivals.stream_announcements(spark, source, "1 hour", files_per_batch=1),
+            arrivals.stream_announcements(spark, source, "1 hour", files_per_batch=files),
             lambda: inputs.columns(spark, folder, "documents", STORED),
             SOURCES,
             work_folder(spark, "out"),
