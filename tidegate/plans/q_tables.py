@@ -14,6 +14,9 @@ from tidegate.session import work_folder
 from tidegate.sinks import files as sink
 from tidegate.sources import inventory
 
+#: Rows of a large file of the tables that are made here, whatever the size of the input.
+FILE_ROWS = 2_000_000
+
 ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 # New prices of orders, made from their items; some are for orders that do not exist yet.
@@ -226,13 +229,17 @@ def compacted_small_only(spark, folder):
 
 @query("packed_small_files", "SELECT *, true AS fewer, true AS within_target, true AS large_stay FROM lineitem")
 def packed_small_files(spark, folder):
-    """Each value of a partition column has a large file and small ones of many sizes."""
+    """Each value of a partition column has a large file for FILE_ROWS rows of the table, and small
+    ones of many sizes."""
     path, new = work_folder(spark, "mixed"), work_folder(spark, "packed")
     lines = table(spark, folder, "lineitem")
     by = ["l_returnflag"]
-    lines.filter("l_orderkey % 4 > 0").coalesce(1).write.partitionBy(*by).parquet(path)
-    uneven = F.pmod(F.floor(F.sqrt("l_orderkey")), F.lit(24)).cast("int")
-    small = lines.filter("l_orderkey % 4 = 0").repartitionById(24, uneven)
+    large = inputs.pieces(lines, FILE_ROWS)
+    inputs.spread(lines.filter("l_orderkey % 4 > 0"), large).write.partitionBy(*by).parquet(path)
+    uneven = F.pmod(F.floor(F.sqrt("l_orderkey")), F.lit(24)) * large
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(large))
+    small = lines.filter("l_orderkey % 4 = 0").select("*", (uneven + turn).cast("int").alias("_task"))
+    small = small.repartitionById(24 * large, "_task").drop("_task")
     small.write.mode("append").partitionBy(*by).parquet(path)
     files = inventory.list_files(spark, path)
     target = files.agg(F.max("size")).first()[0]
