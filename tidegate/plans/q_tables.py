@@ -213,17 +213,19 @@ def compacted_table(spark, folder):
 
 @query("compacted_small_only", "SELECT *, true AS large_files_stay FROM lineitem")
 def compacted_small_only(spark, folder):
-    """A table of one large file and many small ones: all its rows, and where they are read from."""
+    """A table of large files, one for FILE_ROWS rows, and 12 times as many small ones: all its rows,
+    and where they are read from."""
     path, new = work_folder(spark, "mixed"), work_folder(spark, "joined")
     lines = table(spark, folder, "lineitem")
-    lines.filter("l_orderkey % 4 > 0").coalesce(1).write.parquet(path)
-    lines.filter("l_orderkey % 4 = 0").repartition(12).write.mode("append").parquet(path)
-    limit = inventory.list_files(spark, path).agg(F.max("size")).first()[0]
+    large = inputs.pieces(lines, FILE_ROWS)
+    inputs.spread(lines.filter("l_orderkey % 4 > 0"), large).write.parquet(path)
+    inputs.spread(lines.filter("l_orderkey % 4 = 0"), 12 * large).write.mode("append").parquet(path)
+    limit = inventory.list_files(spark, path).orderBy(F.desc("size")).limit(large).agg(F.min("size")).first()[0]
     made = tables.compact_small(spark, path, new, target_bytes=limit)
     read = tables.read_compacted(spark, path, new, limit)
     found = read.select(F.input_file_name().contains(path).alias("old"), F.input_file_name().alias("file"))
     files = {r.old: r["count"] for r in found.distinct().groupBy("old").count().collect()}
-    stay = made and files[True] == 1 and files[False] < 12
+    stay = made and files[True] == large and files[False] < 12 * large
     return read.withColumn("large_files_stay", F.lit(stay))
 
 
@@ -262,12 +264,13 @@ def overwritten_by_bytes(spark, folder):
     """The cap of the second write comes from the files of the first."""
     path, new = work_folder(spark, "as-it-was"), work_folder(spark, "by-bytes")
     orders = table(spark, folder, "orders")
-    sink.write(orders.coalesce(1), path)
+    large = inputs.pieces(orders, FILE_ROWS)
+    sink.write(inputs.spread(orders, large), path)
     target = inventory.list_files(spark, path).agg(F.max("size")).first()[0] // 4
-    packing.overwrite_by_bytes(orders.coalesce(1), new, target, like=path)
+    packing.overwrite_by_bytes(inputs.spread(orders, large), new, target, like=path)
     count, most = inventory.list_files(spark, new).agg(F.count(F.lit(1)), F.max("size")).first()
     # Footers and dictionaries, which every file has, weigh in small files.
-    return spark.read.parquet(new).withColumn("within_target", F.lit(4 <= count <= 6 and most <= 2 * target))
+    return spark.read.parquet(new).withColumn("within_target", F.lit(4 * large <= count <= 6 * large and most <= 2 * target))
 
 
 @query(
