@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -234,16 +234,18 @@ def compact(
 
 
 def _dealt(table: DataFrame, sizes: DataFrame, partition_by: Sequence[str], target_bytes: int) -> DataFrame:
-    """Rows dealt to tasks, as many for each partition value as its ``bytes`` need."""
+    """Rows dealt to tasks, as many for each partition value as its ``bytes`` need; no task has rows
+    of two values."""
     needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
-    slots = sizes.select(*partition_by, needed.alias("_slots"))
+    before = Window.orderBy(*partition_by).rowsBetween(Window.unboundedPreceding, -1)  # a row per value
+    first = F.coalesce(F.sum("_slots").over(before), F.lit(0)).alias("_first")
+    slots = sizes.select(*partition_by, needed.alias("_slots")).select("*", first)
     files = int(slots.agg(F.sum("_slots")).first()[0] or 1)
     match = reduce(Column.__and__, (table[c].eqNullSafe(slots[c]) for c in partition_by))
     # Rows take turns, so that copies of one row do not all meet in one file. The tasks of one
-    # value follow each other from a place that its hash gives, so they are all different.
+    # value follow those of the value before.
     turn = F.pmod(F.monotonically_increasing_id(), F.coalesce("_slots", F.lit(1)))
-    first = F.xxhash64(*(table[c] for c in partition_by))
-    place = F.pmod(F.pmod(first, F.lit(files)) + turn, F.lit(files)).cast("int")
+    place = (F.coalesce("_first", F.lit(0)) + turn).cast("int")
     return (
         table.join(slots, match, "left")
         .select(*(table[c] for c in table.columns), place.alias("_task"))

@@ -201,7 +201,8 @@ def snapshot_history(spark, folder):
 )
 def compacted_table(spark, folder):
     path, new = work_folder(spark, "scattered"), work_folder(spark, "compact")
-    table(spark, folder, "lineitem").repartition(24).write.parquet(path)
+    items = table(spark, folder, "lineitem")
+    inputs.spread(items, max(24, 2 * inputs.pieces(items, FILE_ROWS))).write.parquet(path)
     tables.compact(spark, path, new)
     fewer = inventory.list_files(spark, new).count() < inventory.list_files(spark, path).count()
     return spark.read.parquet(new).agg(
@@ -280,8 +281,9 @@ def overwritten_by_bytes(spark, folder):
 )
 def compacted_partitions(spark, folder):
     path, new = work_folder(spark, "scattered"), work_folder(spark, "compact")
-    items = table(spark, folder, "lineitem").repartition(8)
-    items.write.partitionBy("l_returnflag").parquet(path)
+    items = table(spark, folder, "lineitem")
+    count = max(8, 2 * inputs.pieces(items, FILE_ROWS))
+    inputs.spread(items, count).write.partitionBy("l_returnflag").parquet(path)
     tables.compact(spark, path, new, ["l_returnflag"])
     return (
         spark.read.parquet(new)
