@@ -206,6 +206,54 @@ def test_near_copies_that_share_crowded_places_alone(spark, monkeypatch):
     assert got == {i: r for i, r in want.items() if i != r}
 
 
+def test_no_table_grows_with_the_square_of_a_group(spark, monkeypatch):
+    """Texts of a form, most pairs below the similarity, and copies of some of them."""
+    draw = random.Random(13)
+    word = lambda: "".join(draw.choice("aeioudlnrst") for _ in range(draw.randint(2, 9)))
+    form, made = [word() for _ in range(120)], []
+    for i in range(280):
+        made.append(form[:])
+        for at in draw.sample(range(10, 110), 3):
+            made[-1][at] = word()
+        if i % 14 == 0:
+            made.append(made[-1][:-1])
+    draw.shuffle(made)
+    texts = {i: " ".join(words) for i, words in enumerate(made)}
+    want = brute_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    rows, before = {}, common.written
+
+    def counted(table, label):
+        found = before(table, label)
+        rows[label] = max(rows.get(label, 0), found.count())
+        return found
+
+    monkeypatch.setattr(common, "written", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, "doc_id", "text").collect()}
+    assert got == {i: r for i, r in want.items() if i != r} and len(got) < 150
+    assert max(rows.values()) < len(texts) ** 2 / 4, rows
+
+
+@pytest.mark.parametrize("values", [300, 4_000_000])
+def test_in_common_and_forest(monkeypatch, values):
+    monkeypatch.setattr(near_copies, "VALUES", values)
+    monkeypatch.setattr(near_copies, "COLUMNS", 7)
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 200, draw.integers(0, 60))).astype(np.uint64) for _ in range(40)]
+    want = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert (near_copies.in_common(sets) * (1 - np.eye(40)) == np.array(want) * (1 - np.eye(40))).all()
+    groups = np.arange(40) // 2
+    linked = draw.random((40, 40)) < 0.03
+    linked |= linked.T
+    edges = near_copies.forest(linked, groups)
+    assert all(linked[i, j] for i, j in edges) and len(edges) < 20
+    ends = {(int(groups[i]), int(groups[j])) for i, j in edges}
+    assert len({frozenset(e) for e in ends}) == len(edges)
+    all_ends = {(int(groups[i]), int(groups[j])) for i, j in np.argwhere(linked)}
+    every = brute_components(list(range(20)), lambda a, b: (a, b) in all_ends)
+    assert brute_components(list(range(20)), lambda a, b: (a, b) in ends or (b, a) in ends) == every
+
+
 def test_scratch_is_removed(spark, monkeypatch):
     """Tables made on the way go; the result stays."""
     paths = []

@@ -9,11 +9,13 @@ within RADIUS is compared by its shingles: sketches settle the clear cases, whol
 
 Equal texts are one text. Under a key all texts meet two of them, the same for all keys as far as
 possible, so a group of any size gives two rows for each of its texts and keys. What that leaves
-apart meets again: under a key of up to FEW texts, all whose groups differ are compared by
-fingerprints. Texts under keys of more are joined by their rarest shingles (prefix filtering): sets
-with a similarity of t share one of the n - ceil(t n) + 1 first of either, in any order of shingles
-that is the same for all. Which are frequent is learned from some of the texts, and decides the
-order alone, so no pair is lost. Texts of one such shingle are dealt to squares of BLOCK by BLOCK.
+apart meets again: under a key of up to FEW texts all whose groups differ. Texts under keys of more
+are joined by their rarest shingles (prefix filtering): sets with a similarity of t share one of the
+n - ceil(t n) + 1 first of either, in any order of shingles that is the same for all. Which are
+frequent is learned from some of the texts, and decides the order alone, so no pair is lost. Keys and
+shingles that hold much the same texts are one, and the texts of one are dealt to squares of BLOCK by
+BLOCK. In these fingerprints pick the texts that may have links, whole sets decide all their pairs,
+and what comes out is a forest of the groups, not the pairs.
 """
 
 from __future__ import annotations
@@ -52,6 +54,8 @@ CHUNKS = ((2, 0, 30, True), (4, 24, 80, True), (8, 64, 200, True), (16, 160, 1 <
 FEW = 64
 #: Texts under a shingle that are compared at once with as many others; of more, block by block.
 BLOCK = 256
+#: Values of sets of a block that are sorted at once, and of these that are compared by at once.
+VALUES, COLUMNS = 4_000_000, 4096
 #: Texts from which frequent shingles are learned, and how many of these: an order, never a choice.
 LEARN, FREQUENT = 20_000, 500_000
 #: Keys of texts that are broadcast to pick them from the documents (some 16 MB).
@@ -144,10 +148,15 @@ def on_ring(differ: np.ndarray) -> np.ndarray:
     return found
 
 
+def within_radius(differ: np.ndarray) -> np.ndarray:
+    """Whether RADIUS bits (of two integers a row) or fewer differ."""
+    return np.bitwise_count(differ.view(np.uint64)).sum(axis=1) <= RADIUS
+
+
 def near(differ: np.ndarray) -> np.ndarray:
     """Whether fingerprints are within RADIUS; the ring spares most pairs the whole distance."""
     out = on_ring(differ)
-    out[out] = np.bitwise_count(differ[out].view(np.uint64)).sum(axis=1) <= RADIUS
+    out[out] = within_radius(differ[out])
     return out
 
 
@@ -188,13 +197,14 @@ def first_candidates(met: DataFrame) -> DataFrame:
     return ends.where("node != other").select(*_pairs("node", "other")).distinct()
 
 
-def more_candidates(
+def more_links(
     met: DataFrame, prints: DataFrame, roots: DataFrame, source: DataFrame, size: int, least: float
 ) -> DataFrame:
-    """Pairs ``a, b`` of nodes that share a place but are in different groups (``node, root``).
+    """Links ``a, b`` of keys that share a place and are in different groups (``node, root``).
 
-    All that may be near copies; those under a place of over FEW texts only if they share a shingle
-    among the first of either (:func:`first_shingles`), as all with a similarity of ``least`` do.
+    As many as connect all such groups that are linked: a block of texts gives a forest of its
+    groups, never its pairs. Texts under a place of over FEW meet if they share a shingle among the
+    first of either (:func:`first_shingles`), as all with a similarity of ``least`` do.
     """
     known = met.select("place", "node", "c").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
@@ -202,32 +212,45 @@ def more_candidates(
     open_ = known.join(split.where("r0 != r1").select("place"), "place")
     open_ = common.written(open_, "open-places")
 
-    few = open_.where(F.col("c") <= FEW).select("place", F.lit(0).alias("part"), "node", "root")
-    within = _met_pairs(few.join(prints.drop("id"), "node"), ["place"])
-
-    many = open_.where(F.col("c") > FEW)
-    places = many.groupBy("node").agg(F.first("root").alias("root"), F.collect_set("place").alias("places"))
-    places = common.written(places, "crowded")
-    if places.isEmpty():
-        return within
-    firsts = first_shingles(places.join(prints, "node").select("node", "id"), source, size, least)
-    shared = firsts.join(places.select("node", "root"), "node")
-    counts = shared.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1")
+    places = open_.groupBy("node").agg(
+        F.first("root").alias("root"), F.collect_set("place").alias("places"), F.max("c").alias("most")
+    )
+    places = common.written(places, "places")
+    shared = open_.where(F.col("c") <= FEW).select("place", "node", "root")
+    crowded = places.where(F.col("most") > FEW)
+    if not crowded.isEmpty():
+        firsts = first_shingles(crowded.join(prints, "node").select("node", "id"), source, size, least)
+        shared = shared.union(firsts.join(crowded, "node").select("shingle", "node", "root"))
+    blocks = squares(shared)
+    meeting = common.written(_meeting(blocks.join(prints.drop("id"), "node")), "meeting")
+
+    key, kind = source.columns[0], source.schema[0]
+    wanted = meeting.select("node").distinct().join(prints, "node").select(F.col("id").alias(key))
+    sets = _drawn_of(wanted, source, lambda words: shingle_set(words, size).tobytes())
+    sets = sets.select(F.xxhash64(key).alias("node"), F.col(key).alias("id"), F.col("drawn").alias("set"))
+    rows = meeting.join(sets, "node").join(places.select("node", "places"), "node")
+    rows = rows.repartition("at", "i", "j").sortWithinPartitions("at", "i", "j")
+    linked = rows.mapInArrow(_linker(least), StructType([StructField(n, kind.dataType) for n in ("a", "b")]))
+    return linked.distinct()
+
+
+def squares(shared: DataFrame) -> DataFrame:
+    """Blocks ``at, i, j, part, node, root`` in which the texts of each place meet, BLOCK by BLOCK.
+
+    Places (``place, node, root``) whose texts have the same smallest hash are one: they hold the
+    same texts for the most part, which then meet once. Left out are those of one group alone.
+    """
+    smallest = shared.groupBy("place").agg(
+        F.min(F.xxhash64("node", F.lit(2))).alias("at"), F.min("root").alias("r0"), F.max("root").alias("r1")
     )
-    shared = shared.join(counts.where("r0 != r1").select("shingle", "c"), "shingle")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    shared = shared.join(smallest.where("r0 != r1").select("place", "at"), "place")
+    shared = common.written(shared.select("at", "node", "root").distinct(), "shared")
+    counts = shared.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     # a text meets its own block and each other one, in the square of both
-    shared = shared.withColumn("blocks", blocks).withColumn("part", F.expr("int(pmod(xxhash64(node), blocks))"))
+    shared = shared.join(counts, "at").withColumn("part", F.expr("int(pmod(xxhash64(node), blocks))"))
     shared = shared.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     square = [F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")]
-    shared = shared.select("shingle", *square, "part", "node", "root").join(prints.drop("id"), "node")
-    across = common.written(_met_pairs(shared, ["shingle", "i", "j"]), "crowded-pairs")
-    for end in ("a", "b"):
-        held = places.select(F.col("node").alias(end), F.col("places").alias(f"places_{end}"))
-        across = across.join(held, end)
-    across = across.where(F.arrays_overlap("places_a", "places_b")).select("a", "b")
-    return within.union(across).distinct()
+    return shared.select("at", *square, "part", "node", "root")
 
 
 def first_shingles(wanted: DataFrame, source: DataFrame, size: int, least: float) -> DataFrame:
@@ -276,23 +299,25 @@ def _unpacked(drawn: DataFrame, kind: StructField) -> DataFrame:
     return lists.select(kind.name, F.explode("shingles").alias("shingle"))
 
 
-def _met_pairs(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs ``a, b`` of the nodes that meet by columns ``by``, 2 * BLOCK or so at most in each."""
-    one = F.struct("node", "root", "n", "f1", "f2", "part")
-    lists = rows.groupBy(*by).agg(F.sort_array(F.collect_list(one)).alias("all"))
-    return lists.select("all").mapInArrow(_meet, "a long, b long").distinct()
+_MEETING = "at long, i int, j int, part int, node long, root long, n int, f1 long, f2 long"
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """Of the rows of each block (``at, i, j``) those near some other by fingerprint and size."""
+    one = F.struct("part", "node", "root", "n", "f1", "f2")
+    lists = rows.groupBy("at", "i", "j").agg(F.collect_list(one).alias("all"))
+    return lists.mapInArrow(_meet, _MEETING)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each list, the pairs of different groups whose fingerprints are near; of different parts
-    if there are two."""
+    """Of each list, what is near by fingerprint to one of another group; of another part if there
+    are two."""
     for batch in batches:
-        lists = batch.column(0)
+        lists = batch.column(3)
         offsets, flat = lists.offsets.to_numpy(), lists.values
-        node, root, size = (flat.field(i).to_numpy() for i in range(3))
-        prints = np.stack([flat.field(i).to_numpy() for i in (3, 4)], axis=1).reshape(-1, 2)
-        part = flat.field(5).to_numpy()
-        found_a, found_b = [], []
+        part, _, root, size, *prints = (flat.field(i).to_numpy() for i in range(6))
+        prints = np.stack(prints, axis=1).reshape(-1, 2)
+        found = np.zeros(len(part), dtype=bool)
         for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             i, j = np.triu_indices(high - low, 1)
             i, j = i + low, j + low
@@ -301,11 +326,103 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 apart &= part[i] != part[j]
             i, j = i[apart], j[apart]
             fits = near(prints[i] ^ prints[j])
-            found_a.append(node[i[fits]])
-            found_b.append(node[j[fits]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
-        out = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-        yield pa.RecordBatch.from_arrays(out, ["a", "b"])
+            found[i[fits]] = found[j[fits]] = True
+        which = pa.array(np.repeat(np.arange(len(batch)), np.diff(offsets))[found[offsets[0] : offsets[-1]]])
+        kept = pa.array(np.flatnonzero(found))
+        columns = [batch.column(k).take(which) for k in range(3)]
+        columns += [flat.field(k).take(kept) for k in range(6)]
+        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _MEETING.split(", ")])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, from rows in the order of ``at, i, j``."""
+    held, last = [], None
+    for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("at", "i", "j")], axis=1)
+        cuts = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+        for low, high in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+            if low == high:
+                continue
+            now = tuple(keys[low].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets share; VALUES or so of all at once."""
+    pieces = sum(map(len, sets)) // VALUES + 1
+    if pieces > 1:
+        return sum(in_common([x[x % pieces == k] for x in sets]) for k in range(pieces))
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+    starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))[: len(flat)]
+    held = np.diff(starts, append=len(flat))
+    several = np.repeat(held > 1, held)  # values of one set alone count for no two
+    row, held = row[several], held[held > 1]
+    column = np.repeat(np.arange(len(held)), held)
+    for low in range(0, len(held), COLUMNS):
+        at, end = np.searchsorted(column, (low, low + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, len(held) - low)), dtype=np.float32)
+        has[row[at:end], column[at:end] - low] = 1
+        out += has @ has.T
+    return out
+
+
+def forest(linked: np.ndarray, groups: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links of a block (a matrix) as many as connect what all connect, groups being so."""
+    edges, seen = [], np.zeros(int(groups.max()) + 1, dtype=bool)
+    for start in range(len(linked)):
+        if seen[groups[start]]:
+            continue
+        seen[groups[start]] = True
+        todo = np.flatnonzero(groups == groups[start]).tolist()
+        while todo:
+            i = todo.pop()
+            new = np.flatnonzero(linked[i] & ~seen[groups])
+            reached, first = np.unique(groups[new], return_index=True)
+            edges += [(i, j) for j in new[first].tolist()]
+            seen[reached] = True
+            if len(reached):
+                todo += np.flatnonzero(np.isin(groups, reached)).tolist()
+    return edges
+
+
+def _linker(least: float) -> Callable:
+    """The function that gives links ``a, b`` of keys, a forest of the groups of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            column = lambda name: block.column(name).to_numpy()  # noqa: B023, E731
+            sets = [np.frombuffer(x, "<u8") for x in block.column("set").to_pylist()]
+            size = np.array([len(x) for x in sets], dtype=np.float64)
+            both = in_common(sets).astype(np.float64)
+            total = size[:, None] + size - both
+            linked = np.divide(both, total, out=np.ones_like(both), where=total > 0) >= least
+            linked &= column("root")[:, None] != column("root")
+            part = column("part")
+            if (part != part[0]).any():
+                linked &= part[:, None] != part
+            if not linked.any():
+                continue
+            linked &= in_common([np.array(x) for x in block.column("places").to_pylist()]) > 0
+            prints = np.stack((column("f1"), column("f2")), axis=1)
+            i, j = np.nonzero(linked)
+            linked[i, j] = within_radius(prints[i] ^ prints[j])
+            edges = forest(linked, np.unique(column("root"), return_inverse=True)[1])
+            if edges:
+                ends = np.array(edges)
+                ids = block.column("id").combine_chunks()
+                made = [ids.take(pa.array(ends[:, k])) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(made, ["a", "b"])
+
+    return run
 
 
 LEAST = 0.8
@@ -464,9 +581,7 @@ def _near_copies(source: DataFrame, key: str, size: int, least: float) -> DataFr
     links = common.written(alike(pairs, source, size, least), "links")
     found = common.written(components(links), "groups")
     roots = found.select(F.xxhash64("node").alias("node"), F.xxhash64("root").alias("root"))
-    more = more_candidates(met, nodes, roots, source, size, least)
-    more = common.written(ring_pairs(more, nodes, kind), "more-candidates")
-    more = common.written(alike(more, source, size, least), "more-links")
+    more = common.written(more_links(met, nodes, roots, source, size, least), "more-links")
     if not more.isEmpty():
         found = components(links.union(more))
     named = texts.select("digest", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
