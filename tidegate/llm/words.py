@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable
@@ -155,6 +156,83 @@ def byte_words(tokenizer) -> Words:
     return Words(tokenizer, split, "", size)
 
 
+#: How the file of :class:`LatinWords` makes and cuts words.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Small letters of Latin scripts; they and their capitals are composed and made small one by one.
+_SMALL = "a-z\xdf-\xf6\xf8-\u012f\u0131-\u017f"
+_latin = re.compile("[\t-\r -~\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f\u2010-\u2027]*").fullmatch
+_pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|[^{_SMALL}0-9]+").findall
+
+
+class _Known(dict):
+    """Ids by word; ``learn`` makes those of a word that is missing."""
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
+class LatinWords(Words):
+    """Makes texts of Latin letters, digits and signs small and cuts their words into the file's
+    pieces by itself.
+
+    Pieces go to the file's model and are remembered like words: they are fewer, as words differ in
+    the signs around them, and none is normalized and cut by the tokenizer again. Texts with other
+    characters take the way of :class:`Words`.
+    """
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.known = _Known()
+        self.known.learn = self.learn_latin
+        self.model = self.tokenizer.model
+        self.characters = {b: c for c, b in byte_values().items()}
+        count = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(count)]
+
+    def learn_latin(self, word: str) -> bytes:
+        if not word.isalpha() and len(pieces := _pieces(word)) > 1:
+            return b"".join(map(self.known.__getitem__, pieces))
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.characters)
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(word)])
+
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        out, other, get = [], [], self.known.__getitem__
+        for at, text in enumerate(texts):
+            if _latin(text) and "<|" not in text:
+                if len(self.known) > MEMORY_WORDS:
+                    self.known.clear()
+                out.append(b"".join(map(get, text.lower().split())))
+            else:
+                other.append(at)
+                out.append(b"")
+        for at, ids in zip(other, super().encode_bytes([texts[i] for i in other]), strict=True):
+            out[at] = ids
+        return out
+
+
+def _cuts_latin(tokenizer) -> bool:
+    """Whether a file makes and cuts words as :class:`LatinWords` does."""
+    state = lambda part: json.loads(part.__getstate__()) if part else {}
+    cuts = state(tokenizer.pre_tokenizer).get("pretokenizers") or [{}, {}]
+    return (
+        state(tokenizer.normalizer).get("normalizers") == _NORMALIZERS
+        and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"] == {"Regex": _PIECES}
+        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+        and not cuts[1]["add_prefix_space"]
+        and not cuts[1]["use_regex"]
+        and not tokenizer.model.dropout
+        and not any(t.normalized or "<|" not in t.content for t in tokenizer.get_added_tokens_decoder().values())
+    )
+
+
 def spaced_words(tokenizer) -> Words:
     """For files that drop white space and make letters small."""
 
@@ -166,4 +244,5 @@ def spaced_words(tokenizer) -> Words:
             return None  # a special string may be in it
         return len(word) if word.isascii() else len(normalize("NFC", word).lower().encode())
 
-    return Words(tokenizer, split, " ", size, lambda joined: joined.isascii() and "<|" not in joined)
+    kind = LatinWords if _cuts_latin(tokenizer) else Words
+    return kind(tokenizer, split, " ", size, lambda joined: joined.isascii() and "<|" not in joined)
